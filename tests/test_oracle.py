@@ -1,0 +1,64 @@
+"""Every registered query against its SQL on the same tables."""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+
+import duckdb
+import pytest
+
+from noticelake.registry.oracles import ORACLES
+from noticelake.registry.queries import QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+ROWS_ONLY = {"to_json_rows"}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    connection.execute("set timezone='UTC'")
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"create view {name} as select * from '{path}'")
+    return connection
+
+
+def comparable(table):
+    """Column types, and rows in a fixed order, columns sorted by name."""
+    names = sorted(table.column_names)
+    table = table.select(names)
+    types = [str(t).replace("large_", "") for t in table.schema.types]
+    rows = [tuple(r[n] for n in names) for r in table.to_pylist()]
+    rows.sort(key=lambda r: tuple((x is not None, str(x)) for x in r))
+    return names, types, rows
+
+
+def same(left, right) -> bool:
+    if isinstance(left, float) and isinstance(right, float):
+        return left == right or (math.isnan(left) and math.isnan(right))
+    return left == right
+
+
+def test_every_query_has_its_sql():
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, duck, name):
+    got = comparable(QUERIES[name](spark, SF_DIR).toArrow())
+    expected = comparable(duck.sql(ORACLES[name]).to_arrow_table())
+    assert got[0] == expected[0]
+    assert got[1] == expected[1]
+    assert len(got[2]) == len(expected[2])
+    for mine, theirs in zip(got[2], expected[2]):
+        assert all(same(a, b) for a, b in zip(mine, theirs)), (mine, theirs)
+
+
+@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
+def test_query_runs(spark, name):
+    assert QUERIES[name](spark, SF_DIR).count() > 0
