@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 END_OF_DAY = "T23:59:59"
 
-#: Leading characters of an ISO date that make a storage partition.
-GRAIN = {"day": 10, "month": 7}
+#: Leading characters of an ISO date that make a storage partition: days for a table
+#: of many terabytes, years for a small one.
+GRAIN = {"day": 10, "month": 7, "year": 4}
 
 
 def iso_day(compact: str) -> str:

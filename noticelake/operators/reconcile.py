@@ -77,10 +77,10 @@ def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], merge_fiel
     return reconcile(current, batch, keys, merge_fields).drop(STATUS)
 
 
-def change_counts(reconciled: DataFrame) -> DataFrame:
+def change_counts(reconciled: DataFrame, *more: Column) -> DataFrame:
     """K4: one row of counts by outcome."""
     return reconciled.agg(
-        *[F.count_if(F.col(STATUS) == status).alias(name) for status, name in COUNTS.items()]
+        *[F.count_if(F.col(STATUS) == status).alias(name) for status, name in COUNTS.items()], *more
     )
 
 

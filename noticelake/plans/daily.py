@@ -17,7 +17,7 @@ from noticelake import vocabulary as v
 from noticelake.functions import dates
 from noticelake.operators import latest, rollup, silver
 from noticelake.sinks.keyed import KeyedTable, no_changes
-from noticelake.sinks.partitions import clear_partitions, replace_partitions
+from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
 from noticelake.sources import pages
 from noticelake.sources.tables import Tables, bronze_slice, silver_slice
 from noticelake.workspace import path_exists
@@ -31,7 +31,7 @@ class Lake:
 
     spark: SparkSession
     root: str
-    #: Storage partitions of Bronze and Silver: "day" for full loads, "month" for small ones.
+    #: Storage partitions of Bronze and Silver, see functions.dates.GRAIN.
     grain: str = "day"
 
     @property
@@ -110,27 +110,33 @@ def aggregate(
         for spec in rollup.ROLLUPS.values():
             if spec.by_period:
                 table = rollup.stamp(rollup.from_cells(cells, spec), (start, end), as_of)
-                replace_partitions(table.coalesce(1), lake.gold_path(spec.table), PERIOD)
+                replace_partitions(spread(table, PERIOD), lake.gold_path(spec.table), PERIOD)
         # at most twelve values
         months = {r[0] for r in cells.select("mes").distinct().collect()}
     finally:
         cells.unpersist()
-    _replace_months(lake, everything, months | _months_of_parts(changed_parts or []), as_of)
+    _replace_months(lake, everything, months | _months_of_parts(changed_parts or [], lake.grain), as_of)
     return True
 
 
-def _months_of_parts(parts: list[str | None]) -> set[int]:
-    return {int(part[5:7]) for part in parts if part and part[5:7].isdigit()}
+def _months_of_parts(parts: list[str | None], grain: str) -> set[int | None]:
+    """Months of the year that rows of these storage partitions can lie in."""
+    if grain == "year":
+        return set(range(1, 13)) if parts else set()
+    return {int(part[5:7]) if part and part[5:7].isdigit() else None for part in parts}
 
 
 def _replace_months(lake: Lake, everything: DataFrame, months: set[int | None], as_of) -> None:
-    part_month = F.substring(schemas.PARTITION, 6, 2)
     wanted = [m for m in months if m is not None]
-    in_part = F.col(schemas.PARTITION).isNull() | part_month.isin([f"{m:02d}" for m in wanted])
     month = dates.month_of(F.col("data_publicacao_pncp"))
-    in_month = month.isin(wanted) | (month.isNull() if None in months else F.lit(False))
-    table = rollup.stamp(rollup.rollup(everything.filter(in_part & in_month), rollup.MONTH), None, as_of)
-    table = table.coalesce(1).persist()
+    in_month = month.isin(wanted)
+    if None in months:
+        in_month = in_month | month.isNull()
+    elif lake.grain != "year":
+        # the partition name holds the month: other months are not read
+        in_month = in_month & F.substring(schemas.PARTITION, 6, 2).isin([f"{m:02d}" for m in wanted])
+    table = rollup.stamp(rollup.rollup(everything.filter(in_month), rollup.MONTH), None, as_of)
+    table = spread(table, ["mes"]).persist()
     try:
         path = lake.gold_path(rollup.MONTH.table)
         replace_partitions(table, path, ["mes"])

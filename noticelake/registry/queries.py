@@ -292,7 +292,7 @@ def key_uniqueness(spark, sf):
 
 def _as_silver(flat: DataFrame) -> DataFrame:
     rows = silver.stamp_load(silver.classify(flat), F.to_timestamp("data_publicacao_pncp"))
-    return silver.add_partition(rows, "data_publicacao_pncp", "month")
+    return silver.add_partition(rows, "data_publicacao_pncp", "year")
 
 
 @query
@@ -316,14 +316,14 @@ def table_upsert_fields(spark, sf):
         spark, fresh_dir(spark, "bronze"), schemas.BRONZE, (v.BRONZE_KEY,), merge_fields=True
     )
     landed = pages.records(_landed(spark, sf, one_page_per_file=False))
-    stored.upsert(daily.bronze_batch(landed, "month"))
+    stored.upsert(daily.bronze_batch(landed, "year"))
     sparse = {
         f.name: F.lit(None).cast(f.dataType)
         for f in schemas.NOTICE.fields
         if f.name not in (v.BRONZE_KEY, "dataPublicacaoPncp", "situacaoCompraNome")
     }
     batch = landed.filter("situacaoCompraId = 'P'").withColumns({**sparse, "situacaoCompraNome": F.lit("Anulada")})
-    stored.upsert(daily.bronze_batch(batch, "month"))
+    stored.upsert(daily.bronze_batch(batch, "year"))
     return silver.flatten(stored.read())
 
 
@@ -372,7 +372,7 @@ def gold_from_cells(spark, sf):
 
 def _two_runs(spark: SparkSession, sf: str) -> daily.Lake:
     """All notices landed and run; then every pending one republished as closed and run again."""
-    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="month")
+    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="year")
     first = _landed(spark, sf, one_page_per_file=False)
     as_of = F.to_timestamp(F.lit("2002-01-01 00:00:00"))
     daily.run(lake, first, FIRST_DAY, LAST_DAY, as_of)
@@ -582,6 +582,6 @@ def stream_upsert(spark, sf):
     write_pages(closed, landing, one_page_per_file=False, mode="append")
     arriving = pages.records(pages.stream_pages(spark, landing, one_page_per_file=False, files_per_batch=3))
     stored = KeyedTable(spark, fresh_dir(spark, "silver"), schemas.SILVER, (v.SILVER_KEY,))
-    to_rows = streams.to_silver_rows("month", F.to_timestamp("data_publicacao_pncp"))
+    to_rows = streams.to_silver_rows("year", F.to_timestamp("data_publicacao_pncp"))
     streams.finish(streams.upsert_stream(arriving, stored, to_rows, fresh_dir(spark, "checkpoint")))
     return stored.read().select(*v.SILVER_COLUMNS, "ramo_mei")

@@ -13,9 +13,10 @@ Cost follows the touched partitions, not the table. If a run dies between 2 and
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -24,12 +25,13 @@ from noticelake.operators.reconcile import (
     STATUS,
     change_counts,
     reconcile,
-    require_unique,
     same_keys,
 )
 from noticelake.schemas import PARTITION
 from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
-from noticelake.workspace import path_exists
+from noticelake.workspace import drop_path, path_exists
+
+_PART_SCHEMA = StructType([StructField(PARTITION, StringType())])
 
 
 @dataclass(frozen=True)
@@ -47,12 +49,16 @@ class KeyedTable:
     keys_may_move: bool = True
 
     @property
-    def _staged(self) -> str:
-        return f"{self.path}.staged/rows"
+    def _stage(self) -> str:
+        return f"{self.path}.staged"
+
+    @property
+    def _staged_rows_path(self) -> str:
+        return f"{self._stage}/rows"
 
     @property
-    def _touched(self) -> str:
-        return f"{self.path}.staged/touched"
+    def _vacated_path(self) -> str:
+        return f"{self._stage}/vacated"
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
@@ -63,64 +69,72 @@ class KeyedTable:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def touched_parts(self, batch: DataFrame) -> DataFrame:
-        """Partitions of the batch, and those that hold one of its keys now."""
-        parts = batch.select(PARTITION)
-        if self.keys_may_move:
+        """Partitions the batch writes to (``incoming``) or takes a key away from."""
+        parts = batch.select(PARTITION, F.lit(True).alias("incoming"))
+        if self.keys_may_move and self.exists():
             stored = self.read().select(*self.keys, PARTITION)
             batch_keys = batch.select(*self.keys)
             moved_from = stored.join(batch_keys, same_keys(stored, batch_keys, self.keys), "left_semi")
-            parts = parts.union(moved_from.select(PARTITION))
-        return parts.distinct()
+            parts = parts.union(moved_from.select(PARTITION, F.lit(False)))
+        return parts.groupBy(PARTITION).agg(F.max("incoming").alias("incoming"))
 
     def upsert(self, batch: DataFrame) -> tuple[dict[str, int], list[str | None]]:
         """Apply ``batch`` (one row per key); counts by outcome, and touched partitions."""
         self.recover()
         batch = batch.select(*self.schema.fieldNames()).persist()
         try:
-            self.touched_parts(batch).coalesce(1).write.mode("overwrite").parquet(self._touched)
-            touched = self._touched_values()
-            current = self.read().filter(self._in_parts(touched))
+            # one row per storage partition: bounded by the table's folders, not by its rows
+            touched = {r[PARTITION]: r["incoming"] for r in self.touched_parts(batch).collect()}
+            vacated = [(part,) for part, incoming in touched.items() if not incoming]
+            if vacated:
+                left = self.spark.createDataFrame(vacated, _PART_SCHEMA)
+                left.coalesce(1).write.parquet(self._vacated_path)
+            current = self.read().filter(_in_parts(touched))
             outcome = reconcile(current, batch, self.keys, self.merge_fields, self.ignore)
-            spread(outcome, [PARTITION]).write.mode("overwrite").parquet(self._staged)
+            spread(outcome, [PARTITION]).write.parquet(self._staged_rows_path)
         finally:
             batch.unpersist()
-
-        staged = self._staged_rows()
-        require_unique(staged, self.keys)
-        counts = change_counts(staged).first().asDict()
-        self._apply(touched)
-        return counts, touched
+        counts = self._check_and_count()
+        self._apply()
+        return counts, list(touched)
 
     def recover(self) -> bool:
         """Finish an upsert that was written beside the table but not moved in."""
-        if not path_exists(self.spark, f"{self._staged}/_SUCCESS") or self._staged_rows().isEmpty():
-            return False
-        self._apply(self._touched_values())
-        return True
-
-    def _apply(self, touched: list[str | None]) -> None:
+        complete = path_exists(self.spark, f"{self._staged_rows_path}/_SUCCESS")
+        if complete:
+            self._apply()
+        else:
+            drop_path(self.spark, self._stage)
+        return complete
+
+    def _check_and_count(self) -> dict[str, int]:
+        """K4 and K5 in one pass over the staged rows."""
+        by_key = self._staged_rows().groupBy(*self.keys).agg(
+            F.count("*").alias("_rows"), F.min(STATUS).alias(STATUS)
+        )
+        totals = change_counts(by_key, F.max("_rows").alias("_rows")).first().asDict()
+        if (totals.pop("_rows") or 0) > 1:
+            drop_path(self.spark, self._stage)
+            raise ValueError(f"key {self.keys} is not unique in {self.path} or the batch")
+        return totals
+
+    def _apply(self) -> None:
         rows = self._staged_rows().drop(STATUS)
         replace_partitions(rows, self.path, [PARTITION])
-        filled = {r[0] for r in rows.select(PARTITION).distinct().collect()}
-        clear_partitions(rows, self.path, [{PARTITION: x} for x in touched if x not in filled])
-        empty = self.spark.createDataFrame([], self._staged_schema)
-        empty.coalesce(1).write.mode("overwrite").parquet(self._staged)
-
-    @property
-    def _staged_schema(self) -> StructType:
-        return StructType(self.schema.fields + [StructField(STATUS, StringType())])
+        if path_exists(self.spark, self._vacated_path):
+            left = {r[0] for r in self.spark.read.schema(_PART_SCHEMA).parquet(self._vacated_path).collect()}
+            filled = {r[0] for r in rows.select(PARTITION).filter(_in_parts(left)).distinct().collect()}
+            clear_partitions(rows, self.path, [{PARTITION: part} for part in left - filled])
+        drop_path(self.spark, self._stage)
 
     def _staged_rows(self) -> DataFrame:
-        return self.spark.read.schema(self._staged_schema).parquet(self._staged)
+        schema = StructType(self.schema.fields + [StructField(STATUS, StringType())])
+        return self.spark.read.schema(schema).parquet(self._staged_rows_path)
 
-    def _touched_values(self) -> list[str | None]:
-        # one value per storage partition: bounded by the table's folders, not by its rows
-        schema = StructType([StructField(PARTITION, StringType())])
-        return [r[0] for r in self.spark.read.schema(schema).parquet(self._touched).collect()]
 
-    def _in_parts(self, parts: list[str | None]):
-        named = F.col(PARTITION).isin([x for x in parts if x is not None])
-        return named | F.col(PARTITION).isNull() if None in parts else named
+def _in_parts(parts: Iterable[str | None]) -> Column:
+    named = F.col(PARTITION).isin([part for part in parts if part is not None])
+    return named | F.col(PARTITION).isNull() if None in parts else named
 
 
 def no_changes() -> dict[str, int]:

@@ -20,7 +20,8 @@ def first_seen(
     """
     timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
     if spread > 1:
-        # which share a row falls in does not matter to the result
-        share = F.monotonically_increasing_id() % spread
+        # Which share a row falls in does not matter to the result, but a task that runs
+        # again must choose the same one: hence no random number.
+        share = F.pmod(F.xxhash64(*stream.columns) + F.spark_partition_id(), F.lit(spread))
         timed = timed.withColumn("_share", share).dropDuplicatesWithinWatermark([*keys, "_share"]).drop("_share")
     return timed.dropDuplicatesWithinWatermark(list(keys))

@@ -34,3 +34,9 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder a job has written for itself."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
