@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from noticelake import vocabulary as v
 from noticelake.operators import silver
@@ -31,8 +32,15 @@ _VALUES = {0: None, 1: 17600.0, 2: 80000.0, 3: 500000.0, 4: 750000.5}
 _STATUS = {"O": "Divulgada", "F": "Encerrada"}
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table; its schema is looked up in the files once per process."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +94,7 @@ def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nest(flat: DataFrame) -> DataFrame:
     """Flat rows to landed records; the inverse of Silver's column map.
 
-    Run: year of publication. Page: a block of 1000 order numbers.
+    Run: year of publication. Page: a block of 5000 order numbers.
     """
     plain = {path: name for name, path in v.SILVER_COLUMNS.items() if "." not in path}
     groups: dict[str, list] = {}
@@ -98,7 +106,7 @@ def nest(flat: DataFrame) -> DataFrame:
         *[F.col(name).alias(path) for path, name in plain.items()],
         *[F.struct(*inner).alias(outer) for outer, inner in groups.items()],
         F.substring("data_publicacao_pncp", 1, 4).alias("lote"),
-        F.expr("cast(cast(numero_controle_pncp as bigint) div 1000 + 1 as int)").alias("pagina"),
+        F.expr("cast(cast(numero_controle_pncp as bigint) div 5000 + 1 as int)").alias("pagina"),
     )
 
 

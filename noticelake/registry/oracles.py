@@ -140,7 +140,7 @@ STATUS = f"""{CHANGES}, estados as (
 
 BRONZE = f"""{PV}, bronze as (
  select *, substr(data_publicacao_pncp, 1, 4) lote,
-  cast(cast(numero_controle_pncp as bigint) // 1000 + 1 as integer) pagina from pv)"""
+  cast(cast(numero_controle_pncp as bigint) // 5000 + 1 as integer) pagina from pv)"""
 
 # after both daily runs: pending notices closed, their stored value kept
 CLOSED = f"""{PV}, silver as (
