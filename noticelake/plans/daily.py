@@ -51,10 +51,11 @@ class Lake:
         return f"{self.root}/{name}"
 
     def gold(self, name: str) -> DataFrame:
-        reader = self.spark.read.schema(schemas.GOLD[name])
+        schema = schemas.GOLD[name]
         if not path_exists(self.spark, self.gold_path(name)):
-            return self.spark.createDataFrame([], schemas.GOLD[name])
-        return reader.parquet(self.gold_path(name))
+            return self.spark.createDataFrame([], schema)
+        # partition columns come last from the files
+        return self.spark.read.schema(schema).parquet(self.gold_path(name)).select(*schema.names)
 
     def tables(self) -> Tables:
         stored = {v.BRONZE: self.bronze.read, v.SILVER: self.silver.read}

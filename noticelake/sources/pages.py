@@ -54,29 +54,25 @@ def _shape(bodies: DataFrame) -> DataFrame:
     )
 
 
-def _options(one_page_per_file: bool) -> dict[str, str]:
-    return {
-        # a page is small; read whole and parsed in place it costs a tenth of
-        # what the multi-line JSON reader takes per file (measured)
-        "wholetext": str(one_page_per_file).lower(),
-        # run and page folders are read from the path, not as partitions
-        "recursiveFileLookup": "true",
-    }
+# Run and page folders are read from the path, not as partitions. A page is small:
+# read whole and parsed in place it costs a fraction of what the multi-line JSON
+# reader takes per file (measured).
+_BODIES = {"recursiveFileLookup": "true"}
 
 
 def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
     """Every landed page below ``path``."""
-    return _shape(spark.read.options(**_options(one_page_per_file)).text(path))
+    return _shape(spark.read.options(**_BODIES).text(path, wholetext=one_page_per_file))
 
 
 def stream_pages(
     spark: SparkSession, path: str, one_page_per_file: bool = True, files_per_batch: int | None = None
 ) -> DataFrame:
     """S1 as a stream of newly landed files."""
-    reader = spark.readStream.options(**_options(one_page_per_file))
+    reader = spark.readStream.options(**_BODIES)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _shape(reader.text(path))
+    return _shape(reader.text(path, wholetext=one_page_per_file))
 
 
 def records(pages: DataFrame) -> DataFrame:

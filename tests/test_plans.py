@@ -1,0 +1,104 @@
+"""What the plans must look like to hold at scale."""
+
+from __future__ import annotations
+
+import io
+import re
+from contextlib import redirect_stdout
+
+import pytest
+from pyspark.sql import functions as F
+
+from noticelake import schemas
+from noticelake import vocabulary as v
+from noticelake.operators import rollup
+from noticelake.plans import tools
+from noticelake.registry.notices import nest, notices, silver_rows
+from noticelake.registry.queries import QUERIES
+from noticelake.operators import silver
+from noticelake.sources.tables import Tables, bronze_slice
+
+SF_DIR = "/root/testdata/sf0.001"
+#: These write and read tables while they are built; their parts are checked by themselves.
+RUNNING = {name for name in QUERIES if name.startswith(("stream_", "daily_", "table_"))}
+
+
+def plan(df, mode="formatted") -> str:
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - RUNNING))
+def test_no_cross_join_and_no_python(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "SinglePartition, REPARTITION"):
+        assert bad not in text
+
+
+def test_last_per_key_is_cut_before_the_shuffle(spark):
+    text = plan(QUERIES["dedupe_by_customer"](spark, SF_DIR), "simple")
+    assert re.search(r"WindowGroupLimit .*Final[\s\S]*Exchange[\s\S]*WindowGroupLimit .*Partial", text)
+
+
+def test_field_merge_is_cut_before_the_shuffle(spark):
+    text = plan(QUERIES["merge_last_fields"](spark, SF_DIR), "simple")
+    assert "partial_max_by" in text and "Window" not in text
+
+
+def test_limits_become_top_k(spark):
+    for name in ("tool_resumo_estado", "tool_buscar", "tool_top_orgaos", "tool_evolucao_mensal"):
+        assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF_DIR), "simple")
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("stored"))
+    rows = silver.add_partition(silver_rows(spark, SF_DIR), "data_publicacao_pncp", "month")
+    rows.coalesce(1).write.partitionBy(schemas.PARTITION).parquet(f"{root}/silver")
+    nested = silver.add_partition(nest(notices(spark, SF_DIR)), "dataPublicacaoPncp", "month")
+    nested.coalesce(1).write.partitionBy(schemas.PARTITION).parquet(f"{root}/bronze")
+    return spark.read.parquet(f"{root}/silver"), spark.read.parquet(f"{root}/bronze")
+
+
+def scans(df) -> list[str]:
+    return re.findall(r"FileScan parquet.*", plan(df, "simple"))
+
+
+def test_range_reads_its_partitions_only(stored):
+    bronze = stored[1]
+    wanted = bronze_slice(bronze, "19960115", "19960310", "NATION_7", grain="month").select(v.BRONZE_KEY)
+    text = plan(wanted)
+    assert re.search(r"PartitionFilters: \[.*publication_part.*1996-01", text)
+    assert "GreaterThanOrEqual(dataPublicacaoPncp,1996-01-15)" in text
+    assert "EqualTo(unidadeOrgao.ufSigla,NATION_7)" in text
+    # of the nested objects only the one field that is filtered on
+    assert "unidadeOrgao:struct<ufSigla:string>" in text and "orgaoEntidade" not in text
+    months = {r[0] for r in wanted.select(F.input_file_name()).distinct().collect()}
+    assert {re.search(r"publication_part=([\d-]+)", m)[1] for m in months} <= {"1996-01", "1996-02", "1996-03"}
+
+
+def test_gold_reads_only_its_columns(stored):
+    (scan,) = scans(rollup.rollup(stored[0], rollup.STATE))
+    assert re.search(r"ReadSchema: struct<(cnpj_orgao|uf|valor_total_estimado)", scan)
+    assert "objeto_compra" not in scan and "razao_social" not in scan
+
+
+def test_state_filter_passes_below_the_aggregate(spark, stored):
+    tables = Tables(spark, {v.GOLD_AREA: rollup.stamp(rollup.rollup(stored[0], rollup.AREA), ("a", "b"))})
+    text = plan(tools.resumo_por_ramo_mei(tables, uf="nation_7"))
+    assert "EqualTo(uf,NATION_7)" in text
+
+
+def test_distinct_buyers_spread_over_tasks(stored):
+    text = plan(rollup.rollup(stored[0], rollup.STATE), "simple")
+    # first shuffle by state and buyer: a state with a third of all rows is no single task
+    assert re.search(r"hashpartitioning\(uf#\d+, cnpj_orgao#\d+", text)
+
+
+def test_statistics_read_silver_once(spark, stored):
+    silver_table = stored[0]
+    other = {name: spark.range(3).toDF("x") for name in v.ALL_TABLES if name != v.SILVER}
+    text = plan(tools.estatisticas_gerais(Tables(spark, {v.SILVER: silver_table, **other})), "simple")
+    assert text.count("FileScan") == 1
