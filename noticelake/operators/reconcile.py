@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,16 +53,16 @@ def reconcile(
             return F.coalesce(new, old)
         return F.when(F.col("_new").isNotNull(), new).otherwise(old)
 
+    def changed(name: str) -> Column:
+        # only asked where both rows are there
+        old = F.col(f"_old.{name}") if name in current.columns else F.lit(None)
+        new = F.col(f"_new.{name}")
+        differs = ~new.eqNullSafe(old)
+        return new.isNotNull() & differs if merge_fields else differs
+
     columns = current.columns + [c for c in batch.columns if c not in current.columns]
     skipped = set(ignore)
-    unchanged = reduce(
-        and_,
-        [
-            value(c).eqNullSafe(F.col(f"_old.{c}")) if c in current.columns else F.col(f"_new.{c}").isNull()
-            for c in columns
-            if c not in skipped
-        ],
-    )
+    unchanged = ~reduce(or_, [changed(c) for c in batch.columns if c not in skipped], F.lit(False))
     status = (
         F.when(F.col("_old").isNull(), INSERTED)
         .when(F.col("_new").isNull(), KEPT)

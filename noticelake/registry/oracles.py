@@ -243,7 +243,7 @@ ORACLES: dict[str, str] = {
  from silver group by ramo_mei""",
     "tool_resumo_faixa": summary("gold_faixa_de_valor", "faixa_valor", "faixa_valor"),
     "tool_resumo_faixa_uf_periodo": summary(
-        "gold_faixa_de_valor", "faixa_valor", "faixa_valor", f"uf = '{STATE}' and {IN_PERIOD}"
+        "gold_faixa_de_valor", "faixa_valor", "faixa_valor", f"uf = '{q.A_STATE_IN_PERIOD.upper()}' and {IN_PERIOD}"
     ),
     "tool_resumo_situacao": summary("gold_situacao", "situacao_nome", "situacao"),
     "tool_resumo_situacao_dedupe": f"""with {SILVER} select situacao_nome situacao, {COUNT},

@@ -38,6 +38,7 @@ FIRST_DAY, LAST_DAY = "19950101", "20010801"
 PERIOD = (FIRST_DAY, LAST_DAY)
 A_PERIOD = "19960214_19960215"
 A_STATE = "nation_7"
+A_STATE_IN_PERIOD = "nation_15"
 A_REGION = "ASIA"
 ACCENTED = "ÉMENT|ÜN|AÑO|ÇÃO"
 
@@ -427,7 +428,9 @@ QUERIES.update(
         "tool_resumo_ramo_periodo": _tool("resumo_por_ramo_mei", periodo=A_PERIOD),
         "tool_resumo_ramo_dedupe": _tool("resumo_por_ramo_mei", overlap="dedupe"),
         "tool_resumo_faixa": _tool("resumo_por_faixa_valor"),
-        "tool_resumo_faixa_uf_periodo": _tool("resumo_por_faixa_valor", uf=A_STATE, periodo=A_PERIOD),
+        "tool_resumo_faixa_uf_periodo": _tool(
+            "resumo_por_faixa_valor", uf=A_STATE_IN_PERIOD, periodo=A_PERIOD
+        ),
         "tool_resumo_situacao": _tool("resumo_por_situacao"),
         "tool_resumo_situacao_dedupe": _tool(
             "resumo_por_situacao", periodo=A_PERIOD, overlap="dedupe"
