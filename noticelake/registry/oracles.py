@@ -268,6 +268,17 @@ ORACLES: dict[str, str] = {
     + ", ".join(f"(select count(*) from {name}) {name}" for name in v.GOLD_TABLES)
     + """, valor_total_estimado maior_valor, objeto_compra maior_objeto, uf maior_uf,
  (select strftime(max(data_coleta), '%Y-%m-%d %H:%M:%S') from silver) ultima_atualizacao from maior""",
+    "to_json_rows": f"with {SILVER} select '{{' || " + " || ',' || ".join(
+        f"""'"{name}":' || coalesce({text}, 'null')"""
+        for name, text in {
+            **{c: f"""'"' || {c} || '"'""" for c in v.SILVER_COLUMNS},
+            "ano_compra": "cast(ano_compra as varchar)",
+            "modalidade_id": "cast(modalidade_id as varchar)",
+            "valor_total_estimado": "cast(valor_total_estimado as varchar)",
+            "ramo_mei": """'"' || ramo_mei || '"'""",
+            "data_coleta": """'"' || data_publicacao_pncp || '.000000"'""",
+        }.items()
+    ) + " || '}' documento from silver",
     "to_json_gold": f"""with {SILVER} select '{{"uf":"' || uf || '","situacao_nome":"' || situacao_nome
  || '","total_contratacoes":' || count(*) || '}}' documento from silver group by uf, situacao_nome""",
     "acc_estado_com_mais": state_rows("true", 1),

@@ -6,7 +6,6 @@ stated here as plain text and nowhere else.
 """
 
 MODALITY = 8
-PAGE_SIZE = 20
 
 # First matching rule wins; matched on the lower-cased object text.
 CATEGORY_RULES = (
