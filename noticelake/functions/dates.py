@@ -64,12 +64,12 @@ def publication_part(text: Column, grain: str = "day") -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, GRAIN[grain]))
 
 
-def part_between(part: Column, start: str, end: str, grain: str = "day") -> Column:
-    """Partition filter implied by ``published_between``.
+def part_between(part: Column, start: str, end: str) -> Column:
+    """Partition filter implied by ``published_between``, whatever the table's grain.
 
     Cutting two texts to the same length keeps their order, so no partition that
     could hold a matching row is pruned. Text that is no ISO date lives in the
     null partition, which is always read.
     """
-    low, high = (bound[: GRAIN[grain]] for bound in bounds(start, end))
-    return part.isNull() | part.between(F.lit(low), F.lit(high))
+    low, high = (F.left(F.lit(bound), F.length(part)) for bound in bounds(start, end))
+    return part.isNull() | part.between(low, high)

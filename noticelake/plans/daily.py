@@ -86,7 +86,7 @@ def ingest(lake: Lake, landed: DataFrame) -> dict[str, int]:
 
 def refine(lake: Lake, start: str, end: str, as_of: datetime | Column | None = None) -> dict[str, object]:
     """A range of Bronze into Silver (K2, K8); also names the partitions it changed."""
-    bronze = bronze_slice(lake.bronze.read(), start, end, grain=lake.grain)
+    bronze = bronze_slice(lake.bronze.read(), start, end)
     if bronze.isEmpty():
         return {**no_changes(), "total": lake.silver.read().count(), "partes": []}
     counts, touched = lake.silver.upsert(silver_batch(bronze, as_of, lake.grain))
@@ -103,7 +103,7 @@ def aggregate(
     and those a changed partition says a notice has left.
     """
     everything = lake.silver.read()
-    rows = silver_slice(everything, start, end, lake.grain)
+    rows = silver_slice(everything, start, end)
     if rows.isEmpty():
         return False
     cells = rollup.cells(rows).persist()

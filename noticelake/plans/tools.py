@@ -97,12 +97,11 @@ def buscar_contratacoes(
     ramo_mei: str | None = None,
     limite: int = 10,
     valor_minimo: float | None = None,
-    grain: str = "day",
 ) -> DataFrame:
     """T7; ``valor_minimo`` (exclusive) serves the question no tool could answer."""
     rows = tables.read(v.SILVER)
     if data_inicial and data_final:
-        rows = published_slice(rows, data_inicial, data_final, "data_publicacao_pncp", grain)
+        rows = published_slice(rows, data_inicial, data_final, "data_publicacao_pncp")
     rows = rows.filter(
         p.every(
             p.state_is(uf),

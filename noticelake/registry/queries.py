@@ -185,7 +185,7 @@ def bronze_period(spark, sf):
     rows = silver.add_partition(nest(notices(spark, sf)), "dataPublicacaoPncp", "month")
     rows.hint("rebalance", schemas.PARTITION).write.partitionBy(schemas.PARTITION).parquet(path)
     stored = spark.read.parquet(path)
-    return bronze_slice(stored, "19960115", "19960310", A_STATE, grain="month").select(
+    return bronze_slice(stored, "19960115", "19960310", A_STATE).select(
         F.col(v.BRONZE_KEY).alias("numero_controle_pncp"), "dataPublicacaoPncp"
     )
 

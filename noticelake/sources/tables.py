@@ -32,20 +32,19 @@ class Tables:
 
 
 def published_slice(
-    table: DataFrame, start: str, end: str, column: str, grain: str = "day", uf_column: str | None = None,
-    uf: str | None = None,
+    table: DataFrame, start: str, end: str, column: str, uf_column: str | None = None, uf: str | None = None
 ) -> DataFrame:
     """Rows of a date range: the exact text filter, and the partition filter it implies."""
-    prune = dates.part_between(F.col(PARTITION), start, end, grain) if PARTITION in table.columns else None
+    prune = dates.part_between(F.col(PARTITION), start, end) if PARTITION in table.columns else None
     in_state = p.state_is(uf, uf_column) if uf_column else None
     return table.filter(p.every(prune, p.published(start, end, column), in_state))
 
 
-def bronze_slice(bronze: DataFrame, start: str, end: str, uf: str | None = None, grain: str = "day") -> DataFrame:
+def bronze_slice(bronze: DataFrame, start: str, end: str, uf: str | None = None) -> DataFrame:
     """S5."""
-    return published_slice(bronze, start, end, "dataPublicacaoPncp", grain, "unidadeOrgao.ufSigla", uf)
+    return published_slice(bronze, start, end, "dataPublicacaoPncp", "unidadeOrgao.ufSigla", uf)
 
 
-def silver_slice(silver: DataFrame, start: str, end: str, grain: str = "day") -> DataFrame:
+def silver_slice(silver: DataFrame, start: str, end: str) -> DataFrame:
     """S6."""
-    return published_slice(silver, start, end, "data_publicacao_pncp", grain)
+    return published_slice(silver, start, end, "data_publicacao_pncp")

@@ -106,7 +106,7 @@ def test_tools_on_stored_tables(lake):
     stats = tools.estatisticas_gerais(tables, AS_OF).first()
     assert stats["maior_contratacao"]["valor_total_estimado"] == 100.5
     assert stats["ultima_atualizacao"] == AS_OF
-    found = tools.buscar_contratacoes(tables, uf="sp", data_inicial="20260101", data_final="20260131", grain=lake[0].grain)
+    found = tools.buscar_contratacoes(tables, uf="sp", data_inicial="20260101", data_final="20260131")
     assert [r["numero_controle_pncp"] for r in found.collect()] == ["d"]
 
 

@@ -68,7 +68,7 @@ def scans(df) -> list[str]:
 
 def test_range_reads_its_partitions_only(stored):
     bronze = stored[1]
-    wanted = bronze_slice(bronze, "19960115", "19960310", "NATION_7", grain="month").select(v.BRONZE_KEY)
+    wanted = bronze_slice(bronze, "19960115", "19960310", "NATION_7").select(v.BRONZE_KEY)
     text = plan(wanted)
     assert re.search(r"PartitionFilters: \[.*publication_part.*1996-01", text)
     assert "GreaterThanOrEqual(dataPublicacaoPncp,1996-01-15)" in text
