@@ -1,8 +1,8 @@
 """Times the headline queries; prints one JSON line.
 
-Each query is planned and run whole (``noop`` sink), twice: ``first`` holds the
-first time in a running session, ``queries`` the better of the two. ``start`` is
-session start and one query together.
+Each query is planned and run whole (``noop`` sink), twice unless it is a long one:
+``first`` holds the first time in a running session, ``queries`` the better of the
+two. ``start`` is session start and one query together.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from noticelake.registry.queries import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
+#: Seconds from which a query is not run a second time.
+LONG = 10.0
 
 HEADLINE = (
     "silver_view", "classify_ramo", "classify_documents", "bucketize_valor",
@@ -43,6 +44,11 @@ def run(spark: SparkSession, name: str) -> float:
     return time.perf_counter() - start
 
 
+def run_twice(spark: SparkSession, name: str) -> list[float]:
+    first = run(spark, name)
+    return [first] if first >= LONG else [first, run(spark, name)]
+
+
 def main() -> None:
     start = time.perf_counter()
     spark = (
@@ -61,7 +67,7 @@ def main() -> None:
     cold = time.perf_counter() - start
 
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
-    times = {name: [run(spark, name) for _ in range(REPEATS)] for name in names}
+    times = {name: run_twice(spark, name) for name in names}
     seconds = {name: round(min(t), 3) for name, t in times.items()}
     spark.stop()
     print(
