@@ -2,32 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-
-
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="noticelake-")
+_WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
-
-    Only a local session without the setting (tests) gets a temporary folder; on a
-    cluster such a folder would be a different one on every machine.
-    """
+    """The folder named in ``spark.checkpoint.dir``, else one in the warehouse; the same rule for every master."""
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-    return _local_root()
+    return f"{spark.conf.get(_WAREHOUSE).rstrip('/')}/_shared"
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
