@@ -126,8 +126,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_items
         matchers = _matchers(blocks, window)
         for batch in batches:
             n_words, n_hit, names, spans = [], [], [], []
-            for text in one_array(batch.column("text")).cast(pa.binary()):
-                data = text.as_py() or b""
+            for data in one_array(batch.column("text")).cast(pa.binary()).to_pylist():
                 n, hit, found = scan(data, matchers)
                 n_words.append(n)
                 n_hit.append(int(hit.sum()))
@@ -149,7 +148,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, ma
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matchers = _matchers(blocks, window)
         for batch in batches:
-            texts = one_array(batch.column(at)).cast(pa.binary())
-            yield batch.filter(pa.array([not scan(t.as_py() or b"", matchers)[1].any() for t in texts], pa.bool_()))
+            texts = one_array(batch.column(at)).cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array([not scan(t or b"", matchers)[1].any() for t in texts], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

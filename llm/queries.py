@@ -7,7 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from llm.common import table
 from llm.decontaminate import decontaminate
 from llm.packing import pack
+from llm.rules import judge
+from llm.simhash import near_duplicates
 from llm.tokens import count_tokens
+from llm.urls import filter_urls
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=2)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +26,20 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = judge(table(spark, sf_dir, "documents"), threshold=0.3)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filter_urls(table(spark, sf_dir, "pages"), threshold=0.5)
+    return found.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer="piece_bpe_32k.model", limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op5_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_best_fit_packing, op5_decontamination, op7_quality_rules, op8_url_filters, op10_token_counts)}
 
 ORACLES: dict[str, str] = {}
