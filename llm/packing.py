@@ -28,7 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import Stored, ids_and_texts, sizes_of, sliced, texts_of
-from llm.tokens import BATCH_BYTES, token_ids
+from llm.tokens import token_ids
+
+#: Bytes of text tokenised at a time: the larger, the fewer distinct parts in all.
+BATCH_BYTES = 32 << 20
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, max_tokens: int, end: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,6 +15,7 @@ Nulls are empty texts; an empty text has no tokens.
 from __future__ import annotations
 
 import functools
+import os
 import re
 from collections.abc import Iterable, Iterator
 
@@ -71,6 +72,10 @@ class _Pieces:
 class _Words:
     """A file of the ``tokenizers`` library."""
 
+    #: A mark that is one token and nothing else; distinct parts are encoded many to a call between marks.
+    MARKS = "♥★☆♡→•"
+    TOGETHER, CALL = 512, 16
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -79,29 +84,58 @@ class _Words:
         self._model.no_padding()
         probe = " Ab  cd,\n\te's "
         alone = [i for part in probe.split() for i in self._encode([part])[0]]
-        self._cuts = self._encode([probe])[0] == alone
+        #: White space is dropped, and a letter and what follows it are split at a closing mark.
+        self._cuts = self._encode([probe])[0] == alone and self._encode(["ab. cd"]) == self._encode(["ab . cd"])
+        self._lowers = self._encode(["AZ aZ"]) == self._encode(["az az"])
+        self._mark = next((m for m in self.MARKS if len(self._encode([m])[0]) == 1 and self._encode([f"a {m} b"])[0] == [i for t in ("a", m, "b") for i in self._encode([t])[0]]), None) if self._cuts else None
+        self._mark_id = self._encode([self._mark])[0][0] if self._mark else -1
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self._model.encode_batch(texts, add_special_tokens=False)] if texts else []
+        return [x.ids for x in self._model.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         if not self._cuts:
             return texts, np.ones(len(texts), dtype=np.int64)
         for space in ("\n", "\t"):
             texts = pc.replace_substring(texts, space, " ")
+        # Special tokens are matched before letters become lower case, so their look is left alone.
+        if self._lowers and not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)
+        texts = pc.replace_substring_regex(texts, "([A-Za-z])([.,;:!?])( |$)", "\\1 \\2\\3")
         split = pc.split_pattern(texts, " ")
         return split.flatten(), np.diff(split.offsets.to_numpy())
 
-    def lengths(self, parts: list[str]) -> np.ndarray:
-        return np.array([len(x) for x in self._encode(parts)], dtype=np.int64)
+    def ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, one after the other, and how many each has."""
+        alone = [i for i, p in enumerate(parts) if self._mark is None or self._mark in p or "<|" in p]
+        apart = dict(zip(alone, self._encode([parts[i] for i in alone]), strict=True))
+        plain = ["" if i in apart else p for i, p in enumerate(parts)] if apart else parts
+        flat, lengths = [], []
+        size = self.TOGETHER * self.CALL
+        for at in range(0, len(plain) if self._mark else 0, size):
+            joined = [f" {self._mark} ".join(plain[i : i + self.TOGETHER]) for i in range(at, min(at + size, len(plain)), self.TOGETHER)]
+            for ids in self._encode(joined):
+                ids = np.array(ids, dtype=np.uint32)
+                marks = np.flatnonzero(ids == self._mark_id)
+                lengths.append(np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1)
+                flat.append(np.delete(ids, marks))
+        if not flat:
+            lengths, flat = [np.zeros(len(parts), dtype=np.int64)], [np.zeros(0, dtype=np.uint32)]
+        count, flat = np.concatenate(lengths), np.concatenate(flat)
+        if apart:
+            starts = np.cumsum(count) - count
+            flat = np.insert(flat, np.repeat(starts[alone], [len(apart[i]) for i in alone]), [x for i in alone for x in apart[i]])
+            count[alone] = [len(apart[i]) for i in alone]
+        return flat, count
 
-    def ids(self, parts: list[str]) -> list[list[int]]:
-        return self._encode(parts)
+    def lengths(self, parts: list[str]) -> np.ndarray:
+        return self.ids(parts)[1]
 
 
 @functools.cache
 def library(name: str) -> _Pieces | _Words:
-    """One model a worker process."""
+    """One model a worker process; Spark runs the tasks side by side, the library none of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     path = tokenizer_file(name)
     return _Words(path) if path.endswith(".json") else _Pieces(path)
 
@@ -119,14 +153,12 @@ def token_ids(texts: pa.Array, name: str, end: int | None = None) -> tuple[np.nd
     model = library(name)
     parts, counts = model.parts(texts)
     coded = parts.dictionary_encode()
-    lists = model.ids(coded.dictionary.to_pylist())
+    flat, lengths = model.ids(coded.dictionary.to_pylist())
     index = coded.indices.to_numpy().astype(np.int64)
     if end is not None:
-        index = np.insert(index, np.cumsum(counts), len(lists))
+        index = np.insert(index, np.cumsum(counts), len(lengths))
         counts = counts + 1
-        lists.append([end])
-    lengths = np.array([len(x) for x in lists], dtype=np.int64)
-    flat = np.fromiter((i for x in lists for i in x), dtype=np.uint32, count=int(lengths.sum()))
+        flat, lengths = np.append(flat, np.uint32(end)), np.append(lengths, 1)
     starts = np.cumsum(lengths) - lengths
     return flat[gather_runs(starts[index], lengths[index])], per_row(lengths[index], counts)
 
