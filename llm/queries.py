@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.classifier import classify
 from llm.common import table
 from llm.decontaminate import decontaminate
 from llm.packing import pack
 from llm.rules import judge
+from llm.secrets import scan_secrets
+from llm.sharding import shard
 from llm.simhash import near_duplicates
 from llm.tokens import count_tokens
 from llm.urls import filter_urls
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"), fdr=0.01, alpha=0.001)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=2)
 
@@ -21,6 +28,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", max_tokens=2048, end=0)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_col="quality", threshold=0.7)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -36,10 +47,14 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"), dimensions=("lang", "source"), shards=8).drop("curve")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer="piece_bpe_32k.model", limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_best_fit_packing, op5_decontamination, op7_quality_rules, op8_url_filters, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_simhash, op3_best_fit_packing, op4_quality_classifier, op5_decontamination, op7_quality_rules, op8_url_filters, op9_sharding, op10_token_counts)}
 
 ORACLES: dict[str, str] = {}
