@@ -8,6 +8,7 @@ from llm.classifier import classify
 from llm.common import table
 from llm.decontaminate import decontaminate
 from llm.packing import pack
+from llm.pitman_yor import score
 from llm.rules import judge
 from llm.secrets import scan_secrets
 from llm.sharding import shard
@@ -37,6 +38,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), parts=10, part=0, rounds=3, samples=2)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judge(table(spark, sf_dir, "documents"), threshold=0.3)
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
@@ -55,6 +60,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer="piece_bpe_32k.model", limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_simhash, op3_best_fit_packing, op4_quality_classifier, op5_decontamination, op7_quality_rules, op8_url_filters, op9_sharding, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_simhash, op3_best_fit_packing, op4_quality_classifier, op5_decontamination, op6_lm_scores, op7_quality_rules, op8_url_filters, op9_sharding, op10_token_counts)}
 
 ORACLES: dict[str, str] = {}
