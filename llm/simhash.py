@@ -1,16 +1,18 @@
 """SimHash near-duplicates through a Gray-order hierarchical index.
 
 Fingerprints are made per document in one pass; from there on only distinct fingerprints count, so
-exact copies cost nothing. The distinct fingerprints are range-sorted by Gray rank (neighbours differ
-in few bits) and cut into slices of about equal size. A node of the index covers consecutive
-fingerprints and holds the bits that all of them share (mask and pattern); a node's differences add
-to those of the nodes above it, and a whole group is left as soon as the sum exceeds the radius.
-
-* Upper nodes: one pattern for each slice, made with ``bit_and`` and ``bit_or``; at most
-  ``MAX_SLICES``, so their size is bounded. Every fingerprint descends them in its own task and goes to
-  the slices that may hold a fingerprint within the radius.
-* Lower nodes: inside a slice, down to the fingerprints. What is found there is reduced to a spanning
-  forest at once, so a dense ball of near copies gives as many links as it has members, not pairs.
+exact copies cost nothing. Fingerprints within ``radius`` bits agree in one of ``radius + 1`` blocks of
+bits, so there is one order for each block: the word is turned until the block leads, and the turned
+words are range-sorted by Gray rank (neighbours differ in few bits) and cut into slices of about equal
+size. A node of the index covers consecutive words and holds the bits that all of them share (mask and
+pattern); a node's differences add to those of the nodes above it, and a whole group is left as soon
+as the sum exceeds the radius or the leading block differs.
+
+* Upper nodes: one pattern for each slice, made with ``bit_and`` and ``bit_or``; at most about
+  ``MAX_SLICES``, so their size is bounded. Every word descends them in its own task and goes to the
+  slices that may hold a word within the radius: its own, and others only where many words share a block.
+* Lower nodes: inside a slice, down to the words. What is found there is reduced to a spanning forest
+  at once, so a dense ball of near copies gives as many links as it has members, not pairs.
 
 The forests are joined to components by rounds of star contraction.
 """
@@ -94,8 +96,9 @@ def levels_of(patterns: np.ndarray, masks: np.ndarray) -> list[tuple[np.ndarray,
     return levels
 
 
-def search(queries: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]], radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node of the last level) pairs whose accumulated differences stay within the radius."""
+def search(queries: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]], radius: int, lead: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node of the last level) pairs that agree in the bits of ``lead`` and whose accumulated
+    differences stay within the radius."""
     n = len(levels[0][0])
     q = np.repeat(np.arange(len(queries)), n)
     node = np.tile(np.arange(n), len(queries))
@@ -110,12 +113,24 @@ def search(queries: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]], rad
             q, seen = np.repeat(q, count), np.repeat(seen, count)
             node = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
         # Bits that the node above has settled are not counted again.
-        seen = seen + np.bitwise_count((queries[q] ^ pattern[node]) & mask[node] & ~above)
-        kept = seen <= radius
+        differs = (queries[q] ^ pattern[node]) & mask[node] & ~above
+        seen = seen + np.bitwise_count(differs)
+        kept = (seen <= radius) & ((differs & lead) == 0)
         q, node, seen = q[kept], node[kept], seen[kept]
     return q, node
 
 
+def turned(words: np.ndarray, by: int) -> np.ndarray:
+    """The words turned left by so many bits."""
+    return words if by % 64 == 0 else (words << _U(by % 64)) | (words >> _U(64 - by % 64))
+
+
+def blocks(radius: int) -> list[tuple[int, np.uint64]]:
+    """For each order: by how much words are turned, and the bits of the block that then leads."""
+    edges = [round(64 * i / (radius + 1)) for i in range(radius + 2)]
+    return [(a, _U(((1 << (b - a)) - 1) << (64 - (b - a)))) for a, b in zip(edges, edges[1:], strict=False)]
+
+
 def merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Joins the trees of ``a[i]`` and ``b[i]`` for every i; the smallest number is the root."""
     while True:
@@ -134,47 +149,59 @@ def merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 def links(fps: DataFrame, radius: int = 2) -> tuple[DataFrame, list[Stored]]:
     """Links (a, b) that connect exactly the distinct ``fp`` within ``radius`` bits, at most one a
-    fingerprint and slice; and the tables to drop once they are read."""
+    word and slice; and the tables to drop once they are read."""
     spark = fps.sparkSession
-    slices = min(MAX_SLICES, max(1, -(-fps.count() // SLICE)))
-    ranked = fps.select("fp", gray_rank(F.col("fp")).alias("rank"))
-    leaf = Stored(ranked.repartitionByRange(slices, "rank").sortWithinPartitions("rank").withColumn("slice", F.spark_partition_id()), "simhash-slices")
-    nodes = leaf.frame.groupBy("slice").agg(F.expr("bit_and(fp)").alias("ones"), F.expr("bit_or(fp)").alias("some"), F.min("rank").alias("rank")).toPandas().sort_values("rank")
-    ones, some = (nodes[c].to_numpy(dtype=np.int64).view(np.uint64) for c in ("ones", "some"))
-    numbers = nodes["slice"].to_numpy(dtype=np.int64)
-    place = np.zeros(int(numbers.max()) + 1 if len(numbers) else 1, dtype=np.int64)
-    place[numbers] = np.arange(len(numbers))
-    top = spark.sparkContext.broadcast((ones, ~(ones ^ some), numbers, place))
+    orders = blocks(radius)
+    slices = min(MAX_SLICES, max(1, -(-fps.count() * len(orders) // SLICE)))
+    each = F.array(*[F.struct(F.lit(j).alias("turn"), (F.shiftleft("fp", by).bitwiseOR(F.shiftrightunsigned("fp", 64 - by)) if by else F.col("fp")).alias("word")) for j, (by, _) in enumerate(orders)])
+    ranked = fps.select(F.explode(each).alias("o")).select("o.turn", "o.word", gray_rank(F.col("o.word")).alias("rank"))
+    leaf = Stored(ranked.repartitionByRange(slices, "turn", "rank").sortWithinPartitions("turn", "rank").withColumn("slice", F.spark_partition_id() * len(orders) + F.col("turn")), "simhash-slices")
+    nodes = leaf.frame.groupBy("slice", "turn").agg(F.expr("bit_and(word)").alias("ones"), F.expr("bit_or(word)").alias("some"), F.min("rank").alias("rank")).toPandas().sort_values(["turn", "rank"])
+    tops = []
+    for j in range(len(orders)):
+        own = nodes[nodes["turn"] == j]
+        ones, some = (own[c].to_numpy(dtype=np.int64).view(np.uint64) for c in ("ones", "some"))
+        tops.append((ones, ~(ones ^ some), own["slice"].to_numpy(dtype=np.int64)))
+    top = spark.sparkContext.broadcast(tops)
 
     def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A fingerprint goes to its own slice and to later ones; earlier ones send theirs here."""
-        pattern, mask, number, where = top.value
-        levels = levels_of(pattern, mask) if len(pattern) else []
+        """A word goes to its own slice and to later ones; earlier ones send theirs here."""
+        ready = []
+        for pattern, mask, number in top.value:
+            by_number = np.argsort(number)
+            ready.append((levels_of(pattern, mask) if len(pattern) else [], number, by_number, number[by_number]))
         for batch in batches:
-            fp, own = batch.column("fp").to_numpy(), where[batch.column("slice").to_numpy()]
-            for i in range(0, len(fp), CHUNK):
-                q, node = search(fp[i : i + CHUNK].view(np.uint64), levels, radius)
-                later = node >= own[i : i + CHUNK][q]
-                q, node = q[later], node[later]
-                yield pa.RecordBatch.from_arrays([pa.array(number[node].astype(np.int32)), pa.array(fp[i : i + CHUNK][q]), pa.array(node == own[i : i + CHUNK][q])], ["slice", "fp", "member"])
-
-    routed = leaf.frame.select("slice", "fp").mapInArrow(route, "slice int, fp long, member boolean")
+            words, turns, slices_ = (batch.column(c).to_numpy() for c in ("word", "turn", "slice"))
+            for j in np.unique(turns).tolist():
+                levels, number, by_number, ordered = ready[j]
+                mine = turns == j
+                word, own = words[mine], by_number[np.searchsorted(ordered, slices_[mine])]
+                for i in range(0, len(word), CHUNK):
+                    q, node = search(word[i : i + CHUNK].view(np.uint64), levels, radius, orders[j][1])
+                    here = own[i : i + CHUNK][q]
+                    later = node >= here
+                    q, node, here = q[later], node[later], here[later]
+                    yield pa.RecordBatch.from_arrays([pa.array(number[node].astype(np.int32)), pa.array(np.full(len(q), j, dtype=np.int32)), pa.array(word[i : i + CHUNK][q]), pa.array(node == here)], ["slice", "turn", "word", "member"])
+
+    routed = leaf.frame.select("slice", "turn", "word").mapInArrow(route, "slice int, turn int, word long, member boolean")
 
     def inside(table: pa.Table) -> pa.Table:
-        fp, member = table["fp"].to_numpy(), table["member"].to_numpy()
-        own = fp[member].view(np.uint64)
+        word, member = table["word"].to_numpy(), table["member"].to_numpy()
+        by, lead = orders[table["turn"][0].as_py()]
+        own = word[member].view(np.uint64)
         rank = own.copy()
         for shift in (1, 2, 4, 8, 16, 32):
             rank ^= rank >> _U(shift)
         own = own[np.argsort(rank)]
-        points = np.concatenate((own, fp[~member].view(np.uint64)))
+        points = np.concatenate((own, word[~member].view(np.uint64)))
         levels = levels_of(own, np.full(len(own), ~_U(0)))
         parent = np.arange(len(points))
         for i in range(0, len(points), CHUNK):
-            q, node = search(points[i : i + CHUNK], levels, radius)
+            q, node = search(points[i : i + CHUNK], levels, radius, lead)
             merge(parent, q + i, node)
         low = np.flatnonzero(parent != np.arange(len(points)))
-        return pa.table({"a": points[low].view(np.int64), "b": points[parent[low]].view(np.int64)})
+        back = turned(points, 64 - by)
+        return pa.table({"a": back[low].view(np.int64), "b": back[parent[low]].view(np.int64)})
 
     found = routed.groupBy("slice").applyInArrow(inside, "a long, b long")
     return found, [leaf]
