@@ -142,6 +142,7 @@ def kept(docs: DataFrame, threshold: float = 0.3, rules: dict[str, tuple[str, st
     renamed = docs.toDF(*plain)
     text = F.coalesce(F.col(plain[docs.columns.index(text_col)]).cast("string"), F.lit(""))
     model = fit(with_counts(renamed.select(text.alias("text"))).drop("text").select(*votes(rules)), rules)
-    judged = with_counts(renamed.withColumn("text", text)).select(*plain, "n_words", "n_repeat_words", *votes(rules))
+    judged = with_counts(renamed.withColumn("text", text)).select(*plain, "n_words", "n_repeat_words", *votes(rules), F.spark_partition_id().alias("_here"))
+    # A filter isn't pushed below a projection with such a column; else every count would be made again inside it.
     chosen = judged.where(~F.expr(BASE_FAILED) & (model.posterior() >= threshold))
     return chosen.select(*[F.col(p).alias(c) for p, c in zip(plain, docs.columns, strict=True)])
