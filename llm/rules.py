@@ -98,7 +98,7 @@ class Model:
         return 1 / (1 + F.exp(-odds))
 
 
-def fit(voted: DataFrame, rules: dict[str, tuple[str, str]] = RULES, rounds: int = 20) -> Model:
+def fit(voted: DataFrame, rules: dict[str, tuple[str, str]] = RULES, rounds: int = 10) -> Model:
     """Expectation-maximisation over the vote patterns; one row of sums comes to the driver each round."""
     names = list(rules)
     patterns = Stored(voted.groupBy(*[f"vote_{n}" for n in names]).agg(F.count("*").alias("n")).coalesce(1), "rules-patterns")
@@ -143,6 +143,7 @@ def kept(docs: DataFrame, threshold: float = 0.3, rules: dict[str, tuple[str, st
     text = F.coalesce(F.col(plain[docs.columns.index(text_col)]).cast("string"), F.lit(""))
     model = fit(with_counts(renamed.select(text.alias("text"))).drop("text").select(*votes(rules)), rules)
     judged = with_counts(renamed.withColumn("text", text)).select(*plain, "n_words", "n_repeat_words", *votes(rules), F.spark_partition_id().alias("_here"))
-    # A filter isn't pushed below a projection with such a column; else every count would be made again inside it.
-    chosen = judged.where(~F.expr(BASE_FAILED) & (model.posterior() >= threshold))
+    # A filter isn't pushed below a projection whose own column it needs and that isn't deterministic; else
+    # every count would be made again for each place in the condition.
+    chosen = judged.where((F.col("_here") >= 0) & ~F.expr(BASE_FAILED) & (model.posterior() >= threshold))
     return chosen.select(*[F.col(p).alias(c) for p, c in zip(plain, docs.columns, strict=True)])
