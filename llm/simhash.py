@@ -254,6 +254,8 @@ def one_of_each(docs: DataFrame, width: int = 3, radius: int = 2, id_col: str =
     found = near_duplicates(docs, width, radius, id_col, text_col)
     kept = Stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).withColumnRenamed("doc_id", "_kept"), "simhash-kept").frame
     own = column(id_col)
-    single = docs.join(kept.where("n = 1"), own == F.col("_kept"), "left_semi")
+    # The ids that stay grow with the input, so they are shuffled to the documents at every size, never sent to all;
+    # the smaller side is hashed, texts are not sorted.
+    single = docs.join(kept.where("n = 1").hint("shuffle_hash"), own == F.col("_kept"), "left_semi")
     repeated = docs.join(kept.where("n > 1"), own == F.col("_kept"), "left_semi").dropDuplicates([id_col])
     return single.union(repeated).union(docs.where(own.isNull()))
