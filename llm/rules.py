@@ -99,27 +99,29 @@ class Model:
 
 
 def fit(voted: DataFrame, rules: dict[str, tuple[str, str]] = RULES, rounds: int = 10) -> Model:
-    """Expectation-maximisation over the vote patterns; one row of sums comes to the driver each round."""
+    """Expectation-maximisation over the vote patterns, all rounds in one query: the patterns (at most 3 to
+    the number of rules) meet in one row, and ``aggregate`` carries the estimates from round to round."""
     names = list(rules)
-    patterns = Stored(voted.groupBy(*[f"vote_{n}" for n in names]).agg(F.count("*").alias("n")).coalesce(1), "rules-patterns")
-    bound = lambda x: min(_HIGH, max(_LOW, x))
-    model = Model(_PRIOR_GOOD, {n: _ON_GOOD[0] / _ON_GOOD[1] for n in names}, {n: _ON_BAD[0] / _ON_BAD[1] for n in names})
-    for _ in range(rounds):
-        good = model.posterior()
-        sums = [F.sum(F.col("n") * good).alias("good"), F.sum("n").alias("all")]
-        for n in names:
-            vote = F.col(f"vote_{n}")
-            for kind, weight in (("good", good), ("bad", 1 - good)):
-                sums += [F.sum(F.when(vote == BAD, F.col("n") * weight)).alias(f"{n}_bad_{kind}"), F.sum(F.when(vote != ABSTAIN, F.col("n") * weight)).alias(f"{n}_all_{kind}")]
-        row = patterns.frame.agg(*sums).first()
-        if not row["all"]:
-            break
-        share = lambda n, kind, add: bound(((row[f"{n}_bad_{kind}"] or 0.0) + add[0]) / ((row[f"{n}_all_{kind}"] or 0.0) + add[1]))
-        fitted = Model(bound(row["good"] / row["all"]), {n: share(n, "good", _ON_GOOD) for n in names}, {n: share(n, "bad", _ON_BAD) for n in names})
-        # A vote for bad never speaks for a document.
-        model = Model(fitted.prior, {n: min(g, fitted.on_bad[n]) for n, g in fitted.on_good.items()}, fitted.on_bad)
-    patterns.drop()
-    return model
+    patterns = voted.groupBy(*[f"vote_{n}" for n in names]).agg(F.count("*").cast("double").alias("n"))
+    row = patterns.select(F.struct("n", F.array(*[f"vote_{n}" for n in names]).alias("v")).alias("p")).agg(F.collect_list("p").alias("w"))
+    bound = lambda x: f"least({_HIGH}D, greatest({_LOW}D, {x}))"
+    start = f"named_struct('prior', {_PRIOR_GOOD}D, 'g', array_repeat({_ON_GOOD[0] / _ON_GOOD[1]}D, {len(names)}), 'b', array_repeat({_ON_BAD[0] / _ON_BAD[1]}D, {len(names)}))"
+    each = f"sequence(0, {len(names) - 1})"
+    odds = f"""aggregate({each}, ln(m.prior / (1 - m.prior)), (s, j) -> s + case get(p.v, j) when {BAD} then ln(get(m.g, j) / get(m.b, j))
+        when {GOOD} then ln((1 - get(m.g, j)) / (1 - get(m.b, j))) else 0D end)"""
+    weighted = f"transform(w, p -> named_struct('v', p.v, 'good', p.n / (1 + exp(-{odds})), 'n', p.n))"
+
+    def share(weight: str, add: tuple[float, float]) -> str:
+        bad = f"aggregate(x, 0D, (s, p) -> s + if(get(p.v, j) = {BAD}, {weight}, 0D))"
+        all_ = f"aggregate(x, 0D, (s, p) -> s + if(get(p.v, j) <> {ABSTAIN}, {weight}, 0D))"
+        return f"transform({each}, j -> {bound(f'({bad} + {add[0]}D) / ({all_} + {add[1]}D)')})"
+
+    prior = bound("aggregate(x, 0D, (s, p) -> s + p.good) / aggregate(x, 0D, (s, p) -> s + p.n)")
+    fitted = f"get(transform(array({weighted}), x -> named_struct('prior', {prior}, 'g', {share('p.good', _ON_GOOD)}, 'b', {share('(p.n - p.good)', _ON_BAD)})), 0)"
+    # A vote for bad never speaks for a document.
+    step = f"get(transform(array({fitted}), z -> named_struct('prior', z.prior, 'g', zip_with(z.g, z.b, (g, b) -> least(g, b)), 'b', z.b)), 0)"
+    got = row.select(F.expr(f"if(size(w) = 0, {start}, aggregate(sequence(1, {rounds}), {start}, (m, i) -> {step}))").alias("model")).first()["model"]
+    return Model(got["prior"], dict(zip(names, got["g"], strict=True)), dict(zip(names, got["b"], strict=True)))
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
