@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -59,7 +58,6 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="noticelake-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -17,8 +17,10 @@ def ordered(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*sort_keys(order))
 
 
-def top(df: DataFrame, order: Sequence[str], limit: int) -> DataFrame:
-    """Order and limit in one TakeOrderedAndProject; ``order`` names a total order."""
+def top(df: DataFrame, order: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Order and limit in one TakeOrderedAndProject; ``order`` names a total order. No limit: all rows."""
+    if limit is None:
+        return ordered(df, order)
     if int(limit) < 1:
         raise ValueError(f"limit must be at least 1, got {limit}")
     return ordered(df, order).limit(int(limit))

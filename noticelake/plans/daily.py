@@ -16,7 +16,7 @@ from noticelake import schemas
 from noticelake import vocabulary as v
 from noticelake.functions import dates
 from noticelake.operators import latest, rollup, silver
-from noticelake.sinks.keyed import KeyedTable, no_changes
+from noticelake.sinks.keyed import KeyedTable, Parts, no_changes
 from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
 from noticelake.sources import pages
 from noticelake.sources.tables import Tables, bronze_slice, silver_slice
@@ -39,12 +39,14 @@ class Lake:
         return KeyedTable(
             self.spark, f"{self.root}/{v.BRONZE}", schemas.BRONZE, (v.BRONZE_KEY,), merge_fields=True,
             ignore=schemas.ORIGIN.names,
+            partition_of=lambda: dates.publication_part(F.col("dataPublicacaoPncp"), self.grain),
         )
 
     @property
     def silver(self) -> KeyedTable:
         return KeyedTable(
             self.spark, f"{self.root}/{v.SILVER}", schemas.SILVER, (v.SILVER_KEY,), ignore=("data_coleta",),
+            date="data_publicacao_pncp",
         )
 
     def gold_path(self, name: str) -> str:
@@ -57,6 +59,11 @@ class Lake:
         # partition columns come last from the files
         return self.spark.read.schema(schema).parquet(self.gold_path(name)).select(*schema.names)
 
+    def stored_periods(self) -> list[tuple[str, str]]:
+        """Periods with a partition in the tables by period: bounded by folders."""
+        found = self.gold(v.GOLD_STATE).select(*PERIOD).distinct().collect()
+        return sorted((r[0], r[1]) for r in found)
+
     def tables(self) -> Tables:
         stored = {v.BRONZE: self.bronze.read, v.SILVER: self.silver.read}
         stored.update({name: (lambda name=name: self.gold(name)) for name in v.GOLD_TABLES})
@@ -88,7 +95,7 @@ def refine(lake: Lake, start: str, end: str, as_of: datetime | Column | None = N
     """A range of Bronze into Silver (K2, K8); also names the partitions it changed."""
     bronze = bronze_slice(lake.bronze.read(), start, end)
     if bronze.isEmpty():
-        return {**no_changes(), "total": lake.silver.read().count(), "partes": []}
+        return {**no_changes(), "total": lake.silver.read().count(), "partes": Parts()}
     counts, touched = lake.silver.upsert(silver_batch(bronze, as_of, lake.grain))
     return {**counts, "total": lake.silver.read().count(), "partes": touched}
 
@@ -98,13 +105,40 @@ def aggregate(
 ) -> bool:
     """A range of Silver into the five Gold tables.
 
-    The four period tables replace the period's partition, so no stale group
-    stays (D5). Months are recomputed whole from Silver (D4): those of the range
-    and those a changed partition says a notice has left.
+    The four period tables replace the period's partition, so no stale group stays (D5);
+    a period without rows loses its partition. Stored periods that hold a day which a
+    notice has left are made again. Months are recomputed whole from
+    Silver (D4): those of the range and those of changed partitions.
     """
     everything = lake.silver.read()
+    changed = changed_parts or []
+    stale = [
+        period for period in lake.stored_periods()
+        if period != (start, end) and any(_holds(period, day) for day in changed.left)
+    ] if getattr(changed, "left", None) else []
+    months: set[int | None] = set()
+    filled = _replace_period(lake, everything, start, end, as_of, months)
+    for period in stale:
+        _replace_period(lake, everything, *period, as_of, months)
+    months |= _months_of_parts(changed, lake.grain)
+    if months:
+        _replace_months(lake, everything, months, as_of)
+    return filled
+
+
+def _holds(period: tuple[str, str], day: str) -> bool:
+    """Whether dates that begin with this text can lie in a period."""
+    low, high = (bound[: len(day)] for bound in dates.bounds(*period))
+    return low <= day <= high
+
+
+def _replace_period(lake: Lake, everything: DataFrame, start: str, end: str, as_of, months: set[int | None]) -> bool:
+    """The four tables' partition of one period; adds the months of its rows."""
     rows = silver_slice(everything, start, end)
     if rows.isEmpty():
+        for spec in rollup.ROLLUPS.values():
+            if spec.by_period:
+                clear_partitions(lake.spark, lake.gold_path(spec.table), [dict(zip(PERIOD, (start, end), strict=True))])
         return False
     cells = rollup.cells(rows).persist()
     try:
@@ -113,10 +147,9 @@ def aggregate(
                 table = rollup.stamp(rollup.from_cells(cells, spec), (start, end), as_of)
                 replace_partitions(spread(table, PERIOD), lake.gold_path(spec.table), PERIOD)
         # at most twelve values
-        months = {r[0] for r in cells.select("mes").distinct().collect()}
+        months |= {r[0] for r in cells.select("mes").distinct().collect()}
     finally:
         cells.unpersist()
-    _replace_months(lake, everything, months | _months_of_parts(changed_parts or [], lake.grain), as_of)
     return True
 
 
@@ -134,15 +167,17 @@ def _replace_months(lake: Lake, everything: DataFrame, months: set[int | None],
     if None in months:
         in_month = in_month | month.isNull()
     elif lake.grain != "year":
-        # the partition name holds the month: other months are not read
-        in_month = in_month & F.substring(schemas.PARTITION, 6, 2).isin([f"{m:02d}" for m in wanted])
+        # the partition name holds the month: other months are not read; a date that is not written in full
+        # lies in the null partition, whatever its month
+        named = F.substring(schemas.PARTITION, 6, 2).isin([f"{m:02d}" for m in wanted])
+        in_month = in_month & (F.col(schemas.PARTITION).isNull() | named)
     table = rollup.stamp(rollup.rollup(everything.filter(in_month), rollup.MONTH), None, as_of)
     table = spread(table, ["mes"]).persist()
     try:
         path = lake.gold_path(rollup.MONTH.table)
         replace_partitions(table, path, ["mes"])
         filled = {r[0] for r in table.select("mes").distinct().collect()}
-        clear_partitions(table, path, [{"mes": m} for m in months - filled])
+        clear_partitions(lake.spark, path, [{"mes": m} for m in months - filled])
     finally:
         table.unpersist()
 

@@ -1,7 +1,8 @@
 """The nine query tools (T1-T9) as functions from tables to a DataFrame.
 
 Optional arguments that are empty add no filter (F7). Filters on grouping columns
-pass below the aggregate and reach the scan; a limit becomes one top-k.
+pass below the aggregate and reach the scan. A limit becomes one top-k; without one,
+a tool answers with every row.
 """
 
 from __future__ import annotations
@@ -13,15 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake import vocabulary as v
+from noticelake.functions import dates, values
 from noticelake.functions import predicates as p
-from noticelake.functions import values
-from noticelake.operators import periods, rollup
+from noticelake.operators import rollup
 from noticelake.operators.ranking import ordered, top
 from noticelake.operators.silver import as_column
 from noticelake.sources.tables import Tables, published_slice
 
-SEARCH_LIMIT = 50
-
 
 def contar_registros(tables: Tables, colecao: str) -> DataFrame:
     """T1."""
@@ -29,10 +28,10 @@ def contar_registros(tables: Tables, colecao: str) -> DataFrame:
 
 
 def resumo_por_estado(
-    tables: Tables, periodo: str | None = None, uf: str | None = None, limite: int = 27
+    tables: Tables, periodo: str | None = None, uf: str | None = None, limite: int | None = None
 ) -> DataFrame:
     """Rows are state x period."""
-    rows = tables.read(v.GOLD_STATE).filter(p.every(p.period_is(periodo), p.state_is(uf)))
+    rows = tables.in_period(v.GOLD_STATE, periodo).filter(p.every(p.state_is(uf)))
     return top(rows, ("-total_contratacoes", "periodo_inicio", "periodo_fim", "uf"), limite)
 
 
@@ -47,13 +46,13 @@ def _summary(
     if overlap not in ("keep", "dedupe"):
         raise ValueError(f"overlap must be 'keep' or 'dedupe', got {overlap!r}")
     if overlap == "keep":
-        rows = tables.read(spec.table).filter(p.every(p.state_is(uf), p.period_is(periodo)))
+        rows = tables.in_period(spec.table, periodo).filter(p.every(p.state_is(uf)))
     else:
-        silver = tables.read(v.SILVER).filter(p.every(p.state_is(uf)))
+        silver = tables.read(v.SILVER)
         if periodo:
-            # still one row per notice: a single period covers it at most once
-            silver = periods.in_periods(silver).filter(p.period_is(periodo))
-        rows = rollup.rollup(silver, spec)
+            # the run's own filter: any number of days, partitions pruned
+            silver = published_slice(silver, *dates.split_period(periodo), "data_publicacao_pncp")
+        rows = rollup.rollup(silver.filter(p.every(p.state_is(uf))), spec)
     summed = rows.groupBy(F.col(group).alias(name)).agg(
         F.sum("total_contratacoes").alias("total_contratacoes"),
         values.money_sum_rounded(F.col("valor_total")).alias("valor_total"),
@@ -82,7 +81,7 @@ def resumo_por_situacao(
     return _summary(tables, rollup.STATUS, "situacao_nome", "situacao", uf, periodo, overlap)
 
 
-def evolucao_mensal(tables: Tables, uf: str | None = None, ano: int | None = None, limite: int = 50) -> DataFrame:
+def evolucao_mensal(tables: Tables, uf: str | None = None, ano: int | None = None, limite: int | None = None) -> DataFrame:
     """T6."""
     rows = tables.read(v.GOLD_MONTH).filter(p.every(p.state_is(uf), p.year_is(ano)))
     return top(rows, ("ano", "mes", "uf"), limite)
@@ -95,10 +94,11 @@ def buscar_contratacoes(
     data_final: str | None = None,
     texto_objeto: str | None = None,
     ramo_mei: str | None = None,
-    limite: int = 10,
+    limite: int | None = None,
     valor_minimo: float | None = None,
 ) -> DataFrame:
-    """T7; ``valor_minimo`` (exclusive) serves the question no tool could answer."""
+    """T7; ``valor_minimo`` (exclusive) serves the question no tool could answer. An explicit ``limite`` is a
+    top-k by date and key."""
     rows = tables.read(v.SILVER)
     if data_inicial and data_final:
         rows = published_slice(rows, data_inicial, data_final, "data_publicacao_pncp")
@@ -110,7 +110,7 @@ def buscar_contratacoes(
             None if valor_minimo is None else F.col("valor_total_estimado") > valor_minimo,
         )
     )
-    return top(rows, ("data_publicacao_pncp", v.SILVER_KEY), min(int(limite), SEARCH_LIMIT))
+    return top(rows, ("data_publicacao_pncp", v.SILVER_KEY), limite)
 
 
 def top_orgaos_contratantes(tables: Tables, uf: str | None = None, limite: int = 10) -> DataFrame:

@@ -90,18 +90,22 @@ def summary(table: str, group: str, name: str, where: str = "true") -> str:
  order by total_contratacoes desc, {name}"""
 
 
-def state_rows(where: str, limit: int) -> str:
+def first(limit: int | None) -> str:
+    return f" limit {limit}" if limit else ""
+
+
+def state_rows(where: str, limit: int | None = None) -> str:
     return f"""with {ALL_GOLD} select * from gold_estado where {where}
- order by total_contratacoes desc, periodo_inicio, periodo_fim, uf limit {limit}"""
+ order by total_contratacoes desc, periodo_inicio, periodo_fim, uf{first(limit)}"""
 
 
-def found(where: str, limit: int) -> str:
+def found(where: str, limit: int | None = None) -> str:
     return f"""with {SILVER} select {FLAT}, ramo_mei from silver where {where}
- order by data_publicacao_pncp, numero_controle_pncp limit {limit}"""
+ order by data_publicacao_pncp, numero_controle_pncp{first(limit)}"""
 
 
 def month_rows(where: str) -> str:
-    return f"with {ALL_GOLD} select * from gold_por_mes where {where} order by ano, mes, uf limit 50"
+    return f"with {ALL_GOLD} select * from gold_por_mes where {where} order by ano, mes, uf"
 
 
 def top_buyers(where: str, limit: int) -> str:
@@ -230,11 +234,18 @@ ORACLES: dict[str, str] = {
     "daily_run_situacao": f"""with {CLOSED} select '{q.FIRST_DAY}' periodo_inicio, '{q.LAST_DAY}' periodo_fim,
  uf, situacao_nome, {COUNT}, {SUM} from silver group by uf, situacao_nome""",
     "daily_run_mes": f"with {CLOSED} {GOLD_MONTH}",
+    "daily_run_mes_by_month": f"with {CLOSED} {GOLD_MONTH}",
+    "records_flatten": f"with {PV} select * from pv",
+    "table_upsert_moved_dates": f"""with {PV}, corrigidas as (select numero_controle_pncp,
+  case situacao_id when 'F' then '1999-05-' || substr(data_publicacao_pncp, 9, 11)
+   when 'O' then '1999-6-' || substr(data_publicacao_pncp, 9, 11) else data_publicacao_pncp end as "dataPublicacaoPncp",
+  objeto_compra as "objetoCompra" from pv)
+ select * from corrigidas where {between('1996-02-01', '1999-12-31', '"dataPublicacaoPncp"')}""",
     "tool_contar": f"""with {ALL_GOLD} select 'contratacoes_processadas' colecao, count(*) total from silver
  union all select 'contratacoes_raw', count(*) from pv union all select 'gold_estado', count(*) from gold_estado
  union all select 'inexistente', 0""",
-    "tool_resumo_estado": state_rows("true", 27),
-    "tool_resumo_estado_periodo": state_rows(IN_PERIOD, 27),
+    "tool_resumo_estado": state_rows("true"),
+    "tool_resumo_estado_periodo": state_rows(IN_PERIOD),
     "tool_resumo_estado_uf": state_rows(f"uf = '{STATE}'", 100),
     "tool_resumo_ramo": summary("gold_area_de_servico", "ramo_mei", "ramo_mei"),
     "tool_resumo_ramo_uf": summary("gold_area_de_servico", "ramo_mei", "ramo_mei", f"uf = '{STATE}'"),
@@ -248,6 +259,9 @@ ORACLES: dict[str, str] = {
     "tool_resumo_situacao": summary("gold_situacao", "situacao_nome", "situacao"),
     "tool_resumo_situacao_dedupe": f"""with {SILVER} select situacao_nome situacao, {COUNT},
  {money('valor_total_estimado', 2)} valor_total from silver where {between('1996-02-14', '1996-02-15')}
+ group by situacao_nome""",
+    "tool_resumo_situacao_dedupe_mes": f"""with {SILVER} select situacao_nome situacao, {COUNT},
+ {money('valor_total_estimado', 2)} valor_total from silver where {between('1996-01-01', '1996-01-31')}
  group by situacao_nome""",
     "tool_evolucao_mensal": month_rows("true"),
     "tool_evolucao_mensal_ano": month_rows(f"uf = '{STATE}' and ano = 1997"),
@@ -256,7 +270,7 @@ ORACLES: dict[str, str] = {
     "tool_buscar": found(
         f"uf = '{STATE}' and {between('1996-01-01', '1996-12-31')}"
         " and regexp_matches(objeto_compra, 'reforma|LICENÇA', 'i')",
-        50,
+        100,
     ),
     "tool_buscar_sem_filtro": found("true", 10),
     "tool_painel": f"with {ALL_GOLD} select 'contratacoes_raw' colecao, count(*) total from pv union all "
@@ -288,9 +302,10 @@ ORACLES: dict[str, str] = {
  {money('valor_total', 2)} valor_total from gold_area_de_servico group by ramo_mei
  order by valor_total desc, ramo_mei limit 1""",
     "acc_limpeza_no_mes": found(
-        f"{between('1996-01-01', '1996-01-31')} and regexp_matches(objeto_compra, 'limpeza', 'i')", 50
+        f"{between('1996-01-01', '1996-01-31')} and regexp_matches(objeto_compra, 'limpeza', 'i')"
     ),
-    "acc_ti_no_ano": found(f"{between('1996-01-01', '1996-12-31')} and ramo_mei = 'TI'", 50),
+    "acc_ti_no_ano": found(f"{between('1996-01-01', '1996-12-31')} and ramo_mei = 'TI'"),
+    "acc_mes_a_mes_no_ano": month_rows("ano = 1997"),
     "acc_ti_acima_80k": f"""with {SILVER} select numero_controle_pncp, uf, valor_total_estimado from silver
  where ramo_mei = 'TI' and valor_total_estimado > 80000""",
     "acc_compare_region": states(

@@ -37,6 +37,8 @@ QUERIES: dict[str, Query] = {}
 FIRST_DAY, LAST_DAY = "19950101", "20010801"
 PERIOD = (FIRST_DAY, LAST_DAY)
 A_PERIOD = "19960214_19960215"
+#: A period of 31 days: no run has made it.
+A_MONTH = "19960101_19960131"
 A_STATE = "nation_7"
 A_STATE_IN_PERIOD = "nation_15"
 A_REGION = "ASIA"
@@ -333,7 +335,9 @@ def table_upsert_fields(spark, sf):
 
 def _gold(spec: rollup.Rollup) -> Query:
     def run(spark, sf):
-        rows = silver_slice(silver_rows(spark, sf), *PERIOD)
+        rows = silver_rows(spark, sf)
+        if spec.by_period:
+            rows = silver_slice(rows, *PERIOD)
         table_ = rollup.stamp(rollup.rollup(rows, spec), PERIOD if spec.by_period else None)
         return rollup.in_order(table_, spec).drop("data_atualizacao")
 
@@ -371,9 +375,9 @@ def gold_from_cells(spark, sf):
     return rollup.from_cells(rollup.cells(silver_rows(spark, sf)), rollup.MONTH)
 
 
-def _two_runs(spark: SparkSession, sf: str) -> daily.Lake:
+def _two_runs(spark: SparkSession, sf: str, grain: str = "year") -> daily.Lake:
     """All notices landed and run; then every pending one republished as closed and run again."""
-    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="year")
+    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain=grain)
     first = _landed(spark, sf, one_page_per_file=False)
     as_of = F.to_timestamp(F.lit("2002-01-01 00:00:00"))
     daily.run(lake, first, FIRST_DAY, LAST_DAY, as_of)
@@ -401,6 +405,38 @@ def daily_run_mes(spark, sf):
     return _two_runs(spark, sf).gold(v.GOLD_MONTH).drop("data_atualizacao")
 
 
+@query
+def daily_run_mes_by_month(spark, sf):
+    """The same where Bronze and Silver are stored by month: other months are not read."""
+    return _two_runs(spark, sf, "month").gold(v.GOLD_MONTH).drop("data_atualizacao")
+
+
+@query
+def table_upsert_moved_dates(spark, sf):
+    """K1 where a correction changes the date: to another ISO date, to one that isn't ISO, and to none (the
+    stored one stays). Read back through the period filter, so the partition must follow the merged date."""
+    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="month")
+    landed = pages.records(_landed(spark, sf, one_page_per_file=False))
+    lake.bronze.upsert(daily.bronze_batch(landed, lake.grain))
+    date = F.col("dataPublicacaoPncp")
+    corrected = (
+        F.when(F.col("situacaoCompraId") == "F", F.concat(F.lit("1999-05-"), F.substring(date, 9, 11)))
+        .when(F.col("situacaoCompraId") == "O", F.concat(F.lit("1999-6-"), F.substring(date, 9, 11)))
+    )
+    sparse = landed.withColumns({"dataPublicacaoPncp": corrected, "objetoCompra": F.lit(None).cast("string")})
+    lake.bronze.upsert(daily.bronze_batch(sparse, lake.grain))
+    found = bronze_slice(lake.bronze.read(), "19960201", "19991231")
+    return found.select(F.col(v.BRONZE_KEY).alias("numero_controle_pncp"), "dataPublicacaoPncp", "objetoCompra")
+
+
+@query
+def records_flatten(spark, sf):
+    """Bare records, one JSON file a partition."""
+    path = fresh_dir(spark, "records")
+    bronze_rows(spark, sf).drop("lote", "pagina").write.json(path)
+    return silver.flatten(pages.read_records(spark, path))
+
+
 # --- tools -----------------------------------------------------------------
 
 
@@ -435,6 +471,7 @@ QUERIES.update(
         "tool_resumo_situacao_dedupe": _tool(
             "resumo_por_situacao", periodo=A_PERIOD, overlap="dedupe"
         ),
+        "tool_resumo_situacao_dedupe_mes": _tool("resumo_por_situacao", periodo=A_MONTH, overlap="dedupe"),
         "tool_evolucao_mensal": _tool("evolucao_mensal"),
         "tool_evolucao_mensal_ano": _tool("evolucao_mensal", uf=A_STATE, ano=1997),
         "tool_top_orgaos": _tool("top_orgaos_contratantes"),
@@ -458,8 +495,8 @@ def tool_buscar(spark, sf):
 
 @query
 def tool_buscar_sem_filtro(spark, sf):
-    """T7 without arguments."""
-    return _found(spark, sf)
+    """T7 with a limit alone."""
+    return _found(spark, sf, limite=10)
 
 
 @query
@@ -516,12 +553,18 @@ def acc_ramo_maior_valor(spark, sf):
 
 @query
 def acc_limpeza_no_mes(spark, sf):
-    return _found(spark, sf, data_inicial="19960101", data_final="19960131", texto_objeto="limpeza", limite=50)
+    return _found(spark, sf, data_inicial="19960101", data_final="19960131", texto_objeto="limpeza")
 
 
 @query
 def acc_ti_no_ano(spark, sf):
-    return _found(spark, sf, data_inicial="19960101", data_final="19961231", ramo_mei="TI", limite=50)
+    return _found(spark, sf, data_inicial="19960101", data_final="19961231", ramo_mei="TI")
+
+
+@query
+def acc_mes_a_mes_no_ano(spark, sf):
+    """Month by month of a year, every state."""
+    return tools.evolucao_mensal(all_tables(spark, sf), ano=1997).drop("data_atualizacao")
 
 
 @query
@@ -576,15 +619,21 @@ def stream_sliding(spark, sf):
 
 @query
 def stream_upsert(spark, sf):
-    """Pages arriving in several micro-batches, the pending notices republished at the end."""
+    """Pages arriving in several micro-batches, the pending notices republished at the end without
+    value and text, which stay as they are stored."""
     landing, rows = fresh_dir(spark, "pages"), nest(notices(spark, sf))
     write_pages(rows, landing, one_page_per_file=False)
     closed = rows.filter("situacaoCompraId = 'P'").withColumns(
-        {"situacaoCompraNome": F.lit("Encerrada"), "lote": F.lit("republicadas")}
+        {
+            "situacaoCompraNome": F.lit("Encerrada"),
+            "objetoCompra": F.lit(None).cast("string"),
+            "valorTotalEstimado": F.lit(None).cast("double"),
+            "lote": F.lit("republicadas"),
+        }
     )
     write_pages(closed, landing, one_page_per_file=False, mode="append")
     arriving = pages.records(pages.stream_pages(spark, landing, one_page_per_file=False, files_per_batch=3))
-    stored = KeyedTable(spark, fresh_dir(spark, "silver"), schemas.SILVER, (v.SILVER_KEY,))
-    to_rows = streams.to_silver_rows("year", F.to_timestamp("data_publicacao_pncp"))
-    streams.finish(streams.upsert_stream(arriving, stored, to_rows, fresh_dir(spark, "checkpoint")))
-    return stored.read().select(*v.SILVER_COLUMNS, "ramo_mei")
+    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="year")
+    as_of = F.to_timestamp("data_publicacao_pncp")
+    streams.finish(streams.lake_stream(arriving, lake, fresh_dir(spark, "checkpoint"), as_of))
+    return lake.silver.read().select(*v.SILVER_COLUMNS, "ramo_mei")

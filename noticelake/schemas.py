@@ -39,9 +39,10 @@ NOTICE = _struct(
     unidadeOrgao=_struct(municipioNome=StringType(), ufSigla=StringType()),
 )
 
+#: Totals come as number or text, like the scalars of a notice.
 ENVELOPE = _struct(
-    totalPaginas=IntegerType(),
-    totalRegistros=LongType(),
+    totalPaginas=StringType(),
+    totalRegistros=StringType(),
     data=ArrayType(NOTICE),
 )
 

@@ -7,13 +7,14 @@ are read. An upsert here
 2. joins only those with the batch and writes the outcome beside the table,
 3. replaces those partitions from there.
 
-Cost follows the touched partitions, not the table. If a run dies between 2 and
-3, the next one first finishes step 3 from what lies beside the table.
+Step 2 costs what the touched partitions hold. Step 1 reads the key column of the
+whole table unless ``keys_may_move`` is False. If a run dies between 2 and 3, the
+next one first finishes step 3 from what lies beside the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,14 @@ from noticelake.workspace import drop_path, path_exists
 _PART_SCHEMA = StructType([StructField(PARTITION, StringType())])
 
 
+class Parts(list):
+    """Touched storage partitions; ``left`` are the days that keys have moved away from."""
+
+    def __init__(self, touched: Iterable[str | None] = (), left: Iterable[str] = ()):
+        super().__init__(touched)
+        self.left = list(left)
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     spark: SparkSession
@@ -47,6 +56,15 @@ class KeyedTable:
     #: False where the source never moves a key to another partition: saves the
     #: scan of the key column that finds rows to move.
     keys_may_move: bool = True
+    #: Storage partition of a merged row, made from the row itself: a field merge may take the date
+    #: that it follows from either side.
+    partition_of: Callable[[], Column] | None = None
+    #: Text date whose changes are reported as days a key has left.
+    date: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.merge_fields and not self.keys_may_move:
+            raise ValueError("a sparse row does not say where its key is stored: merge_fields needs keys_may_move")
 
     @property
     def _stage(self) -> str:
@@ -69,34 +87,39 @@ class KeyedTable:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def touched_parts(self, batch: DataFrame) -> DataFrame:
-        """Partitions the batch writes to (``incoming``) or takes a key away from."""
-        parts = batch.select(PARTITION, F.lit(True).alias("incoming"))
+        """Partitions the batch writes to, or takes a key away from (``left``); and the days of ``date`` that
+        keys have left, whether or not they stay in their partition."""
+        day = F.substring(self.date, 1, 10) if self.date else F.lit(None).cast("string")
+        parts = batch.select(PARTITION, F.lit(False).alias("left"), F.lit(None).cast("string").alias("day"))
         if self.keys_may_move and self.exists():
-            stored = self.read().select(*self.keys, PARTITION)
-            batch_keys = batch.select(*self.keys)
-            moved_from = stored.join(batch_keys, same_keys(stored, batch_keys, self.keys), "left_semi")
-            parts = parts.union(moved_from.select(PARTITION, F.lit(False)))
-        return parts.groupBy(PARTITION).agg(F.max("incoming").alias("incoming"))
-
-    def upsert(self, batch: DataFrame) -> tuple[dict[str, int], list[str | None]]:
+            stored = self.read().select(*self.keys, PARTITION, day.alias("day"))
+            there = batch.select(*self.keys, F.col(PARTITION).alias("_part"), day.alias("_day"))
+            moved = ~(F.col(PARTITION).eqNullSafe(F.col("_part")) & F.col("day").eqNullSafe(F.col("_day")))
+            moved_from = stored.join(there, same_keys(stored, there, self.keys) & moved)
+            parts = parts.union(moved_from.select(PARTITION, ~F.col(PARTITION).eqNullSafe(F.col("_part")), "day"))
+        return parts.groupBy(PARTITION).agg(F.max("left").alias("left"), F.collect_set("day").alias("days"))
+
+    def upsert(self, batch: DataFrame) -> tuple[dict[str, int], Parts]:
         """Apply ``batch`` (one row per key); counts by outcome, and touched partitions."""
         self.recover()
         batch = batch.select(*self.schema.fieldNames()).persist()
         try:
             # one row per storage partition: bounded by the table's folders, not by its rows
-            touched = {r[PARTITION]: r["incoming"] for r in self.touched_parts(batch).collect()}
-            vacated = [(part,) for part, incoming in touched.items() if not incoming]
-            if vacated:
-                left = self.spark.createDataFrame(vacated, _PART_SCHEMA)
-                left.coalesce(1).write.parquet(self._vacated_path)
+            found = self.touched_parts(batch).collect()
+            touched = {r[PARTITION]: r["left"] for r in found}
+            if any(touched.values()):
+                every = self.spark.createDataFrame([(part,) for part in touched], _PART_SCHEMA)
+                every.coalesce(1).write.parquet(self._vacated_path)
             current = self.read().filter(_in_parts(touched))
             outcome = reconcile(current, batch, self.keys, self.merge_fields, self.ignore)
+            if self.partition_of is not None:
+                outcome = outcome.withColumn(PARTITION, self.partition_of())
             spread(outcome, [PARTITION]).write.parquet(self._staged_rows_path)
         finally:
             batch.unpersist()
         counts = self._check_and_count()
         self._apply()
-        return counts, list(touched)
+        return counts, Parts(touched, sorted({day for r in found for day in r["days"]}))
 
     def recover(self) -> bool:
         """Finish an upsert that was written beside the table but not moved in."""
@@ -124,7 +147,7 @@ class KeyedTable:
         if path_exists(self.spark, self._vacated_path):
             left = {r[0] for r in self.spark.read.schema(_PART_SCHEMA).parquet(self._vacated_path).collect()}
             filled = {r[0] for r in rows.select(PARTITION).filter(_in_parts(left)).distinct().collect()}
-            clear_partitions(rows, self.path, [{PARTITION: part} for part in left - filled])
+            clear_partitions(self.spark, self.path, [{PARTITION: part} for part in left - filled])
         drop_path(self.spark, self._stage)
 
     def _staged_rows(self) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from noticelake.workspace import drop_path
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -31,15 +33,11 @@ def replace_partitions(rows: DataFrame, path: str, columns: Sequence[str]) -> No
     )
 
 
-def clear_partitions(rows: DataFrame, path: str, emptied: Iterable[Mapping[str, object]]) -> None:
-    """Replace partitions that no longer have a row by an empty file.
+def clear_partitions(spark: SparkSession, path: str, emptied: Iterable[Mapping[str, object]]) -> None:
+    """Remove the folders of partitions that no longer have a row; those that are not there stay so.
 
-    A dynamic overwrite does not touch a partition it has no row for. ``rows``
-    only gives the schema.
+    A dynamic overwrite does not touch a partition it has no row for.
     """
     for partition in emptied:
         folder = "/".join(f"{c}={_NULL_PARTITION if x is None else x}" for c, x in partition.items())
-        (
-            rows.sparkSession.createDataFrame([], rows.drop(*partition).schema)
-            .coalesce(1).write.mode("overwrite").parquet(f"{path}/{folder}")
-        )
+        drop_path(spark, f"{path}/{folder}")

@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from noticelake import vocabulary as v
 from noticelake.functions import predicates as p
+from noticelake.functions import values
 from noticelake.schemas import ENVELOPE, NOTICE, ORIGIN
 
 _PAGE_IN_PATH = r"pagina[=_-]0*(\d+)"
@@ -47,8 +48,9 @@ def _shape(bodies: DataFrame) -> DataFrame:
         .select(
             "lote",
             F.coalesce("_pagina", "numeroPagina").alias("pagina"),
-            F.coalesce("totalPaginas", F.lit(1)).alias("totalPaginas"),
-            "totalRegistros",
+            # absent: one page; there but unreadable: null, so that it can be told from one
+            F.when(F.col("totalPaginas").isNull(), 1).otherwise(values.to_whole(F.col("totalPaginas"))).alias("totalPaginas"),
+            F.col("totalRegistros").try_cast("bigint").alias("totalRegistros"),
             "data",
         )
     )
@@ -82,9 +84,11 @@ def records(pages: DataFrame) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Bare notices (JSON lines, or arrays of them) under the explicit schema."""
-    return spark.read.schema(NOTICE).option("multiLine", "true").json(path)
+def read_records(spark: SparkSession, path: str, one_array_per_file: bool = False) -> DataFrame:
+    """Bare notices under the explicit schema: a record or an array of them in each line (files split), or,
+    with ``one_array_per_file``, in each file however it is broken into lines."""
+    bodies = spark.read.text(path, wholetext=one_array_per_file)
+    return bodies.select(F.inline(F.from_json("value", ArrayType(NOTICE))))
 
 
 def requested(

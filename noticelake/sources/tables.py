@@ -15,15 +15,31 @@ from noticelake.schemas import PARTITION
 class Tables:
     """Names to DataFrames; a table is opened when it is asked for."""
 
-    def __init__(self, spark: SparkSession, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
+        by_period: Mapping[str, Callable[[str, str], DataFrame]] | None = None,
+    ):
+        """``by_period``: how to make one period's rows of a table that is a view."""
         self.spark = spark
         self._frames = dict(frames)
+        self._by_period = dict(by_period or {})
 
     def read(self, name: str) -> DataFrame:
         """S7."""
         frame = self._frames[name]
         return frame() if callable(frame) else frame
 
+    def in_period(self, name: str, period: str | None) -> DataFrame:
+        """the rows of one period (all without one). A stored table prunes its partitions by the filter;
+        a view is made from the rows of those days alone."""
+        if not period:
+            return self.read(name)
+        start, end = dates.split_period(period)
+        made = self._by_period.get(name)
+        return (made(start, end) if made else self.read(name)).filter(p.every(p.period_is(period)))
+
     def count(self, name: str) -> DataFrame:
         """One row (colecao, total); a name nobody stored has no rows."""
         if name not in self._frames:

@@ -78,7 +78,7 @@ def test_silver_is_typed_and_classified(lake):
 def test_period_tables(lake):
     state = lake[0].gold(v.GOLD_STATE).drop("data_atualizacao")
     assert rows_of(state) == sorted([
-        ("20260115", "20260116", "PE", 2, 100.5, 1), ("20260115", "20260116", "SP", 2, 900100.5, 1),
+        ("20260115", "20260116", "PE", 2, 100.5, 1), ("20260115", "20260116", "SP", 1, 100.5, 1),
         ("20260116", "20260117", "PE", 1, 100.5, 1), ("20260116", "20260117", "SP", 1, 100.5, 1),
         ("20260216", "20260217", "SP", 1, 100.5, 1),
     ], key=str)
@@ -175,3 +175,48 @@ def test_json_keeps_nulls_accents_and_moments(spark, tmp_path):
     assert json.loads(text) == expected and "Ação" in text
     json_rows.write_json(rows, str(tmp_path / "out"))
     assert json.loads(spark.read.text(str(tmp_path / "out")).first()[0]) == expected
+
+
+@pytest.mark.parametrize("grain", ["day", "month", "year"])
+def test_dates_that_are_not_written_in_full(spark, tmp_path, grain):
+    """They lie in the null partition, and their months count them in every run."""
+    lake = daily.Lake(spark, str(tmp_path / "tables"), grain)
+    land(tmp_path / "one", "20260101_20260102", {1: {"totalPaginas": "1", "totalRegistros": "3", "data": [
+        notice("a", dataPublicacaoPncp="2026-01-01T10:00:00"), notice("b", dataPublicacaoPncp="2026-01-1"), notice("c", dataPublicacaoPncp="2026-01")]}})
+    land(tmp_path / "two", "20260105_20260106", {1: {"totalPaginas": 1, "totalRegistros": 1, "data": [notice("d", dataPublicacaoPncp="2026-01-05T10:00:00")]}})
+    daily.run(lake, pages.read_pages(spark, str(tmp_path / "one")), "20260101", "20260131", AS_OF)
+    daily.run(lake, pages.read_pages(spark, str(tmp_path / "two")), "20260105", "20260106", AS_OF)
+    stored = {r["numero_controle_pncp"] for r in lake.silver.read().collect()}
+    month = {(r["mes"], r["total_contratacoes"]) for r in lake.gold(v.GOLD_MONTH).collect()}
+    expected = lake.silver.read().select(F.month(F.try_to_date("data_publicacao_pncp")).alias("m")).groupBy("m").count()
+    assert stored >= {"a", "b", "d"} and month == {(r["m"], r["count"]) for r in expected.collect()}
+
+
+@pytest.mark.parametrize("grain", ["day", "month", "year"])
+def test_a_notice_that_leaves_its_period_alone(spark, tmp_path, grain):
+    """Its old period's rows go, at once and when that period is run again; its month follows."""
+    lake = daily.Lake(spark, str(tmp_path / "tables"), grain)
+    land(tmp_path / "one", "20260105_20260106", {1: {"totalPaginas": 1, "totalRegistros": 1, "data": [notice("a", dataPublicacaoPncp="2026-01-05T10:00:00")]}})
+    land(tmp_path / "two", "20260210_20260211", {1: {"totalPaginas": 1, "totalRegistros": 1, "data": [notice("a", dataPublicacaoPncp="2027-02-10T10:00:00")]}})
+    land(tmp_path / "none", "20260105_20260106", {1: {"totalPaginas": 1, "totalRegistros": 0, "data": []}})
+    daily.run(lake, pages.read_pages(spark, str(tmp_path / "one")), "20260105", "20260106", AS_OF)
+    daily.run(lake, pages.read_pages(spark, str(tmp_path / "two")), "20270210", "20270211", AS_OF)
+    periods_of = lambda name: {r["periodo_inicio"] for r in lake.gold(name).collect()}
+    for name in v.GOLD_TABLES:
+        if name != v.GOLD_MONTH:
+            assert periods_of(name) == {"20270210"}
+    assert {(r["mes"], r["total_contratacoes"]) for r in lake.gold(v.GOLD_MONTH).collect()} == {(2, 1)}
+    assert daily.run(lake, pages.read_pages(spark, str(tmp_path / "none")), "20260105", "20260106", AS_OF)["gold"] is False
+    assert periods_of(v.GOLD_STATE) == {"20270210"}
+
+
+def test_orders_of_tables_and_tools(silver):
+    """O1-O6 as they come, not sorted before they are compared."""
+    for spec in rollup.ROLLUPS.values():
+        rows = [tuple(r) for r in rollup.in_order(rollup.rollup(silver, spec), spec).collect()]
+        names = rollup.in_order(rollup.rollup(silver, spec), spec).columns
+
+        def rank(row, keys=spec.order, names=names):
+            return tuple((-row[names.index(k[1:])] if k.startswith("-") else row[names.index(k)]) for k in keys)
+
+        assert [rank(r) for r in rows] == sorted(rank(r) for r in rows)

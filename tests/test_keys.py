@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from noticelake import schemas
+from noticelake import vocabulary as v
 from noticelake.operators import latest, reconcile
 from noticelake.schemas import PARTITION
 from noticelake.sinks import keyed
@@ -163,3 +165,8 @@ def test_half_written_stage_is_ignored(spark, tmp_path):
     (tmp_path / "t.staged" / "rows" / "_SUCCESS").unlink()
     table.upsert(batch_of(spark, ("b", 1, "d1")))
     assert rows_of(table.read()) == [("a", 1, "d1"), ("b", 1, "d1")]
+
+
+def test_sparse_rows_need_the_key_scan(spark, tmp_path):
+    with pytest.raises(ValueError):
+        KeyedTable(spark, str(tmp_path / "t"), schemas.BRONZE, (v.BRONZE_KEY,), merge_fields=True, keys_may_move=False)

@@ -48,7 +48,7 @@ def test_field_merge_is_cut_before_the_shuffle(spark):
 
 
 def test_limits_become_top_k(spark):
-    for name in ("tool_resumo_estado", "tool_buscar", "tool_top_orgaos", "tool_evolucao_mensal"):
+    for name in ("tool_resumo_estado_uf", "tool_buscar", "tool_top_orgaos", "acc_estado_com_mais"):
         assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF_DIR), "simple")
 
 

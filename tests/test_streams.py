@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from noticelake import schemas
 from noticelake import vocabulary as v
 from noticelake.functions import values
+from noticelake.operators import silver
+from noticelake.plans.daily import Lake
 from noticelake.sinks.keyed import KeyedTable
 from noticelake.sources import pages
 from noticelake.streaming import dedup, sliding
@@ -54,27 +56,34 @@ def test_periods_of_a_stream_equal_the_table(spark, tmp_path):
     assert {r[0] for r in got} == {"20251231", "20260101", "20260102", "20260103"}
 
 
-@pytest.mark.parametrize("layer", ["bronze", "silver"])
+@pytest.mark.parametrize("layer", ["bronze", "lake"])
 def test_pages_arriving_over_time(spark, tmp_path, layer):
     source = tmp_path / "in"
-    if layer == "bronze":
-        table = KeyedTable(spark, str(tmp_path / "t"), schemas.BRONZE, (v.BRONZE_KEY,), merge_fields=True)
-        to_rows, key, status = streams.to_bronze_rows(), v.BRONZE_KEY, "situacaoCompraNome"
-    else:
-        table = KeyedTable(spark, str(tmp_path / "t"), schemas.SILVER, (v.SILVER_KEY,), ignore=("data_coleta",))
-        to_rows, key, status = streams.to_silver_rows(), v.SILVER_KEY, "situacao_nome"
+    lake = Lake(spark, str(tmp_path / "lake"))
+    table = KeyedTable(spark, str(tmp_path / "t"), schemas.BRONZE, (v.BRONZE_KEY,), merge_fields=True)
 
     def arrive():
-        records = pages.records(pages.stream_pages(spark, str(source), files_per_batch=2))
-        streams.finish(streams.upsert_stream(records, table, to_rows, str(tmp_path / "check")))
+        records, check = pages.records(pages.stream_pages(spark, str(source), files_per_batch=2)), str(tmp_path / "check")
+        if layer == "lake":
+            streams.finish(streams.lake_stream(records, lake, check))
+        else:
+            streams.finish(streams.upsert_stream(records, table, streams.to_bronze_rows(), check))
+
+    def stored():
+        return silver.flatten(table.read()) if layer == "bronze" else lake.silver.read()
 
     land(source, "20260115_20260116", {
-        n: {"totalPaginas": 3, "data": [notice(f"k{n}"), notice("same", situacaoCompraNome=f"s{n}")]} for n in (1, 2, 3)
+        n: {"totalPaginas": 3, "data": [notice(f"k{n}"), notice("same", situacaoCompraNome=f"s{n}", objetoCompra="Obra")]} for n in (1, 2, 3)
     })
     arrive()
-    assert table.read().count() == 4
-    land(source, "20260116_20260117", {1: {"totalPaginas": 1, "data": [notice("same", situacaoCompraNome="last")]}, 2: ""})
+    assert stored().count() == 4
+    again = notice("same", situacaoCompraNome="last", objetoCompra=None, valorTotalEstimado=None)
+    land(source, "20260116_20260117", {1: {"totalPaginas": 1, "data": [again]}, 2: ""})
     arrive()
     arrive()
-    rows = {r[key]: r[status] for r in table.read().collect()}
-    assert rows.keys() == {"k1", "k2", "k3", "same"} and rows["same"] == "last"
+    rows = {r["numero_controle_pncp"]: r for r in stored().collect()}
+    assert rows.keys() == {"k1", "k2", "k3", "same"} and rows["same"]["situacao_nome"] == "last"
+    # fields that the repeat leaves out stay as they are stored, in Silver as in Bronze
+    assert rows["same"]["objeto_compra"] == "Obra" and rows["same"]["valor_total_estimado"] == 100.5
+    if layer == "lake":
+        assert rows["same"]["ramo_mei"] == "Obras"

@@ -40,8 +40,10 @@ def test_unknown_names(tables):
 
 
 def test_limits(spark, tables):
-    assert tools.buscar_contratacoes(tables, limite=500).count() == 50
-    assert tools.buscar_contratacoes(tables).count() == 10
+    assert tools.buscar_contratacoes(tables, limite=500).count() == 61
+    assert tools.buscar_contratacoes(tables).count() == 61
+    assert tools.buscar_contratacoes(tables, limite=55).count() == 55
+    assert tools.resumo_por_estado(tables, limite=2).count() == 2
     for bad in (0, -1):
         with pytest.raises(ValueError):
             top(spark.range(3), ["id"], bad)
@@ -52,7 +54,7 @@ def test_empty_arguments_add_no_filter(tables):
     assert tools.resumo_por_estado(tables, periodo="20260101_20260102").count() == 3
     assert tools.resumo_por_estado(tables, uf="pe").count() == 2
     half = tools.buscar_contratacoes(tables, data_inicial="20270101", limite=50)
-    assert half.count() == 50
+    assert half.count() == 50  # a date alone is no filter
 
 
 def test_ties_are_in_a_fixed_order(tables):
@@ -64,6 +66,7 @@ def test_ties_are_in_a_fixed_order(tables):
 
 def test_search_text_is_a_regex_and_value_a_filter(tables):
     assert tools.buscar_contratacoes(tables, texto_objeto="^AQUISIÇÃO$", limite=50).count() == 50
+    assert tools.buscar_contratacoes(tables, texto_objeto="^AQUISIÇÃO$").count() == 60
     assert tools.buscar_contratacoes(tables, texto_objeto="obra").count() == 0
     assert tools.buscar_contratacoes(tables, valor_minimo=57.0).count() == 2
 
