@@ -62,23 +62,24 @@ def test_language_model_counts(spark):
 def test_predictive_probabilities_sum_to_one(spark):
     from pyspark.sql import functions as F
 
-    from llm.pitman_yor import encoded, merged, next_totals, predictive, unpacked
+    from llm.pitman_yor import encoded, merged, next_totals, predictive, seats_of
 
     docs = frame(spark, [(i, prose(i, 50)) for i in range(1, 9)]).select("doc_id", F.lit(False).alias("held_out"), "text")
-    rows = encoded(docs).where("word is not null").select("word", "contexts", "counts").coalesce(1).sortWithinPartitions("word")
-    words = rows.mapInArrow(merged, "word string, contexts binary, counts binary").withColumn("h", F.xxhash64("word"))
+    words = encoded(docs, 5).where("shard is not null").groupBy("shard").applyInArrow(merged, "shard int, seats binary, asks binary").cache()
     before, tokens = first_totals(words)
     after = next_totals(words, before, 1)
-    assert tokens == sum(51 for _ in range(8)) and before.customers.sum() == tokens
-    table = predictive(words, [(1, before, after)]).toArrow()
-    parent, _ = unpacked(table["parent"], "<f8")
-    assert abs(parent.sum() + after.unknown - 1) < 1e-9
-    known, many = unpacked(table["known"], "<u1")
-    p, _ = unpacked(table["p"], "<f4")
-    row = np.repeat(np.arange(len(many)), many)
-    for u in np.unique(known):
-        total = after.back_off[u] * (1 - parent[row[known == u]].sum()) + p[known == u].sum()
-        assert abs(total - 1) < 1e-5
+    assert tokens == 8 * 51 == before.customers.sum()
+    shards = [seats_of(r["seats"]) for r in words.collect()]
+    assert len(shards) > 1
+    made = [predictive(s, [(1, before, after)]) for s in shards]
+    assert abs(sum(parents.sum() for parents, _ in made) + after.unknown - 1) < 1e-9
+    for u in range(CONTEXTS):
+        if after.customers[u]:
+            total = after.back_off[u]
+            for (_, contexts, _, many), (parents, mean) in zip(shards, made):
+                row = np.repeat(np.arange(len(many)), many)
+                total += mean[contexts == u].sum() - after.back_off[u] * parents[row[contexts == u]].sum()
+            assert abs(total - 1) < 1e-9
 
 
 def test_seats():
