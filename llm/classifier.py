@@ -26,7 +26,7 @@ from llm.common import column, gather_runs, per_row, sizes_of, sliced, texts_of
 GRAMS = (3, 4, 5)
 BUCKETS = 1 << 18
 #: Bytes of text scored at a time.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: Marks, in the first two buckets.
 SAME, AGAIN, FIRST_BUCKET = 0, 1, 2
 
