@@ -273,6 +273,31 @@ ORACLES: dict[str, str] = {
         100,
     ),
     "tool_buscar_sem_filtro": found("true", 10),
+    "tool_resumo_estado_lake": state_rows(IN_PERIOD),
+    "tool_resumo_ramo_lake": summary(
+        "gold_area_de_servico", "ramo_mei", "ramo_mei", f"uf = '{q.A_STATE_IN_PERIOD.upper()}' and {IN_PERIOD}"
+    ),
+    "tool_resumo_faixa_lake": summary("gold_faixa_de_valor", "faixa_valor", "faixa_valor", IN_PERIOD),
+    "tool_resumo_situacao_lake": f"""with {SILVER} select situacao_nome situacao, {COUNT},
+ {money('valor_total_estimado', 2)} valor_total from silver where {between('1996-01-01', '1996-01-31')}
+ group by situacao_nome""",
+    "tool_evolucao_mensal_lake": month_rows("ano = 1997"),
+    "tool_buscar_lake": found(
+        f"uf = '{STATE}' and {between('1996-01-01', '1996-12-31')}"
+        " and regexp_matches(objeto_compra, 'reforma|LICENÇA', 'i')"
+    ),
+    "tool_estatisticas_lake": f"""with {ALL_GOLD}, maior as (
+ select * from silver order by valor_total_estimado desc nulls last, numero_controle_pncp desc limit 1)
+ select (select count(*) from pv) camada_bronze_raw, (select count(*) from silver) camada_silver_processadas, """
+    + ", ".join(
+        f"(select count(*) from (select distinct {keys} from silver)) + (select count(*) from {name} where {IN_PERIOD}) {name}"
+        for name, keys in {
+            "gold_area_de_servico": "uf, ramo_mei", "gold_estado": "uf", "gold_faixa_de_valor": "uf, faixa_valor",
+            "gold_situacao": "uf, situacao_nome",
+        }.items()
+    )
+    + """, (select count(*) from gold_por_mes) gold_por_mes, valor_total_estimado maior_valor, objeto_compra maior_objeto,
+ uf maior_uf, (select strftime(max(data_coleta), '%Y-%m-%d %H:%M:%S') from silver) ultima_atualizacao from maior""",
     "tool_painel": f"with {ALL_GOLD} select 'contratacoes_raw' colecao, count(*) total from pv union all "
     "select 'contratacoes_processadas', count(*) from silver union all "
     + " union all ".join(f"select '{name}', count(*) from {name}" for name in v.GOLD_TABLES),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from noticelake.sources import pages
 from noticelake.sources.tables import bronze_slice, silver_slice
 from noticelake.streaming import dedup, sliding
 from noticelake.streaming import upsert as streams
-from noticelake.workspace import fresh_dir
+from noticelake.workspace import fresh_dir, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,6 +142,14 @@ def _landed(spark: SparkSession, sf: str, one_page_per_file: bool = True) -> Dat
     return pages.read_pages(spark, path, one_page_per_file)
 
 
+@contextmanager
+def _landing(spark: SparkSession, nested: DataFrame) -> Iterator[DataFrame]:
+    """Pages that are there only as long as a run needs them."""
+    with scratch(spark, "pages") as path:
+        write_pages(nested, path, one_page_per_file=False)
+        yield pages.read_pages(spark, path, one_page_per_file=False)
+
+
 @query
 def pages_explode(spark, sf):
     """One page a file; run and page from the path, place from the array."""
@@ -318,15 +327,16 @@ def table_upsert_fields(spark, sf):
     stored = KeyedTable(
         spark, fresh_dir(spark, "bronze"), schemas.BRONZE, (v.BRONZE_KEY,), merge_fields=True
     )
-    landed = pages.records(_landed(spark, sf, one_page_per_file=False))
-    stored.upsert(daily.bronze_batch(landed, "year"))
     sparse = {
         f.name: F.lit(None).cast(f.dataType)
         for f in schemas.NOTICE.fields
         if f.name not in (v.BRONZE_KEY, "dataPublicacaoPncp", "situacaoCompraNome")
     }
-    batch = landed.filter("situacaoCompraId = 'P'").withColumns({**sparse, "situacaoCompraNome": F.lit("Anulada")})
-    stored.upsert(daily.bronze_batch(batch, "year"))
+    with _landing(spark, bronze_rows(spark, sf)) as landed:
+        records = pages.records(landed)
+        stored.upsert(daily.bronze_batch(records, "year"))
+        batch = records.filter("situacaoCompraId = 'P'").withColumns({**sparse, "situacaoCompraNome": F.lit("Anulada")})
+        stored.upsert(daily.bronze_batch(batch, "year"))
     return silver.flatten(stored.read())
 
 
@@ -378,9 +388,9 @@ def gold_from_cells(spark, sf):
 def _two_runs(spark: SparkSession, sf: str, grain: str = "year") -> daily.Lake:
     """All notices landed and run; then every pending one republished as closed and run again."""
     lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain=grain)
-    first = _landed(spark, sf, one_page_per_file=False)
     as_of = F.to_timestamp(F.lit("2002-01-01 00:00:00"))
-    daily.run(lake, first, FIRST_DAY, LAST_DAY, as_of)
+    with _landing(spark, bronze_rows(spark, sf)) as landed:
+        daily.run(lake, landed, FIRST_DAY, LAST_DAY, as_of)
     closed = nest(notices(spark, sf)).filter("situacaoCompraId = 'P'").withColumns(
         {
             "situacaoCompraNome": F.lit("Encerrada"),
@@ -388,11 +398,29 @@ def _two_runs(spark: SparkSession, sf: str, grain: str = "year") -> daily.Lake:
             "lote": F.lit("republicadas"),
         }
     )
-    path = write_pages(closed, fresh_dir(spark, "pages"), one_page_per_file=False)
-    daily.run(lake, pages.read_pages(spark, path, one_page_per_file=False), FIRST_DAY, LAST_DAY, as_of)
+    with _landing(spark, closed) as landed:
+        daily.run(lake, landed, FIRST_DAY, LAST_DAY, as_of)
     return lake
 
 
+_stored: dict[tuple[str, str], daily.Lake] = {}
+
+
+def _stored_lake(spark: SparkSession, sf: str) -> daily.Lake:
+    """A lake with two stored periods, all days and `A_PERIOD`; made once a session, then only read."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stored:
+        lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="month")
+        with _landing(spark, bronze_rows(spark, sf)) as landed:
+            daily.ingest(lake, landed)
+        refined = daily.refine(lake, FIRST_DAY, LAST_DAY, F.to_timestamp("data_publicacao_pncp"))
+        as_of = F.to_timestamp(F.lit("2002-01-01 00:00:00"))
+        daily.aggregate(lake, FIRST_DAY, LAST_DAY, as_of, refined["partes"])
+        daily.aggregate(lake, *A_PERIOD.split("_"), as_of)
+        _stored[key] = lake
+    return _stored[key]
+
+
 @query
 def daily_run_situacao(spark, sf):
     """K1 K2 K3 K7 P6 over two runs: no stale status group stays."""
@@ -416,15 +444,16 @@ def table_upsert_moved_dates(spark, sf):
     """K1 where a correction changes the date: to another ISO date, to one that isn't ISO, and to none (the
     stored one stays). Read back through the period filter, so the partition must follow the merged date."""
     lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="month")
-    landed = pages.records(_landed(spark, sf, one_page_per_file=False))
-    lake.bronze.upsert(daily.bronze_batch(landed, lake.grain))
     date = F.col("dataPublicacaoPncp")
     corrected = (
         F.when(F.col("situacaoCompraId") == "F", F.concat(F.lit("1999-05-"), F.substring(date, 9, 11)))
         .when(F.col("situacaoCompraId") == "O", F.concat(F.lit("1999-6-"), F.substring(date, 9, 11)))
     )
-    sparse = landed.withColumns({"dataPublicacaoPncp": corrected, "objetoCompra": F.lit(None).cast("string")})
-    lake.bronze.upsert(daily.bronze_batch(sparse, lake.grain))
+    with _landing(spark, bronze_rows(spark, sf)) as landed:
+        records = pages.records(landed)
+        lake.bronze.upsert(daily.bronze_batch(records, lake.grain))
+        sparse = records.withColumns({"dataPublicacaoPncp": corrected, "objetoCompra": F.lit(None).cast("string")})
+        lake.bronze.upsert(daily.bronze_batch(sparse, lake.grain))
     found = bronze_slice(lake.bronze.read(), "19960201", "19991231")
     return found.select(F.col(v.BRONZE_KEY).alias("numero_controle_pncp"), "dataPublicacaoPncp", "objetoCompra")
 
@@ -480,6 +509,31 @@ QUERIES.update(
 )
 
 
+def _on_lake(name: str, **arguments) -> Query:
+    """A tool on stored tables, the way users take; nothing is derived again."""
+    return lambda spark, sf: tools.call(_stored_lake(spark, sf).tables(), name, **arguments).drop("data_atualizacao", "data_coleta", schemas.PARTITION)
+
+
+QUERIES.update(
+    {
+        "tool_resumo_estado_lake": _on_lake("resumo_por_estado", periodo=A_PERIOD),
+        "tool_resumo_ramo_lake": _on_lake("resumo_por_ramo_mei", uf=A_STATE_IN_PERIOD, periodo=A_PERIOD),
+        "tool_resumo_faixa_lake": _on_lake("resumo_por_faixa_valor", periodo=A_PERIOD),
+        "tool_resumo_situacao_lake": _on_lake("resumo_por_situacao", periodo=A_MONTH, overlap="dedupe"),
+        "tool_evolucao_mensal_lake": _on_lake("evolucao_mensal", ano=1997),
+        "tool_buscar_lake": _on_lake(
+            "buscar_contratacoes", uf=A_STATE, data_inicial="19960101", data_final="19961231", texto_objeto="reforma|LICENÇA"
+        ),
+    }
+)
+
+
+@query
+def tool_estatisticas_lake(spark, sf):
+    """T9 where counts come from stored tables."""
+    return _statistics(tools.estatisticas_gerais(_stored_lake(spark, sf).tables()))
+
+
 def _found(spark: SparkSession, sf: str, **arguments) -> DataFrame:
     return tools.buscar_contratacoes(all_tables(spark, sf), **arguments).drop("data_coleta")
 
@@ -508,8 +562,12 @@ def tool_painel(spark, sf):
 @query
 def tool_estatisticas(spark, sf):
     """T9 A12 A13 A14 P13 O10 O11."""
+    return _statistics(tools.estatisticas_gerais(all_tables(spark, sf)))
+
+
+def _statistics(row: DataFrame) -> DataFrame:
     greatest = F.col("maior_contratacao")
-    return tools.estatisticas_gerais(all_tables(spark, sf)).select(
+    return row.select(
         "camada_bronze_raw",
         "camada_silver_processadas",
         *v.GOLD_TABLES,
@@ -602,8 +660,9 @@ def stream_dedup(spark, sf):
     """Every event sent twice."""
     twice = _event_stream(spark, sf).unionByName(_event_stream(spark, sf))
     once = dedup.first_seen(twice, ["event_id"], "ts", "31 days").drop("props", "ts")
-    path, checkpoint = fresh_dir(spark, "events"), fresh_dir(spark, "checkpoint")
-    streams.finish(streams.append_stream(once, path, checkpoint))
+    path = fresh_dir(spark, "events")
+    with scratch(spark, "checkpoint") as checkpoint:
+        streams.finish(streams.append_stream(once, path, checkpoint))
     return spark.read.schema(once.schema).parquet(path)
 
 
@@ -612,8 +671,9 @@ def stream_sliding(spark, sf):
     """X1 as a stream, complete output."""
     measures = [F.count("*").alias("total"), values.money_sum(F.col("value")).alias("valor_total")]
     totals = sliding.sliding_periods(_event_stream(spark, sf), "ts", ["event_type"], measures)
-    path, checkpoint = fresh_dir(spark, "periods"), fresh_dir(spark, "checkpoint")
-    streams.finish(streams.replace_stream(totals, path, checkpoint))
+    path = fresh_dir(spark, "periods")
+    with scratch(spark, "checkpoint") as checkpoint:
+        streams.finish(streams.replace_stream(totals, path, checkpoint))
     return spark.read.schema(totals.schema).parquet(path)
 
 
@@ -621,8 +681,7 @@ def stream_sliding(spark, sf):
 def stream_upsert(spark, sf):
     """Pages arriving in several micro-batches, the pending notices republished at the end without
     value and text, which stay as they are stored."""
-    landing, rows = fresh_dir(spark, "pages"), nest(notices(spark, sf))
-    write_pages(rows, landing, one_page_per_file=False)
+    rows = nest(notices(spark, sf))
     closed = rows.filter("situacaoCompraId = 'P'").withColumns(
         {
             "situacaoCompraNome": F.lit("Encerrada"),
@@ -631,9 +690,11 @@ def stream_upsert(spark, sf):
             "lote": F.lit("republicadas"),
         }
     )
-    write_pages(closed, landing, one_page_per_file=False, mode="append")
-    arriving = pages.records(pages.stream_pages(spark, landing, one_page_per_file=False, files_per_batch=3))
     lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="year")
     as_of = F.to_timestamp("data_publicacao_pncp")
-    streams.finish(streams.lake_stream(arriving, lake, fresh_dir(spark, "checkpoint"), as_of))
+    with scratch(spark, "pages") as landing, scratch(spark, "checkpoint") as checkpoint:
+        write_pages(rows, landing, one_page_per_file=False)
+        write_pages(closed, landing, one_page_per_file=False, mode="append")
+        arriving = pages.records(pages.stream_pages(spark, landing, one_page_per_file=False, files_per_batch=3))
+        streams.finish(streams.lake_stream(arriving, lake, checkpoint, as_of))
     return lake.silver.read().select(*v.SILVER_COLUMNS, "ramo_mei")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,16 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/noticelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for a job's own use, removed when the block ends: nothing lazy may read it afterwards."""
+    path = fresh_dir(spark, name)
+    try:
+        yield path
+    finally:
+        drop_path(spark, path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
