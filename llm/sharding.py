@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from llm.common import Stored, column
 
+SALTS = 16
+
 
 def hilbert_index(cells: list[np.ndarray], bits: int) -> np.ndarray:
     """Place on the Hilbert curve of points with coordinates below ``2 ** bits`` (Skilling's transform)."""
@@ -89,8 +91,10 @@ def shard(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source"), sha
     meta = Stored(meta, "sharding-meta").frame
     group = ["hash", "text_crc32", "bytes"]
     least = meta.groupBy(*group).agg(F.count("*").alias("copies"), *[F.min(n).alias(f"g_{n}") for n in names])
-    several = least.where("copies > 1").drop("copies")
-    grouped = meta.join(several, group, "left").select("doc_id", *group, *[F.coalesce(f"g_{n}", n).alias(n) for n in names])
+    # A group may hold a third of all rows: its rows are dealt over SALTS tasks, and its one row goes to each.
+    several = least.where("copies > 1").drop("copies").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = meta.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    grouped = salted.join(several, [*group, "salt"], "left").select("doc_id", *group, *[F.coalesce(f"g_{n}", n).alias(n) for n in names])
     coded = grouped.select("doc_id", *group, *[c.alias(f"c{i}") for i, c in enumerate(cells(grouped, [*names, "bytes"], bits))])
     coordinates = [f"c{i}" for i in range(len(names) + 1)]
     kind = meta.schema["doc_id"].dataType.simpleString()
