@@ -99,12 +99,12 @@ def rollup_approximate(silver: DataFrame, spec: Rollup, relative_error: float =
     return with_dimensions(silver).groupBy(*spec.keys).agg(*measures)
 
 
-def cells(silver: DataFrame) -> DataFrame:
+def cells(silver: DataFrame, extra_keys: Iterable[str] = ()) -> DataFrame:
     """Finest pre-aggregate all five tables can be built from."""
     value = F.col(VALUE)
     return (
         with_dimensions(silver)
-        .groupBy(*DIMENSIONS)
+        .groupBy(*extra_keys, *DIMENSIONS)
         .agg(
             F.count("*").alias("_linhas"),
             F.sum(values.fixed_part(value)).alias("_valor"),

@@ -16,7 +16,7 @@ from noticelake import schemas
 from noticelake import vocabulary as v
 from noticelake.functions import dates
 from noticelake.operators import latest, rollup, silver
-from noticelake.sinks.keyed import KeyedTable, Parts, no_changes
+from noticelake.sinks.keyed import KeyedTable, Parts, in_parts, no_changes
 from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
 from noticelake.sources import pages
 from noticelake.sources.tables import Tables, bronze_slice, silver_slice
@@ -49,6 +49,12 @@ class Lake:
             date="data_publicacao_pncp",
         )
 
+    @property
+    def cells_path(self) -> str:
+        """Pre-aggregate of Silver by storage partition, for the monthly table. It can be removed: the next run
+        builds it anew."""
+        return f"{self.root}/_celulas"
+
     def gold_path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -107,8 +113,9 @@ def aggregate(
 
     The four period tables replace the period's partition, so no stale group stays (D5);
     a period without rows loses its partition. Stored periods that hold a day which a
-    notice has left are made again. Months are recomputed whole from
-    Silver (D4): those of the range and those of changed partitions.
+    notice has left are made again. Months are recomputed whole (D4), those of the range and
+    those of changed partitions, from a stored pre-aggregate of Silver: only the partitions of
+    the range and the changed ones are read in Silver itself.
     """
     everything = lake.silver.read()
     changed = changed_parts or []
@@ -122,10 +129,23 @@ def aggregate(
         _replace_period(lake, everything, *period, as_of, months)
     months |= _months_of_parts(changed, lake.grain)
     if months:
-        _replace_months(lake, everything, months, as_of)
+        parts = {r[0] for r in silver_slice(everything, start, end).select(schemas.PARTITION).distinct().collect()}
+        _refresh_cells(lake, everything, parts | set(changed))
+        _replace_months(lake, months, as_of)
     return filled
 
 
+def _refresh_cells(lake: Lake, everything: DataFrame, parts: set[str | None]) -> None:
+    """Make the pre-aggregate of these storage partitions again; of all where there is none yet."""
+    rows = everything
+    if path_exists(lake.spark, lake.cells_path):
+        rows = everything.filter(in_parts(parts))
+        present = {r[0] for r in rows.select(schemas.PARTITION).distinct().collect()}
+        clear_partitions(lake.spark, lake.cells_path, [{schemas.PARTITION: part} for part in parts - present])
+    table = rollup.cells(rows, [schemas.PARTITION])
+    replace_partitions(spread(table, [schemas.PARTITION]), lake.cells_path, [schemas.PARTITION])
+
+
 def _holds(period: tuple[str, str], day: str) -> bool:
     """Whether dates that begin with this text can lie in a period."""
     low, high = (bound[: len(day)] for bound in dates.bounds(*period))
@@ -160,18 +180,19 @@ def _months_of_parts(parts: list[str | None], grain: str) -> set[int | None]:
     return {int(part[5:7]) if part and part[5:7].isdigit() else None for part in parts}
 
 
-def _replace_months(lake: Lake, everything: DataFrame, months: set[int | None], as_of) -> None:
+def _replace_months(lake: Lake, months: set[int | None], as_of) -> None:
     wanted = [m for m in months if m is not None]
-    month = dates.month_of(F.col("data_publicacao_pncp"))
-    in_month = month.isin(wanted)
+    in_month = F.col("mes").isin(wanted)
     if None in months:
-        in_month = in_month | month.isNull()
+        in_month = in_month | F.col("mes").isNull()
     elif lake.grain != "year":
         # the partition name holds the month: other months are not read; a date that is not written in full
         # lies in the null partition, whatever its month
         named = F.substring(schemas.PARTITION, 6, 2).isin([f"{m:02d}" for m in wanted])
         in_month = in_month & (F.col(schemas.PARTITION).isNull() | named)
-    table = rollup.stamp(rollup.rollup(everything.filter(in_month), rollup.MONTH), None, as_of)
+    schema = rollup.cells(lake.silver.read(), [schemas.PARTITION]).schema
+    stored = lake.spark.read.schema(schema).parquet(lake.cells_path)
+    table = rollup.stamp(rollup.from_cells(stored.filter(in_month), rollup.MONTH), None, as_of)
     table = spread(table, ["mes"]).persist()
     try:
         path = lake.gold_path(rollup.MONTH.table)

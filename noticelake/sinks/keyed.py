@@ -110,7 +110,7 @@ class KeyedTable:
             if any(touched.values()):
                 every = self.spark.createDataFrame([(part,) for part in touched], _PART_SCHEMA)
                 every.coalesce(1).write.parquet(self._vacated_path)
-            current = self.read().filter(_in_parts(touched))
+            current = self.read().filter(in_parts(touched))
             outcome = reconcile(current, batch, self.keys, self.merge_fields, self.ignore)
             if self.partition_of is not None:
                 outcome = outcome.withColumn(PARTITION, self.partition_of())
@@ -146,7 +146,7 @@ class KeyedTable:
         replace_partitions(rows, self.path, [PARTITION])
         if path_exists(self.spark, self._vacated_path):
             left = {r[0] for r in self.spark.read.schema(_PART_SCHEMA).parquet(self._vacated_path).collect()}
-            filled = {r[0] for r in rows.select(PARTITION).filter(_in_parts(left)).distinct().collect()}
+            filled = {r[0] for r in rows.select(PARTITION).filter(in_parts(left)).distinct().collect()}
             clear_partitions(self.spark, self.path, [{PARTITION: part} for part in left - filled])
         drop_path(self.spark, self._stage)
 
@@ -155,7 +155,7 @@ class KeyedTable:
         return self.spark.read.schema(schema).parquet(self._staged_rows_path)
 
 
-def _in_parts(parts: Iterable[str | None]) -> Column:
+def in_parts(parts: Iterable[str | None]) -> Column:
     named = F.col(PARTITION).isin([part for part in parts if part is not None])
     return named | F.col(PARTITION).isNull() if None in parts else named
 

@@ -220,3 +220,25 @@ def test_orders_of_tables_and_tools(silver):
             return tuple((-row[names.index(k[1:])] if k.startswith("-") else row[names.index(k)]) for k in keys)
 
         assert [rank(r) for r in rows] == sorted(rank(r) for r in rows)
+
+
+def test_a_run_reads_only_its_partitions_of_silver(spark, tmp_path, monkeypatch):
+    """The monthly table comes from stored cells: history is not opened again."""
+    lake = daily.Lake(spark, str(tmp_path / "tables"), "day")
+    for n, (day, following) in enumerate([("20260110", "20260111"), ("20260120", "20260121")]):
+        iso = f"{day[:4]}-{day[4:6]}-{day[6:]}T10:00:00"
+        land(tmp_path / str(n), f"{day}_{following}", {1: {"totalPaginas": 1, "totalRegistros": 1, "data": [notice(f"k{n}", dataPublicacaoPncp=iso)]}})
+    daily.run(lake, pages.read_pages(spark, str(tmp_path / "0")), "20260110", "20260111", AS_OF)
+    read, cells = set(), rollup.cells
+
+    def noted(silver, extra_keys=()):
+        if extra_keys and silver.sparkSession.conf.get("spark.test.cells", "") == "on":
+            read.update(r[0] for r in silver.select(F.input_file_name()).distinct().collect())
+            spark.conf.unset("spark.test.cells")
+        return cells(silver, extra_keys)
+
+    monkeypatch.setattr(rollup, "cells", noted)
+    spark.conf.set("spark.test.cells", "on")
+    daily.run(lake, pages.read_pages(spark, str(tmp_path / "1")), "20260120", "20260121", AS_OF)
+    assert read and all("publication_part=2026-01-20" in f for f in read)
+    assert [(r["mes"], r["total_contratacoes"]) for r in lake.gold(v.GOLD_MONTH).collect()] == [(1, 2)]
