@@ -7,7 +7,7 @@ and its bounds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -110,14 +110,24 @@ def nest(flat: DataFrame) -> DataFrame:
     )
 
 
-def write_pages(nested: DataFrame, path: str, one_page_per_file: bool = True, mode: str = "errorifexists") -> str:
-    """Land nested records as page bodies below ``path``, in key order within a page."""
+def write_pages(
+    nested: DataFrame, path: str, one_page_per_file: bool = True, mode: str = "errorifexists",
+    lost: Column | None = None, text_totals: bool = False,
+) -> str:
+    """Land nested records as page bodies below ``path``, in key order within a page.
+
+    ``lost``: pages that never arrive; ``text_totals``: the envelope's totals come as text.
+    """
     record = F.struct(v.BRONZE_KEY, *[c for c in nested.columns if c not in (v.BRONZE_KEY, "lote", "pagina")])
     bodies = nested.groupBy("lote", "pagina").agg(F.array_sort(F.collect_list(record)).alias("data"))
     totals = nested.groupBy("lote").agg(
         F.max("pagina").alias("totalPaginas"), F.count("*").alias("totalRegistros")
     )
     landed = bodies.join(totals, "lote")
+    if lost is not None:
+        landed = landed.filter(~lost)
+    if text_totals:
+        landed = landed.withColumns({c: F.col(c).cast("string") for c in ("totalPaginas", "totalRegistros")})
     if one_page_per_file:
         landed.write.mode(mode).partitionBy("lote", "pagina").json(path)
     else:

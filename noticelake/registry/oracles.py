@@ -184,6 +184,11 @@ ORACLES: dict[str, str] = {
  esperadas as (select lote, unnest(range(1, total + 1)) pagina from n)
  select lote, cast(pagina as integer) pagina from esperadas
  where (lote, pagina) not in (select (o_orderpriority, o_custkey) from orders)""",
+    "missing_pages_landed": f"""with {BRONZE}, totais as (
+ select lote, max(pagina) total from bronze group by lote having count(*) filter (pagina % 3 <> 1) > 0),
+ esperadas as (select lote, unnest(range(1, total + 1)) pagina from totais)
+ select lote, cast(pagina as integer) pagina from esperadas
+ where (lote, pagina) not in (select (lote, pagina) from bronze where pagina % 3 <> 1)""",
     "bronze_period": f"""with {PV} select numero_controle_pncp, data_publicacao_pncp as "dataPublicacaoPncp" from pv
  where {between('1996-01-15', '1996-03-10')} and uf = '{STATE}'""",
     "silver_period": f"with {SILVER} select {FLAT}, ramo_mei from silver where {between('1996-01-15', '1996-03-10')}",
@@ -267,6 +272,11 @@ ORACLES: dict[str, str] = {
     "tool_evolucao_mensal_ano": month_rows(f"uf = '{STATE}' and ano = 1997"),
     "tool_top_orgaos": top_buyers("true", 10),
     "tool_top_orgaos_uf": top_buyers(f"uf = '{STATE}'", 5),
+    "tool_top_orgaos_ausentes": f"""with {SILVER}, g as (
+ select case when cast(cnpj_orgao as bigint) % 2 = 1 then razao_social end razao_social,
+  case when cast(cnpj_orgao as bigint) % 2 = 1 then cnpj_orgao end cnpj, uf, {COUNT}, {money('valor_total_estimado', 2)} valor_total
+ from silver group by all order by total_contratacoes desc, cnpj nulls first, razao_social nulls first, uf limit 10)
+ select * replace (coalesce(razao_social, 'N/A') as razao_social, coalesce(cnpj, 'N/A') as cnpj) from g""",
     "tool_buscar": found(
         f"uf = '{STATE}' and {between('1996-01-01', '1996-12-31')}"
         " and regexp_matches(objeto_compra, 'reforma|LICENÇA', 'i')",

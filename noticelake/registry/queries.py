@@ -26,7 +26,7 @@ from noticelake.registry.notices import (
 from noticelake.sinks import json_rows
 from noticelake.sinks.keyed import KeyedTable
 from noticelake.sources import pages
-from noticelake.sources.tables import bronze_slice, silver_slice
+from noticelake.sources.tables import Tables, bronze_slice, silver_slice
 from noticelake.streaming import dedup, sliding
 from noticelake.streaming import upsert as streams
 from noticelake.workspace import fresh_dir, scratch
@@ -189,6 +189,14 @@ def missing_pages(spark, sf):
     return pages.missing_pages(landed)
 
 
+@query
+def missing_pages_landed(spark, sf):
+    """S3 on landed pages: every third one is lost, totals come as text."""
+    path = fresh_dir(spark, "pages")
+    write_pages(bronze_rows(spark, sf), path, one_page_per_file=False, lost=F.col("pagina") % 3 == 1, text_totals=True)
+    return pages.missing_pages(pages.read_pages(spark, path, one_page_per_file=False))
+
+
 @query
 def bronze_period(spark, sf):
     """S5 from stored, partitioned Parquet."""
@@ -400,6 +408,8 @@ def _two_runs(spark: SparkSession, sf: str, grain: str = "year") -> daily.Lake:
     )
     with _landing(spark, closed) as landed:
         daily.run(lake, landed, FIRST_DAY, LAST_DAY, as_of)
+        # a run without a record or a row changes nothing
+        daily.run(lake, landed.limit(0), "20200101", "20200102", as_of)
     return lake
 
 
@@ -553,6 +563,14 @@ def tool_buscar_sem_filtro(spark, sf):
     return _found(spark, sf, limite=10)
 
 
+@query
+def tool_top_orgaos_ausentes(spark, sf):
+    """Buyers without name and number."""
+    known = F.col("cnpj_orgao").cast("long") % 2 == 1
+    rows = silver_rows(spark, sf).withColumns({c: F.when(known, F.col(c)) for c in ("cnpj_orgao", "razao_social")})
+    return tools.top_orgaos_contratantes(Tables(spark, {v.SILVER: rows}))
+
+
 @query
 def tool_painel(spark, sf):
     """A12."""

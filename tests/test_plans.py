@@ -102,3 +102,12 @@ def test_statistics_read_silver_once(spark, stored):
     other = {name: spark.range(3).toDF("x") for name in v.ALL_TABLES if name != v.SILVER}
     text = plan(tools.estatisticas_gerais(Tables(spark, {v.SILVER: silver_table, **other})), "simple")
     assert text.count("FileScan") == 1
+
+
+def test_a_tool_on_the_lake_opens_one_period(spark):
+    text = plan(QUERIES["tool_resumo_estado_lake"](spark, SF_DIR))
+    assert re.search(r"PartitionFilters: \[[^\]]*periodo_inicio[^\]]*= 19960214", text)
+    assert "orders.parquet" not in text
+    assert "orders.parquet" not in plan(QUERIES["tool_estatisticas_lake"](spark, SF_DIR))
+    # a view makes one period's rows from those days alone
+    assert re.search(r"PushedFilters|DataFilters", plan(QUERIES["tool_resumo_estado_periodo"](spark, SF_DIR)))
