@@ -11,7 +11,7 @@ import numpy as np
 from tests.llm.fixtures import WORD, awkward, empty, frame, lower_ascii, prose
 
 from llm.classifier import classify
-from llm.pitman_yor import CONTEXTS, Totals, first_totals, seat
+from llm.pitman_yor import CONTEXTS, Totals, first_totals, pairs_of, seat, steps
 from llm.pitman_yor import score as lm_score
 from llm.sharding import hilbert_index, shard, write_shards
 
@@ -82,6 +82,16 @@ def test_predictive_probabilities_sum_to_one(spark):
             assert abs(total - 1) < 1e-9
 
 
+def test_steps_and_back():
+    r = np.random.default_rng(1)
+    lengths = np.array([1, 5, 300, 1])
+    pairs = r.integers(0, 1 << 22, lengths.sum())
+    back = pairs_of(*steps(pairs, lengths), lengths)
+    ends = np.cumsum(lengths)
+    for a, b in zip(ends - lengths, ends):
+        assert sorted(pairs[a:b].tolist()) == back[a:b].tolist()
+
+
 def test_seats():
     c = np.array([0, 1, 2, 40, 10_000])
     key = np.arange(5, dtype=np.uint64) * np.uint64(7919)
