@@ -62,4 +62,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_simhash, op3_best_fit_packing, op4_quality_classifier, op5_decontamination, op6_lm_scores, op7_quality_rules, op8_url_filters, op9_sharding, op10_token_counts)}
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op5_decontamination": f"""with d as (select row_number() over () r, doc_id, {_WORDS} w from documents),
+ i as (select cast(item_id as varchar) item, {_WORDS} w from benchmark where item_id is not null),
+ windows as (select distinct item, least(10, len(w)) n, array_to_string(w[k:k + 9], ' ') words
+  from (select *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) k from i where len(w) > 0)),
+ places as (select r, k, n, array_to_string(w[k:k + n - 1], ' ') words
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) k from d, (select distinct n from windows) where len(w) >= n)),
+ hits as (select r, k, places.n n, item from places join windows on places.words = windows.words and places.n = windows.n),
+ hit_words as (select r, count(distinct p) n_hit from (select r, unnest(range(k, k + n)) p from hits) group by r),
+ hit_items as (select r, count(*) n_items, string_agg(item, ',' order by item) items from (select distinct r, item from hits) group by r)
+ select doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+  sha256(coalesce(items, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+ from d left join hit_words using (r) left join hit_items using (r)""",
+}
