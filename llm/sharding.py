@@ -53,24 +53,24 @@ def hilbert_index(cells: list[np.ndarray], bits: int) -> np.ndarray:
 
 def as_number(frame: DataFrame, name: str) -> Column:
     """A dimension as a number in the same order; null below everything."""
-    kind = frame.schema[name].dataType.simpleString()
+    kind, value = frame.schema[name].dataType.simpleString(), column(name)
     if kind == "string":
-        number = F.conv(F.rpad(F.substring(F.hex(F.col(name)), 1, 12), 12, "0"), 16, 10).cast("double")
+        number = F.conv(F.rpad(F.substring(F.hex(value), 1, 12), 12, "0"), 16, 10).cast("double")
     elif kind in ("date", "timestamp"):
-        number = F.unix_timestamp(F.col(name).cast("timestamp")).cast("double")
+        number = F.unix_timestamp(value.cast("timestamp")).cast("double")
     else:
-        number = F.col(name).cast("double")
-    return F.coalesce(number, F.lit(-1.0))
+        number = value.cast("double")
+    return F.coalesce(number, F.lit(float("-inf")))
 
 
 def cells(frame: DataFrame, names: list[str], bits: int) -> list[Column]:
     """Cell of each dimension, by cuts of equal weight over all rows; one row of cuts comes to the driver."""
     parts = 1 << bits
     share = ",".join(str(i / parts) for i in range(1, parts))
-    row = frame.select(*[as_number(frame, n).alias(n) for n in names]).agg(*[F.expr(f"approx_percentile(`{n}`, array({share}), 1000)").alias(n) for n in names]).first()
+    row = frame.agg(*[F.expr(f"approx_percentile(`{n}`, array({share}), 1000)").alias(n) for n in names]).first()
     out = []
     for n in names:
-        number, cell = as_number(frame, n), F.lit(0)
+        number, cell = F.col(n), F.lit(0)
         for cut in sorted(set(row[n] or [])):
             cell = cell + (number > cut).cast("int")
         out.append(cell.cast("int"))
@@ -86,7 +86,7 @@ def shard(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source"), sha
     text = column(text_col).cast("string")
     names = [f"d{i}" for i in range(len(dimensions))]
     meta = docs.select(
-        column(id_col).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"), F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"), F.xxhash64(text).alias("hash"), *[column(c).alias(n) for c, n in zip(dimensions, names, strict=True)]
+        column(id_col).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"), F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"), F.xxhash64(text).alias("hash"), *[as_number(docs, c).alias(n) for c, n in zip(dimensions, names, strict=True)]
     )
     meta = Stored(meta, "sharding-meta").frame
     group = ["hash", "text_crc32", "bytes"]
@@ -94,7 +94,9 @@ def shard(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source"), sha
     # A group may hold a third of all rows: its rows are dealt over SALTS tasks, and its one row goes to each.
     several = least.where("copies > 1").drop("copies").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = meta.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    grouped = salted.join(several, [*group, "salt"], "left").select("doc_id", *group, *[F.coalesce(f"g_{n}", n).alias(n) for n in names])
+    joined = salted.join(several, [*group, "salt"], "left").select("doc_id", *group, *[F.coalesce(f"g_{n}", n).alias(n) for n in names])
+    # Read twice: for the cuts and for the cells.
+    grouped = Stored(joined, "sharding-groups").frame
     coded = grouped.select("doc_id", *group, *[c.alias(f"c{i}") for i, c in enumerate(cells(grouped, [*names, "bytes"], bits))])
     coordinates = [f"c{i}" for i in range(len(names) + 1)]
     kind = meta.schema["doc_id"].dataType.simpleString()
