@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +19,25 @@ from noticelake.workspace import drop_path, fresh_dir
 SPACE = "[\\x20\\x09-\\x0D]"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this code to the executors, once a session: their Python has no other way to it unless the job was
+    submitted with it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="llm-code-")) / "llm_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for package in ("llm", "noticelake"):
+            for source in sorted((root / package).rglob("*.py")):
+                out.write(source, source.relative_to(root).as_posix())
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
