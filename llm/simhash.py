@@ -39,13 +39,13 @@ CHUNK = 512
 _U = np.uint64
 
 
-def fingerprint(text: bytes, width: int = 3) -> int:
-    """SimHash of the word shingles; zero for a text without words."""
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """XXH64 of every word shingle, in order; a text of fewer words is one shingle, one without words none."""
     import xxhash
 
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     view, digest = memoryview(joined), xxhash.xxh64_intdigest
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
@@ -53,7 +53,13 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     starts = ends - lengths
     n = max(1, len(words) - width + 1)
     bounds = zip(starts[:n].tolist(), ends[min(width, len(words)) - 1 :].tolist(), strict=True)
-    hashes = np.fromiter((digest(view[a:b], SEED) for a, b in bounds), dtype="<u8", count=n)
+    return np.fromiter((digest(view[a:b], SEED) for a, b in bounds), dtype="<u8", count=n)
+
+
+def fingerprint(text: bytes, width: int = 3) -> int:
+    """SimHash of the word shingles; zero for a text without words."""
+    hashes = shingle_hashes(text, width)
+    n = len(hashes)
     ones = np.zeros(64, dtype=np.int64)
     for i in range(0, n, 8192):
         ones += np.unpackbits(hashes[i : i + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -251,7 +257,11 @@ def one_of_each(docs: DataFrame, width: int = 3, radius: int = 2, id_col: str =
 
     Rows that repeat that id are one document: one of them stays. A row without an id cannot be told
     from others of its group and stays."""
-    found = near_duplicates(docs, width, radius, id_col, text_col)
+    return firsts(docs, near_duplicates(docs, width, radius, id_col, text_col), id_col)
+
+
+def firsts(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is the component_id that ``found`` gives it, one row an id, and those without an id."""
     kept = Stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).withColumnRenamed("doc_id", "_kept"), "simhash-kept").frame
     own = column(id_col)
     # The ids that stay grow with the input, so they are shuffled to the documents at every size, never sent to all;
