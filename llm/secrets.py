@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and a battery of randomness tests on what else looks encoded.
 
 Base kinds are ``assign`` (a key word, a separator, a value), ``access`` (access key ids) and ``hex``.
-The battery looks at every other run of 20 or more characters of an encoding:
+The battery looks at every other run of 20 or more characters of an encoding, and where separators make it
+a path or mix encodings also at its parts; of finds that overlap the strongest is told:
 
 1. the narrowest encoding is inferred whose alphabet holds the run (hex, base32, base36, base62, base64);
 2. chi-squared uniformity over the alphabet, a runs test around its middle and lag-one serial
@@ -44,6 +45,8 @@ _MAYBE_ASSIGN = "(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]"
 _MAYBE_HEX = "[0-9a-f]{24}"
 _MAYBE_RANDOM = "[A-Za-z0-9+/_-]{20}"
 _RANDOM = re.compile("[A-Za-z0-9+/_-]{20,}={0,2}")
+#: What may be a key inside such a run: its longest parts in base64, in base64url, and between all separators.
+_PARTS = [re.compile(f"[A-Za-z0-9{more}]{{20,}}={{0,2}}") for more in ("+/", "_-", "")]
 
 #: Encodings from the narrowest; the first that holds every character of a run is taken.
 ENCODINGS = {
@@ -83,12 +86,12 @@ def written(spans: list[tuple[int, int, str]]) -> str:
 
 
 def candidates(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Runs of an encoding's characters that no base span touches."""
-    found = []
+    """Runs of an encoding's characters, whole and in parts, that no base span touches; they may overlap."""
+    found = set()
     for m in _RANDOM.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, b, _ in taken):
-            found.append(m.span())
-    return found
+        parts = {p.span() for part in _PARTS for p in part.finditer(text, m.start(), m.end())}
+        found |= {(start, end) for start, end in parts if not any(a < end and start < b for a, b, _ in taken)}
+    return sorted(found)
 
 
 def _upper_tail(chi2: float, dof: int) -> float:
@@ -157,9 +160,19 @@ class Detector:
     cut: dict[int, float]
     alpha: float
 
-    def judge(self, run: str) -> bool:
+    def judge(self, run: str) -> float | None:
+        """The strength of a run that is kept."""
         p = strength(run, self.transitions, self.alpha)
-        return p is not None and p >= self.cut.get(length_class(len(run)), math.inf)
+        return p if p is not None and p >= self.cut.get(length_class(len(run)), math.inf) else None
+
+    def finds(self, text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The candidates that are kept, by start; of those that overlap the strongest."""
+        judged = [(p, b - a, a, b) for a, b in spans if (p := self.judge(text[a:b])) is not None]
+        chosen: list[tuple[int, int]] = []
+        for _, _, a, b in sorted(judged, key=lambda j: (-j[0], -j[1], j[2])):
+            if not any(a < d and c < b for c, d in chosen):
+                chosen.append((a, b))
+        return sorted(chosen)
 
 
 def length_class(n: int) -> int:
@@ -249,7 +262,7 @@ def scan_secrets(docs: DataFrame, fdr: float = 0.01, alpha: float = 0.001, id_co
             n = {k: np.zeros(len(texts), dtype=np.int64) for k in KINDS}
             digests, spans = [nothing] * len(texts), [""] * len(texts)
             for i, base, more, text in _scan(texts):
-                every = in_order(base + [(a, b, "random") for a, b in more if detector.judge(text[a:b])])
+                every = in_order(base + [(a, b, "random") for a, b in detector.finds(text, more)])
                 for _, _, k in every:
                     n[k][i] += 1
                 digests[i] = hashlib.sha256(written(base).encode()).hexdigest()
@@ -274,7 +287,7 @@ def redact(docs: DataFrame, fdr: float = 0.01, alpha: float = 0.001, text_col: s
             texts = texts_of(batch.rename_columns([f"c{i}" for i in range(batch.num_columns)]), f"c{at}")
             new: dict[int, str] = {}
             for i, base, more, text in _scan(texts):
-                spans = sorted([(a, b) for a, b, _ in base] + [(a, b) for a, b in more if detector.judge(text[a:b])])
+                spans = sorted([(a, b) for a, b, _ in base] + detector.finds(text, more))
                 if spans:
                     new[i] = masked(text, spans, mask)
             if not new:
