@@ -5,10 +5,12 @@ from __future__ import annotations
 import functools
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from llm.classifier import classify
 from llm.common import ship, table
 from llm.decontaminate import decontaminate
+from llm.negatives import mine
 from llm.packing import pack
 from llm.pitman_yor import score
 from llm.rules import judge
@@ -62,6 +64,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer="piece_bpe_32k.model", limit=4096)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five positives and ten negatives a positive, over every vector; every seventh label is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 100 == 0, label=label, scale=256, positives=5, negatives=10, least_share=30, most_share=90)
+
+
 def _with_code(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +79,7 @@ def _with_code(query):
     return run
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op1_secret_scan, op2_simhash, op3_best_fit_packing, op4_quality_classifier, op5_decontamination, op6_lm_scores, op7_quality_rules, op8_url_filters, op9_sharding, op10_token_counts)}
+QUERIES = {f.__name__: _with_code(f) for f in (op1_secret_scan, op2_simhash, op3_best_fit_packing, op4_quality_classifier, op5_decontamination, op6_lm_scores, op7_quality_rules, op8_url_filters, op9_sharding, op10_token_counts, op11_hard_negatives)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -89,4 +97,15 @@ ORACLES: dict[str, str] = {
  select doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
   sha256(coalesce(items, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
  from d left join hit_words using (r) left join hit_items using (r)""",
+    "op11_hard_negatives": """with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as kind,
+  list_transform(embedding, lambda x: floor(256 * cast(x as double))) q from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+ s as (select a.vec_id anchor_id, b.vec_id other, a.kind = b.kind same, cast(list_dot_product(a.q, b.q) as bigint) score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+ p as (select anchor_id, other, score from s where same qualify row_number() over (partition by anchor_id order by score desc, other) <= 5),
+ n as (select anchor_id, p.other positive_id, s.other negative_id, p.score positive_score, s.score negative_score,
+  row_number() over (partition by anchor_id, p.other order by s.score desc, s.other) place
+  from p join s using (anchor_id) where not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
+ select anchor_id, positive_id, cast(place as int) as "rank", negative_id, positive_score, negative_score from n where place <= 10""",
 }

@@ -1,0 +1,78 @@
+"""Scores by lookup, and mined rows, against plain integer arithmetic."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm import negatives
+from llm.negatives import bit_planes, mine, numbers_of, scores, subset_sums
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score long, rank string, planes string"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, k, 1, "x", None) for i, v, k in rows], SCHEMA)
+
+
+def plain(rows, positives, negatives_, least, most, step):
+    kept = {}
+    for i, v, k in rows:
+        if i is None or k is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        kept[i] = ([math.floor(256 * float(np.float32(x))) for x in v], k)
+    out = []
+    for a, (va, ka) in kept.items():
+        if a % step:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(va, v)), i, k) for i, (v, k) in kept.items() if i != a)
+        for s, p, _ in [x for x in scored if x[2] == ka][:positives]:
+            fit = [x for x in scored if x[2] != ka and least * -s <= 100 * -x[0] <= most * -s][:negatives_]
+            out += [(a, p, rank, n, -s, -t) for rank, (t, n, _) in enumerate(fit, 1)]
+    return sorted(out)
+
+
+def rows_of(n, seed=1, labels=4):
+    r = random.Random(seed)
+    hot = [r.uniform(-1, 1) for _ in range(12)]
+    return [(i, list(hot) if i % 3 == 0 else [r.uniform(-1, 1) + 0.4 * (i % labels == d) for d in range(12)], i % labels) for i in range(n)]
+
+
+def test_lookups_give_inner_products():
+    r = np.random.default_rng(3)
+    for top in (1, 300, 70_000):
+        a, c = r.integers(-top, top, (7, 24)), r.integers(-top, top, (50, 24))
+        bits = int(top).bit_length() + 1
+        planes = bit_planes(c, bits)
+        assert np.array_equal(numbers_of(planes, bits), c)
+        assert np.array_equal(scores(planes, subset_sums(a), bits), c @ a.T)
+
+
+@pytest.mark.parametrize("block", (8192, 3))
+def test_mined_rows(spark, monkeypatch, block):
+    monkeypatch.setattr(negatives, "ANCHORS", 4)
+    rows = rows_of(400) + [(1000, None, 1), (1010, [0.5] * 12, None), (None, [0.5] * 12, 1), (1020, [0.1, None], 1), (1030, [float("nan")] * 12, 1), (1040, [float("inf")] * 12, 2), (1050, [], 1), (1060, [0.9, 0.9, 0.9], 2), (1070, [-3.5] * 12, 0), (-10, [0.2] * 12, 3)]
+    got = mine(vectors(spark, rows), F.col("vec_id") % 10 == 0, F.col("label"), positives=3, negatives=4, block=block)
+    expected = plain(rows, 3, 4, 30, 90, 10)
+    assert sorted(tuple(r) for r in got.collect()) == expected and len(expected) > 200
+
+
+def test_repeated_rows_count_once(spark):
+    rows = rows_of(60)
+    once = mine(vectors(spark, rows), F.col("vec_id") % 10 == 0, F.col("label"))
+    twice = mine(vectors(spark, rows * 3), F.col("vec_id") % 10 == 0, F.col("label"))
+    assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_nothing_to_mine(spark):
+    for rows in ([], [(1, [0.5], 1)], [(10, [0.5], 1)], [(10, None, 1), (20, [], None)], [(10, [], 1), (20, [], 1)]):
+        assert mine(vectors(spark, rows), F.col("vec_id") % 10 == 0, F.col("label")).count() == 0
+
+
+def test_scores_that_fit_no_long_are_refused(spark):
+    with pytest.raises(ValueError, match="fit a long"):
+        mine(vectors(spark, [(10, [1e30], 1)]), F.col("vec_id") % 10 == 0, F.col("label"))

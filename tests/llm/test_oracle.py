@@ -15,7 +15,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark", "pages", "labels"):
+    for table in ("documents", "benchmark", "pages", "labels", "embeddings", "conversations"):
         duck.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     expected = duck.sql(ORACLES[name]).to_arrow_table()
     got = QUERIES[name](spark, SF_DIR).toArrow().select(expected.column_names)
