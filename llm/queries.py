@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from llm.classifier import classify
 from llm.common import ship, table
 from llm.decontaminate import decontaminate
+from llm.languages import identify
 from llm.negatives import mine
 from llm.packing import pack
 from llm.pitman_yor import score
@@ -18,6 +19,7 @@ from llm.secrets import scan_secrets
 from llm.sharding import shard
 from llm.simhash import near_duplicates
 from llm.tokens import count_tokens
+from llm.trie import prefix_trie
 from llm.urls import filter_urls
 
 
@@ -70,6 +72,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(table(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 100 == 0, label=label, scale=256, positives=5, negatives=10, least_share=30, most_share=90)
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each with up to three first turns of the one whose id is the next lower
+    multiple of 20."""
+    conv = F.col("conv")
+    return prefix_trie(table(spark, sf_dir, "conversations"), base=conv - conv % 20, shared=F.crc32(conv.cast("string")) % 4, most_shared=3)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"), parts=4, part=2, train_rows=16_000, train_bytes=32 << 20)
+
+
 def _with_code(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +92,7 @@ def _with_code(query):
     return run
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op1_secret_scan, op2_simhash, op3_best_fit_packing, op4_quality_classifier, op5_decontamination, op6_lm_scores, op7_quality_rules, op8_url_filters, op9_sharding, op10_token_counts, op11_hard_negatives)}
+QUERIES = {f.__name__: _with_code(f) for f in (op1_secret_scan, op2_simhash, op3_best_fit_packing, op4_quality_classifier, op5_decontamination, op6_lm_scores, op7_quality_rules, op8_url_filters, op9_sharding, op10_token_counts, op11_hard_negatives, op12_conversation_trie, op13_language_id)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -108,4 +121,20 @@ ORACLES: dict[str, str] = {
   row_number() over (partition by anchor_id, p.other order by s.score desc, s.other) place
   from p join s using (anchor_id) where not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
  select anchor_id, positive_id, cast(place as int) as "rank", negative_id, positive_score, negative_score from n where place <= 10""",
+    # crc32 bit by bit, over the digits of the id
+    "op12_conversation_trie": """with t as (select conv_id c, row_number() over (partition by conv_id order by turn nulls first, role, text) p,
+  coalesce(role, '') r, coalesce(text, '') x from conversations where conv_id is not null),
+ k as (select c, count(*) has, xor(3, list_reduce([4294967295] || list_transform(string_split(cast(c as varchar), ''), lambda d: ascii(d)),
+   lambda s, d: list_reduce([xor(s, d)] || range(8), lambda q, i: xor(q >> 1, (q & 1) * 3988292384))) & 3) h from t group by c),
+ b as (select k.c, least(h, coalesce(o.has, 0)) taken, h from k left join (select c base, has from k) o on o.base = k.c - k.c % 20),
+ u as (select b.c, t.p, t.r, t.x from b join t on t.c = b.c - b.c % 20 and t.p <= taken
+  union all select b.c, t.p - h + taken, t.r, t.x from b join t on t.c = b.c and t.p > h),
+ f as (select k.c, coalesce(w, []) w from k left join (select c, list({'r': r, 'x': x} order by p) w from u group by c) using (c)),
+ m as (select c, unnest(range(0, len(w) + 1)) d, w from f),
+ g as (select d, w[1:d] w, min(c) conv, count(*) n, string_agg(c, ',' order by c) filter (where len(m.w) = d) ends from m group by 1, 2),
+ a as (select g.*, (select count(*) from g j where j.d = g.d + 1 and j.w[1:g.d] = g.w) kids,
+  case when d > 0 then (n - 1) * len(regexp_extract_all(w[d].x, '[^\\x20\\x09-\\x0D]+')) else 0 end saved from g)
+ select conv conv_id, d as "depth", (select min(j.conv) from g j where j.d = a.d - 1 and j.w = a.w[1:a.d - 1]) parent_conv_id, n n_convs, kids n_children,
+  (select count(*) from a j where j.kids = 0 and j.d >= a.d and j.w[1:a.d] = a.w) n_leaves,
+  (select cast(sum(j.saved) as bigint) from a j where j.d >= a.d and j.w[1:a.d] = a.w) saved_tokens, sha256(coalesce(ends, '')) ends_sha256 from a""",
 }
