@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.common import ship, stored, table
 from llm.decontaminate import without_contaminated
-from llm.jaccard import one_of_similar
 from llm.packing import pack
 from llm.rules import kept
 from llm.secrets import redact
+from llm.simhash import one_of_each
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,10 +23,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; documents are linked at a Jaccard similarity of
-    0.8 or more of their five-word shingles."""
+    """One document of each group stays, the one with the smallest id; documents are linked if the fingerprints of
+    their three-word shingles differ in two bits at most."""
     ship(spark)
-    return one_of_similar(docs, width=5, least=0.8)
+    return one_of_each(docs, width=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
