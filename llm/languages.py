@@ -7,7 +7,7 @@ known in it says nothing. A text's evidence is the mean over its words times the
 words of one text are not independent; with the languages' shares of all training rows that makes the posterior.
 
 Learning uses a bounded sample: of each language the training rows with the smallest hash of id and text, whole, until
-its share of ``train_rows`` or of ``train_bytes`` is used up. So the model that is sent to the tasks is bounded by
+its part of ``train_rows`` or of ``train_bytes`` is used up (by 64ths, of which the first is always taken). So the model that is sent to the tasks is bounded by
 ``train_bytes``, however many documents there are. Spark counts words and n-grams; frequencies are made of the counts.
 """
 
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import column, gather_runs, one_array, sizes_of, sliced, texts_of
@@ -29,6 +29,8 @@ GRAMS = (5, 4, 3, 2, 1)
 #: Added to every count.
 SMALL = 0.1
 BATCH_BYTES = 8 << 20
+#: Parts that a language's quota of training rows is taken in.
+SHARES = 64
 UNKNOWN = "und"
 NO_LETTERS = r"[^\p{L}\p{M}]+"
 
@@ -152,15 +154,23 @@ def table_of(keys: np.ndarray, language: np.ndarray, count: np.ndarray, language
 
 def fit(docs: DataFrame, train_rows: int, train_bytes: int) -> Model:
     """``docs``: training rows as (key, lang, text)."""
-    sized = docs.select("lang", "key", F.octet_length("text").alias("bytes"))
-    shares = {r["lang"]: r["n"] for r in sized.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    rows_each, bytes_each = max(1, train_rows // max(1, len(shares))), train_bytes // max(1, len(shares))
-    by_key = Window.partitionBy("lang").orderBy("key")
-    ranked = sized.groupBy("lang", "key").agg(F.min("bytes").alias("bytes")).withColumn("place", F.row_number().over(by_key)).where(F.col("place") <= rows_each)
-    within = ranked.withColumn("so_far", F.sum("bytes").over(by_key.rowsBetween(Window.unboundedPreceding, 0))).where((F.col("so_far") <= bytes_each) | (F.col("place") == 1))
-    # One row a language: the last key that is used.
-    last = within.groupBy("lang").agg(F.max("key").alias("last"))
-    sample = docs.join(F.broadcast(last), "lang").where(F.col("key") <= F.col("last")).groupBy("lang", "key").agg(F.first("text").alias("text"))
+    rows = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows_each, bytes_each = max(1, train_rows // max(1, len(rows))), train_bytes // max(1, len(rows))
+    spark = docs.sparkSession
+    # A share of a language's rows holds rows_each / SHARES of them, however many there are: the hash of a row says which.
+    scale = spark.createDataFrame([(lang, SHARES * n / rows_each) for lang, n in rows.items()], "lang string, scale double")
+    share = F.floor((F.col("key") / 2.0**64 + 0.5) * F.col("scale")).alias("share")
+    told = docs.join(F.broadcast(scale), "lang").select("lang", "key", share, "text")
+    once = told.where(F.col("share") < 4 * SHARES).groupBy("lang", "share", "key").agg(F.min(F.octet_length("text")).alias("bytes"))
+    last: dict[str, int] = {}
+    used: dict[str, tuple[int, int]] = {}
+    for r in once.groupBy("lang", "share").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).orderBy("lang", "share").collect():
+        n, size = used.get(r["lang"], (0, 0))
+        used[r["lang"]] = n, size = n + r["n"], size + r["bytes"]
+        if r["lang"] not in last or (n <= rows_each and size <= bytes_each):
+            last[r["lang"]] = r["share"]
+    cut = spark.createDataFrame(list(last.items()), "lang string, last long")
+    sample = told.join(F.broadcast(cut), "lang").where(F.col("share") <= F.col("last")).groupBy("lang", "key").agg(F.first("text").alias("text"))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +192,7 @@ def fit(docs: DataFrame, train_rows: int, train_bytes: int) -> Model:
         language = np.array([number[x] for x in own["lang"].to_pylist()], dtype=np.int64)
         keys = own["h"].to_numpy() if n else np.array(own["word"].to_pylist(), dtype=object)
         tables[n] = table_of(keys, language, own["count"].to_numpy(), len(languages), as_text=not n)
-    seen = np.array([shares[x] for x in languages], dtype=float)
+    seen = np.array([rows[x] for x in languages], dtype=float)
     return Model(languages, np.log(seen / seen.sum()) if languages else seen, tables.pop(0), tables)
 
 
