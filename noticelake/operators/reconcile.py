@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -25,6 +25,7 @@ def reconcile(
     keys: Sequence[str],
     merge_fields: bool = False,
     ignore: Iterable[str] = (),
+    before: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The table after the upsert, each row with what became of it in ``estado``.
 
@@ -35,10 +36,11 @@ def reconcile(
     ``merge_fields=True`` (K1): non-null top-level fields of the batch row
     replace the stored ones, the others survive; a nested object is one field.
     ``ignore``: columns that do not make a row "updated" (defect D14).
+    ``before``: columns whose stored value is given too, under another name.
     """
-    before = current.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.struct(*current.columns).alias("_old"))
+    stored = current.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.struct(*current.columns).alias("_old"))
     after = batch.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.struct(*batch.columns).alias("_new"))
-    joined = before.join(
+    joined = stored.join(
         after, reduce(and_, [F.col(f"_b_{k}").eqNullSafe(F.col(f"_a_{k}")) for k in keys]), "full_outer"
     )
 
@@ -69,7 +71,8 @@ def reconcile(
         .when(unchanged, UNCHANGED)
         .otherwise(UPDATED)
     )
-    return joined.select(*[value(c).alias(c) for c in columns], status.alias(STATUS))
+    were = [F.col(f"_old.{c}").alias(name) for c, name in (before or {}).items()]
+    return joined.select(*[value(c).alias(c) for c in columns], status.alias(STATUS), *were)
 
 
 def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], merge_fields: bool = False) -> DataFrame:
@@ -77,11 +80,13 @@ def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], merge_fiel
     return reconcile(current, batch, keys, merge_fields).drop(STATUS)
 
 
+def outcome_counts() -> list[Column]:
+    return [F.count_if(F.col(STATUS) == status).alias(name) for status, name in COUNTS.items()]
+
+
 def change_counts(reconciled: DataFrame, *more: Column) -> DataFrame:
     """K4: one row of counts by outcome."""
-    return reconciled.agg(
-        *[F.count_if(F.col(STATUS) == status).alias(name) for status, name in COUNTS.items()], *more
-    )
+    return reconciled.agg(*outcome_counts(), *more)
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,13 +3,15 @@
 Spark's own Parquet tables have no MERGE and cannot be overwritten while they
 are read. An upsert here
 
-1. finds the partitions the batch touches,
-2. joins only those with the batch and writes the outcome beside the table,
-3. replaces those partitions from there.
-
-Step 2 costs what the touched partitions hold. Step 1 reads the key column of the
-whole table unless ``keys_may_move`` is False. If a run dies between 2 and 3, the
-next one first finishes step 3 from what lies beside the table.
+1. finds the partitions the batch touches: those it writes to, and those that an index
+   from keys to partitions names for its keys,
+2. joins only those with the batch and writes the outcome beside the table, counting
+   outcomes and changed days as it writes,
+3. replaces those partitions from there, and adds new and moved keys to the index.
+
+It costs what the touched partitions, and the batch's buckets of the index, hold; the rest of the
+table is not read. If a run dies between 2 and 3, the next one first finishes step 3 from what lies
+beside the table.
 """
 
 from __future__ import annotations
@@ -17,30 +19,39 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from noticelake.operators.reconcile import (
     COUNTS,
+    INSERTED,
     STATUS,
-    change_counts,
+    UNCHANGED,
+    UPDATED,
+    outcome_counts,
     reconcile,
-    same_keys,
 )
 from noticelake.schemas import PARTITION
+from noticelake.sinks.key_index import KeyIndex
 from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
 from noticelake.workspace import drop_path, path_exists
 
 _PART_SCHEMA = StructType([StructField(PARTITION, StringType())])
 
 
+#: Beside a staged row: where its key was stored, and its date there.
+_PART_WAS, _DATE_WAS = "_part_was", "_date_was"
+
+
 class Parts(list):
-    """Touched storage partitions; ``left`` are the days that keys have moved away from."""
+    """Touched storage partitions; ``days`` are the days of new, changed and moved keys, those they have
+    moved away from (``left``) included."""
 
-    def __init__(self, touched: Iterable[str | None] = (), left: Iterable[str] = ()):
+    def __init__(self, touched: Iterable[str | None] = (), left: Iterable[str] = (), days: Iterable[str] = ()):
         super().__init__(touched)
         self.left = list(left)
+        self.days = list(days)
 
 
 @dataclass(frozen=True)
@@ -53,14 +64,15 @@ class KeyedTable:
     merge_fields: bool = False
     #: Columns that do not make a row "updated".
     ignore: tuple[str, ...] = ()
-    #: False where the source never moves a key to another partition: saves the
-    #: scan of the key column that finds rows to move.
+    #: False where the source never moves a key to another partition: saves the index.
     keys_may_move: bool = True
     #: Storage partition of a merged row, made from the row itself: a field merge may take the date
     #: that it follows from either side.
     partition_of: Callable[[], Column] | None = None
-    #: Text date whose changes are reported as days a key has left.
+    #: Text date whose days of changed rows are reported.
     date: str | None = None
+    #: Folders of the index from keys to partitions; a batch of few keys opens few of them.
+    index_buckets: int = 64
 
     def __post_init__(self) -> None:
         if self.merge_fields and not self.keys_may_move:
@@ -78,6 +90,10 @@ class KeyedTable:
     def _vacated_path(self) -> str:
         return f"{self._stage}/vacated"
 
+    @property
+    def index(self) -> KeyIndex:
+        return KeyIndex(self.spark, f"{self.path}.index", tuple(self.schema[k] for k in self.keys), self.index_buckets)
+
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
@@ -86,40 +102,63 @@ class KeyedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def touched_parts(self, batch: DataFrame) -> DataFrame:
-        """Partitions the batch writes to, or takes a key away from (``left``); and the days of ``date`` that
-        keys have left, whether or not they stay in their partition."""
-        day = F.substring(self.date, 1, 10) if self.date else F.lit(None).cast("string")
-        parts = batch.select(PARTITION, F.lit(False).alias("left"), F.lit(None).cast("string").alias("day"))
+    def touched_parts(self, batch: DataFrame, buckets: Iterable[int]) -> DataFrame:
+        """Partitions the batch writes to, or takes a key away from (``left``)."""
+        parts = batch.select(PARTITION, F.lit(False).alias("left"))
         if self.keys_may_move and self.exists():
-            stored = self.read().select(*self.keys, PARTITION, day.alias("day"))
-            there = batch.select(*self.keys, F.col(PARTITION).alias("_part"), day.alias("_day"))
-            moved = ~(F.col(PARTITION).eqNullSafe(F.col("_part")) & F.col("day").eqNullSafe(F.col("_day")))
-            moved_from = stored.join(there, same_keys(stored, there, self.keys) & moved)
-            parts = parts.union(moved_from.select(PARTITION, ~F.col(PARTITION).eqNullSafe(F.col("_part")), "day"))
-        return parts.groupBy(PARTITION).agg(F.max("left").alias("left"), F.collect_set("day").alias("days"))
+            if not self.index.exists():
+                self.index.add(self.read().select(*self.keys, PARTITION))
+            stored = self.index.stored_parts(batch.select(*self.keys, PARTITION), buckets)
+            moved = stored.filter(~F.col(PARTITION).eqNullSafe(F.col("_part")))
+            parts = parts.union(moved.select("_part", F.lit(True)))
+        return parts.groupBy(PARTITION).agg(F.max("left").alias("left"))
 
     def upsert(self, batch: DataFrame) -> tuple[dict[str, int], Parts]:
         """Apply ``batch`` (one row per key); counts by outcome, and touched partitions."""
         self.recover()
         batch = batch.select(*self.schema.fieldNames()).persist()
         try:
+            buckets = self._unique_buckets(batch)
             # one row per storage partition: bounded by the table's folders, not by its rows
-            found = self.touched_parts(batch).collect()
-            touched = {r[PARTITION]: r["left"] for r in found}
+            touched = {r[PARTITION]: r["left"] for r in self.touched_parts(batch, buckets).collect()}
             if any(touched.values()):
                 every = self.spark.createDataFrame([(part,) for part in touched], _PART_SCHEMA)
                 every.coalesce(1).write.parquet(self._vacated_path)
             current = self.read().filter(in_parts(touched))
-            outcome = reconcile(current, batch, self.keys, self.merge_fields, self.ignore)
+            outcome = reconcile(current, batch, self.keys, self.merge_fields, self.ignore, self._before())
             if self.partition_of is not None:
                 outcome = outcome.withColumn(PARTITION, self.partition_of())
-            spread(outcome, [PARTITION]).write.parquet(self._staged_rows_path)
+            # Counted where the rows are written, after the shuffle: a stage that runs again counts once.
+            seen = Observation()
+            spread(outcome, [PARTITION]).observe(seen, *outcome_counts(), *self._changes()).write.parquet(self._staged_rows_path)
         finally:
             batch.unpersist()
-        counts = self._check_and_count()
-        self._apply()
-        return counts, Parts(touched, sorted({day for r in found for day in r["days"]}))
+        found = seen.get
+        self._apply(new_places=bool(found.get("_places")))
+        left, days = (set(found.get(c) or ()) for c in ("_left", "_days"))
+        return {c: found.get(c, 0) for c in COUNTS.values()}, Parts(touched, sorted(left), sorted(left | days))
+
+    def _before(self) -> dict[str, str]:
+        return {PARTITION: _PART_WAS} | ({self.date: _DATE_WAS} if self.date else {})
+
+    def _changes(self) -> list[Column]:
+        """How many keys are new or have moved; days of ``date`` of changed rows, and those that keys have left."""
+        changed = F.col(STATUS).isin(INSERTED, UPDATED)
+        day, was = (F.substring(F.col(c) if self.date else F.lit(None).cast("string"), 1, 10) for c in (self.date or "", _DATE_WAS))
+        return [
+            F.count_if(_new_place()).alias("_places"),
+            F.collect_set(F.when(changed, day)).alias("_days"),
+            F.collect_set(F.when((F.col(STATUS) == UPDATED) & ~day.eqNullSafe(was), was)).alias("_left"),
+        ]
+
+    def _unique_buckets(self, batch: DataFrame) -> list[int]:
+        """K5 on the batch alone, as stored keys are unique; the index buckets of its keys, of which there are
+        at most as many as the index has."""
+        each = batch.groupBy(*self.keys).agg(F.count("*").alias("_rows")).withColumn("_bucket", self.index.bucket())
+        most, buckets = each.agg(F.max("_rows"), F.collect_set("_bucket")).first()
+        if (most or 0) > 1:
+            raise ValueError(f"key {self.keys} is not unique in the batch for {self.path}")
+        return buckets
 
     def recover(self) -> bool:
         """Finish an upsert that was written beside the table but not moved in."""
@@ -130,31 +169,30 @@ class KeyedTable:
             drop_path(self.spark, self._stage)
         return complete
 
-    def _check_and_count(self) -> dict[str, int]:
-        """K4 and K5 in one pass over the staged rows."""
-        by_key = self._staged_rows().groupBy(*self.keys).agg(
-            F.count("*").alias("_rows"), F.min(STATUS).alias(STATUS)
-        )
-        totals = change_counts(by_key, F.max("_rows").alias("_rows")).first().asDict()
-        if (totals.pop("_rows") or 0) > 1:
-            drop_path(self.spark, self._stage)
-            raise ValueError(f"key {self.keys} is not unique in {self.path} or the batch")
-        return totals
-
-    def _apply(self) -> None:
-        rows = self._staged_rows().drop(STATUS)
+    def _apply(self, new_places: bool = True) -> None:
+        """May run again after it was broken off: it reads what lies beside the table, and that goes last."""
+        staged = self._staged_rows()
+        rows = staged.select(*self.schema.fieldNames())
         replace_partitions(rows, self.path, [PARTITION])
         if path_exists(self.spark, self._vacated_path):
             left = {r[0] for r in self.spark.read.schema(_PART_SCHEMA).parquet(self._vacated_path).collect()}
             filled = {r[0] for r in rows.select(PARTITION).filter(in_parts(left)).distinct().collect()}
             clear_partitions(self.spark, self.path, [{PARTITION: part} for part in left - filled])
+        if self.keys_may_move and new_places:
+            self.index.add(staged.filter(_new_place()).select(*self.keys, PARTITION))
         drop_path(self.spark, self._stage)
 
     def _staged_rows(self) -> DataFrame:
-        schema = StructType(self.schema.fields + [StructField(STATUS, StringType())])
+        schema = StructType(self.schema.fields + [StructField(c, StringType()) for c in (STATUS, *self._before().values())])
         return self.spark.read.schema(schema).parquet(self._staged_rows_path)
 
 
+def _new_place() -> Column:
+    """Whether the index does not have a staged row's key in this partition."""
+    moved = F.col(STATUS).isin(UPDATED, UNCHANGED) & ~F.col(PARTITION).eqNullSafe(F.col(_PART_WAS))
+    return (F.col(STATUS) == INSERTED) | moved
+
+
 def in_parts(parts: Iterable[str | None]) -> Column:
     named = F.col(PARTITION).isin([part for part in parts if part is not None])
     return named | F.col(PARTITION).isNull() if None in parts else named

@@ -40,6 +40,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(hadoop_path)] if system.exists(hadoop_path) else []
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder a job has written for itself."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
