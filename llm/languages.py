@@ -15,8 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -28,7 +30,8 @@ from llm.common import column, gather_runs, one_array, sizes_of, sliced, texts_o
 GRAMS = (5, 4, 3, 2, 1)
 #: Added to every count.
 SMALL = 0.1
-BATCH_BYTES = 8 << 20
+#: Bytes of text worked on at a time.
+BATCH_BYTES = 2 << 20
 #: Parts that a language's quota of training rows is taken in.
 SHARES = 64
 UNKNOWN = "und"
@@ -82,10 +85,16 @@ class Table:
     log: np.ndarray
     rest: np.ndarray
 
+    @cached_property
+    def places(self) -> pd.Index:
+        """Hashed once in a worker, when the first text is answered."""
+        return pd.Index(self.keys.to_pylist(), dtype=object)
+
     def of(self, entries: np.ndarray) -> np.ndarray:
         out = np.tile(self.rest, (len(entries), 1))
-        many = self.begin[entries + 1] - self.begin[entries]
-        at = gather_runs(self.begin[entries], many)
+        begin = self.begin[entries].astype(np.int64)
+        many = self.begin[entries + 1] - begin
+        at = gather_runs(begin, many)
         out[np.repeat(np.arange(len(entries)), many), self.language[at]] = self.log[at]
         return out
 
@@ -100,7 +109,7 @@ class Model:
     def word_scores(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """A row of log frequencies per word, and whether the word says anything."""
         out = np.zeros((len(words), len(self.languages)))
-        at = pc.index_in(words, value_set=self.words.keys).fill_null(-1).to_numpy(zero_copy_only=False)
+        at = self.words.places.get_indexer(np.array(words.to_pylist(), dtype=object))
         known = at >= 0
         out[known] = self.words.of(at[known])
         left = np.flatnonzero(~known)
@@ -149,7 +158,8 @@ def table_of(keys: np.ndarray, language: np.ndarray, count: np.ndarray, language
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, dtype=np.int64)
     whole = np.bincount(language, count, minlength=languages) + SMALL * (len(first) + 1)
     entries = keys[first]
-    return Table(pa.array(entries, pa.string()) if as_text else entries, np.append(first, len(keys)), language, np.log((count + SMALL) / whole[language]), np.log(SMALL / whole))
+    logs = np.log((count + SMALL) / whole[language]).astype(np.float32)
+    return Table(pa.array(entries, pa.string()) if as_text else entries, np.append(first, len(keys)).astype(np.int32), language.astype(np.int32), logs, np.log(SMALL / whole))
 
 
 def fit(docs: DataFrame, train_rows: int, train_bytes: int) -> Model:
@@ -220,5 +230,6 @@ def identify(docs: DataFrame, parts: int = 4, part: int = 2, train_rows: int = 1
                 best, score = model.value.predict(texts.slice(a, b - a))
                 told = names.take(pa.array(np.where(best < 0, len(names) - 1, best)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a), told, pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
+            pa.default_memory_pool().release_unused()
 
     return chosen.select("doc_id", "held_out", "text").mapInArrow(answer, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
