@@ -114,8 +114,8 @@ def cells(silver: DataFrame, extra_keys: Iterable[str] = ()) -> DataFrame:
     )
 
 
-def from_cells(cell_rows: DataFrame, spec: Rollup) -> DataFrame:
-    return cell_rows.groupBy(*spec.keys).agg(*[_over_cells(m) for m in spec.measures])
+def from_cells(cell_rows: DataFrame, spec: Rollup, extra_keys: Iterable[str] = ()) -> DataFrame:
+    return cell_rows.groupBy(*extra_keys, *spec.keys).agg(*[_over_cells(m) for m in spec.measures])
 
 
 def grouping_sets(silver: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,12 @@ from pyspark.sql import functions as F
 from noticelake import schemas
 from noticelake import vocabulary as v
 from noticelake.functions import dates
-from noticelake.operators import latest, rollup, silver
+from noticelake.operators import latest, periods, rollup, silver
 from noticelake.sinks.keyed import KeyedTable, Parts, in_parts, no_changes
 from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
 from noticelake.sources import pages
 from noticelake.sources.tables import Tables, bronze_slice, silver_slice
-from noticelake.workspace import path_exists
+from noticelake.workspace import drop_path, path_exists, scratch
 
 PERIOD = ("periodo_inicio", "periodo_fim")
 
@@ -46,14 +47,14 @@ class Lake:
     def silver(self) -> KeyedTable:
         return KeyedTable(
             self.spark, f"{self.root}/{v.SILVER}", schemas.SILVER, (v.SILVER_KEY,), ignore=("data_coleta",),
-            date="data_publicacao_pncp",
+            date="data_publicacao_pncp", log_parts=True,
         )
 
     @property
     def cells_path(self) -> str:
-        """Pre-aggregate of Silver by storage partition, for the monthly table. It can be removed: the next run
-        builds it anew."""
-        return f"{self.root}/_celulas"
+        """Pre-aggregate of Silver by storage partition and day, from which all Gold tables are made. It can be
+        removed: the next run builds it anew, and every stored period from it."""
+        return f"{self.root}/_celulas_dia"
 
     def gold_path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -109,78 +110,97 @@ def refine(lake: Lake, start: str, end: str, as_of: datetime | Column | None = N
 def aggregate(
     lake: Lake, start: str, end: str, as_of: datetime | Column | None = None, changed_parts: list | None = None
 ) -> bool:
-    """A range of Silver into the five Gold tables.
+    """A range of Silver into the five Gold tables (K3, A6); whether the range has a row.
 
-    The four period tables replace the period's partition, so no stale group stays (D5);
-    a period without rows loses its partition. Stored periods that hold a day which a
-    notice has left are made again. Months are recomputed whole (D4), those of the range and
-    those of changed partitions, from a stored pre-aggregate of Silver: only the partitions of
-    the range and the changed ones are read in Silver itself.
+    The state between runs is a pre-aggregate of Silver by day. Of Silver only the partitions that upserts have
+    touched since the last run (and ``changed_parts``) are read, into new day cells. Days whose cells differ from the
+    stored ones have changed: every stored period that covers one is made again from its days' cells, with the
+    range itself, so each stored period agrees with Silver after every run. Partitions are replaced whole, so no
+    stale group stays (D5); a period without rows loses its partition. Months with a changed cell are made again
+    whole (D4).
+
+    The new cells move in last: if a run dies before, the next one finds the same differences.
     """
+    logged, entries = lake.silver.logged_parts()
+    parts = logged | set(changed_parts or ())
+    first = not path_exists(lake.spark, lake.cells_path)
     everything = lake.silver.read()
-    changed = changed_parts or []
-    stale = [
-        period for period in lake.stored_periods()
-        if period != (start, end) and any(_holds(period, day) for day in changed.left)
-    ] if getattr(changed, "left", None) else []
-    months: set[int | None] = set()
-    filled = _replace_period(lake, everything, start, end, as_of, months)
-    for period in stale:
-        _replace_period(lake, everything, *period, as_of, months)
-    months |= _months_of_parts(changed, lake.grain)
-    if months:
-        parts = {r[0] for r in silver_slice(everything, start, end).select(schemas.PARTITION).distinct().collect()}
-        _refresh_cells(lake, everything, parts | set(changed))
-        _replace_months(lake, months, as_of)
-    return filled
-
-
-def _refresh_cells(lake: Lake, everything: DataFrame, parts: set[str | None]) -> None:
-    """Make the pre-aggregate of these storage partitions again; of all where there is none yet."""
-    rows = everything
-    if path_exists(lake.spark, lake.cells_path):
-        rows = everything.filter(in_parts(parts))
-        present = {r[0] for r in rows.select(schemas.PARTITION).distinct().collect()}
-        clear_partitions(lake.spark, lake.cells_path, [{schemas.PARTITION: part} for part in parts - present])
-    table = rollup.cells(rows, [schemas.PARTITION])
-    replace_partitions(spread(table, [schemas.PARTITION]), lake.cells_path, [schemas.PARTITION])
+    with scratch(lake.spark, "day-cells") as fresh_path:
+        periods.day_cells(everything if first else everything.filter(in_parts(parts))).write.partitionBy(schemas.PARTITION).parquet(fresh_path)
+        fresh = _cells_at(lake, fresh_path)
+        stored = _cells_at(lake, lake.cells_path)
+        other = [p for p in lake.stored_periods() if p != (start, end)]
+        if first:
+            cells, changed = fresh, fresh
+        else:
+            touched = F.coalesce(in_parts(parts), F.lit(False))
+            cells, replaced = stored.filter(~touched).unionByName(fresh), stored.filter(touched)
+            changed = fresh.exceptAll(replaced).unionByName(replaced.exceptAll(fresh)).persist()
+        try:
+            wanted = [(start, end), *(other if first else _covering(changed, other))]
+            # at most twelve values, and null
+            months = {r[0] for r in changed.select("mes").distinct().collect()}
+            filled = _replace_periods(lake, cells, everything, wanted, as_of, months)
+        finally:
+            changed.unpersist()
+        if months:
+            _replace_months(lake, cells, months, as_of)
+        replace_partitions(spread(fresh, [schemas.PARTITION]), lake.cells_path, [schemas.PARTITION])
+        if not first:
+            present = {r[0] for r in fresh.select(schemas.PARTITION).distinct().collect()}
+            clear_partitions(lake.spark, lake.cells_path, [{schemas.PARTITION: part} for part in parts - present])
+    for entry in entries:
+        drop_path(lake.spark, entry)
+    return (start, end) in filled
+
+
+def _cells_at(lake: Lake, path: str) -> DataFrame:
+    schema = periods.day_cells(lake.silver.read()).schema
+    if not path_exists(lake.spark, path):
+        return lake.spark.createDataFrame([], schema)
+    return lake.spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def _by_days(period: tuple[str, str]) -> bool:
+    """Whether a period's bounds are days; others, taken as text, are answered from Silver's rows."""
+    try:
+        return all(len(bound) == 8 and datetime.strptime(bound, "%Y%m%d") for bound in period)
+    except ValueError:
+        return False
 
 
-def _holds(period: tuple[str, str], day: str) -> bool:
-    """Whether dates that begin with this text can lie in a period."""
-    low, high = (bound[: len(day)] for bound in dates.bounds(*period))
-    return low <= day <= high
+def _covering(changed: DataFrame, stored: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The stored periods that hold a changed day."""
+    regular = [p for p in stored if _by_days(p)]
+    if not stored or changed.isEmpty():
+        return []
+    found = periods.cells_in(changed, regular).select(*PERIOD).distinct().collect() if regular else []
+    return sorted({(r[0], r[1]) for r in found} | {p for p in stored if not _by_days(p)})
 
 
-def _replace_period(lake: Lake, everything: DataFrame, start: str, end: str, as_of, months: set[int | None]) -> bool:
-    """The four tables' partition of one period; adds the months of its rows."""
-    rows = silver_slice(everything, start, end)
-    if rows.isEmpty():
-        for spec in rollup.ROLLUPS.values():
-            if spec.by_period:
-                clear_partitions(lake.spark, lake.gold_path(spec.table), [dict(zip(PERIOD, (start, end), strict=True))])
-        return False
-    cells = rollup.cells(rows).persist()
+def _replace_periods(lake: Lake, cells: DataFrame, everything: DataFrame, wanted: list[tuple[str, str]], as_of, months: set[int | None]) -> set[tuple[str, str]]:
+    """The four tables' partitions of some periods; adds the months of their rows, returns the periods that have any."""
+    rows = [periods.cells_in(cells, regular)] if (regular := [p for p in wanted if _by_days(p)]) else []
+    for start, end in wanted:
+        if not _by_days((start, end)):
+            rows.append(periods.day_cells(silver_slice(everything, start, end)).withColumns({"periodo_inicio": F.lit(start), "periodo_fim": F.lit(end)}))
+    table = reduce(DataFrame.unionByName, rows).persist()
     try:
+        found = table.select(*PERIOD, "mes").distinct().collect()
+        filled = {(r[0], r[1]) for r in found}
+        months |= {r["mes"] for r in found if (r[0], r[1]) == wanted[0]}
         for spec in rollup.ROLLUPS.values():
             if spec.by_period:
-                table = rollup.stamp(rollup.from_cells(cells, spec), (start, end), as_of)
-                replace_partitions(spread(table, PERIOD), lake.gold_path(spec.table), PERIOD)
-        # at most twelve values
-        months |= {r[0] for r in cells.select("mes").distinct().collect()}
+                made = rollup.stamp(rollup.from_cells(table, spec, PERIOD), None, as_of)
+                replace_partitions(spread(made, PERIOD), lake.gold_path(spec.table), PERIOD)
+                empty = [dict(zip(PERIOD, period, strict=True)) for period in wanted if period not in filled]
+                clear_partitions(lake.spark, lake.gold_path(spec.table), empty)
     finally:
-        cells.unpersist()
-    return True
-
-
-def _months_of_parts(parts: list[str | None], grain: str) -> set[int | None]:
-    """Months of the year that rows of these storage partitions can lie in."""
-    if grain == "year":
-        return set(range(1, 13)) if parts else set()
-    return {int(part[5:7]) if part and part[5:7].isdigit() else None for part in parts}
+        table.unpersist()
+    return filled
 
 
-def _replace_months(lake: Lake, months: set[int | None], as_of) -> None:
+def _replace_months(lake: Lake, cells: DataFrame, months: set[int | None], as_of) -> None:
     wanted = [m for m in months if m is not None]
     in_month = F.col("mes").isin(wanted)
     if None in months:
@@ -190,9 +210,7 @@ def _replace_months(lake: Lake, months: set[int | None], as_of) -> None:
         # lies in the null partition, whatever its month
         named = F.substring(schemas.PARTITION, 6, 2).isin([f"{m:02d}" for m in wanted])
         in_month = in_month & (F.col(schemas.PARTITION).isNull() | named)
-    schema = rollup.cells(lake.silver.read(), [schemas.PARTITION]).schema
-    stored = lake.spark.read.schema(schema).parquet(lake.cells_path)
-    table = rollup.stamp(rollup.from_cells(stored.filter(in_month), rollup.MONTH), None, as_of)
+    table = rollup.stamp(rollup.from_cells(cells.filter(in_month), rollup.MONTH), None, as_of)
     table = spread(table, ["mes"]).persist()
     try:
         path = lake.gold_path(rollup.MONTH.table)

@@ -240,6 +240,11 @@ ORACLES: dict[str, str] = {
  uf, situacao_nome, {COUNT}, {SUM} from silver group by uf, situacao_nome""",
     "daily_run_mes": f"with {CLOSED} {GOLD_MONTH}",
     "daily_run_mes_by_month": f"with {CLOSED} {GOLD_MONTH}",
+    "daily_run_overlapping": f"""with {SILVER}, fechadas as (select * replace (case when situacao_id = 'P' and {between('1996-02-16', '1996-02-17')}
+  then 'Encerrada' else situacao_nome end as situacao_nome) from silver),
+ periodos(periodo_inicio, periodo_fim) as (values {", ".join(str(x) for x in q.OVERLAPPING)})
+ select periodo_inicio, periodo_fim, uf, situacao_nome, {COUNT}, {SUM} from fechadas join periodos
+  on strftime(cast(data_coleta as date), '%Y%m%d') between periodo_inicio and periodo_fim group by all""",
     "records_flatten": f"with {PV} select * from pv",
     "table_upsert_moved_dates": f"""with {PV}, corrigidas as (select numero_controle_pncp,
   case situacao_id when 'F' then '1999-05-' || substr(data_publicacao_pncp, 9, 11)

@@ -449,6 +449,29 @@ def daily_run_mes_by_month(spark, sf):
     return _two_runs(spark, sf, "month").gold(v.GOLD_MONTH).drop("data_atualizacao")
 
 
+#: Stored periods of `daily_run_overlapping`; the last one is run after the others.
+OVERLAPPING = ((FIRST_DAY, LAST_DAY), ("19960214", "19960215"), ("19960215", "19960216"), ("19960216", "19960217"))
+
+
+@query
+def daily_run_overlapping(spark, sf):
+    """A run adds notices to a day and closes others, which three stored periods cover; all of them follow."""
+    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="month")
+    as_of = F.to_timestamp(F.lit("2002-01-01 00:00:00"))
+    rows = nest(notices(spark, sf))
+    late = F.col("dataPublicacaoPncp").startswith("1996-02-16") & (F.col(v.BRONZE_KEY).cast("long") % 3 == 0)
+    with _landing(spark, rows.filter(~late)) as landed:
+        daily.ingest(lake, landed)
+    daily.refine(lake, FIRST_DAY, LAST_DAY, as_of)
+    for period in OVERLAPPING[:-1]:
+        daily.aggregate(lake, *period, as_of)
+    closed = F.when(F.col("situacaoCompraId") == "P", "Encerrada").otherwise(F.col("situacaoCompraNome"))
+    again = rows.filter(dates.published_between(F.col("dataPublicacaoPncp"), *OVERLAPPING[-1]))
+    with _landing(spark, again.filter(late | (F.col("situacaoCompraId") == "P")).withColumns({"situacaoCompraNome": closed, "lote": F.lit("republicadas")})) as landed:
+        daily.run(lake, landed, *OVERLAPPING[-1], as_of)
+    return lake.gold(v.GOLD_STATUS).drop("data_atualizacao")
+
+
 @query
 def table_upsert_moved_dates(spark, sf):
     """K1 where a correction changes the date: to another ISO date, to one that isn't ISO, and to none (the

@@ -16,6 +16,7 @@ beside the table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -35,7 +36,7 @@ from noticelake.operators.reconcile import (
 from noticelake.schemas import PARTITION
 from noticelake.sinks.key_index import KeyIndex
 from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
-from noticelake.workspace import drop_path, path_exists
+from noticelake.workspace import child_names, drop_path, path_exists
 
 _PART_SCHEMA = StructType([StructField(PARTITION, StringType())])
 
@@ -71,6 +72,8 @@ class KeyedTable:
     partition_of: Callable[[], Column] | None = None
     #: Text date whose days of changed rows are reported.
     date: str | None = None
+    #: Keep a list of the touched partitions for whoever derives tables from this one (`logged_parts`).
+    log_parts: bool = False
     #: Folders of the index from keys to partitions; a batch of few keys opens few of them.
     index_buckets: int = 64
 
@@ -94,6 +97,18 @@ class KeyedTable:
     def index(self) -> KeyIndex:
         return KeyIndex(self.spark, f"{self.path}.index", tuple(self.schema[k] for k in self.keys), self.index_buckets)
 
+    @property
+    def _log_path(self) -> str:
+        return f"{self.path}.touched"
+
+    def logged_parts(self) -> tuple[set[str | None], list[str]]:
+        """Partitions that upserts have touched since the entries of their list were last dropped, and these
+        entries. An entry is written before the rows move in, so it may name too much, never too little."""
+        entries = [f"{self._log_path}/{name}" for name in child_names(self.spark, self._log_path)]
+        whole = [e for e in entries if path_exists(self.spark, f"{e}/_SUCCESS")]
+        rows = self.spark.read.schema(_PART_SCHEMA).parquet(*whole).distinct().collect() if whole else []
+        return {r[0] for r in rows}, whole
+
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
@@ -121,9 +136,11 @@ class KeyedTable:
             buckets = self._unique_buckets(batch)
             # one row per storage partition: bounded by the table's folders, not by its rows
             touched = {r[PARTITION]: r["left"] for r in self.touched_parts(batch, buckets).collect()}
+            every = self.spark.createDataFrame([(part,) for part in touched], _PART_SCHEMA).coalesce(1)
             if any(touched.values()):
-                every = self.spark.createDataFrame([(part,) for part in touched], _PART_SCHEMA)
-                every.coalesce(1).write.parquet(self._vacated_path)
+                every.write.parquet(self._vacated_path)
+            if self.log_parts:
+                every.write.parquet(f"{self._log_path}/{uuid.uuid4().hex}")
             current = self.read().filter(in_parts(touched))
             outcome = reconcile(current, batch, self.keys, self.merge_fields, self.ignore, self._before())
             if self.partition_of is not None:
