@@ -43,10 +43,13 @@ def in_periods(silver: DataFrame, days: int = 2, source: str = "data_publicacao_
     )
 
 
-def day_cells(silver: DataFrame, source: str = "data_publicacao_pncp") -> DataFrame:
-    """Pre-aggregate by storage partition and day, from which the Gold rows of any period are made."""
+def day_cells(silver: DataFrame, source: str = "data_publicacao_pncp", lg_k: int | None = None) -> DataFrame:
+    """Pre-aggregate by storage partition and day, from which the Gold rows of any period are made; with ``lg_k``
+    buyers are sketched."""
     day = F.substring(source, 1, 10)
-    return rollups.cells(silver.withColumns({DAY: day, LATE: F.col(source) > F.concat(day, F.lit(dates.END_OF_DAY))}), [PARTITION, DAY, LATE])
+    rows = silver.withColumns({DAY: day, LATE: F.col(source) > F.concat(day, F.lit(dates.END_OF_DAY))})
+    keys = [PARTITION, DAY, LATE]
+    return rollups.cells(rows, keys) if lg_k is None else rollups.sketch_cells(rows, keys, lg_k)
 
 
 def cells_in(day_rows: DataFrame, wanted: Sequence[tuple[str, str]]) -> DataFrame:

@@ -26,6 +26,7 @@ def reconcile(
     merge_fields: bool = False,
     ignore: Iterable[str] = (),
     before: Mapping[str, str] | None = None,
+    nulls: str | None = None,
 ) -> DataFrame:
     """The table after the upsert, each row with what became of it in ``estado``.
 
@@ -34,25 +35,33 @@ def reconcile(
 
     ``merge_fields=False`` (K2): a batch row replaces the stored row whole.
     ``merge_fields=True`` (K1): non-null top-level fields of the batch row
-    replace the stored ones, the others survive; a nested object is one field.
+    replace the stored ones, the others survive; a nested object is one field (see ``nulls``).
     ``ignore``: columns that do not make a row "updated" (defect D14).
     ``before``: columns whose stored value is given too, under another name.
+    ``nulls``: a batch column that names the row's fields that were given as null, which empties the stored
+    field in a merge; a field that was left out is null too and survives.
     """
+    if nulls is not None and nulls not in batch.columns:
+        nulls = None
+    fields = [c for c in batch.columns if c != nulls]
     stored = current.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.struct(*current.columns).alias("_old"))
     after = batch.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.struct(*batch.columns).alias("_new"))
     joined = stored.join(
         after, reduce(and_, [F.col(f"_b_{k}").eqNullSafe(F.col(f"_a_{k}")) for k in keys]), "full_outer"
     )
 
+    def emptied(name: str) -> Column:
+        return F.coalesce(F.array_contains(f"_new.{nulls}", name), F.lit(False)) if nulls else F.lit(False)
+
     def value(name: str) -> Column:
-        if name not in batch.columns:
+        if name not in fields:
             return F.col(f"_old.{name}")
         new = F.col(f"_new.{name}")
         if name not in current.columns:
             return new
         old = F.col(f"_old.{name}")
         if merge_fields:
-            return F.coalesce(new, old)
+            return F.when(~emptied(name), F.coalesce(new, old)) if nulls else F.coalesce(new, old)
         return F.when(F.col("_new").isNotNull(), new).otherwise(old)
 
     def changed(name: str) -> Column:
@@ -60,11 +69,11 @@ def reconcile(
         old = F.col(f"_old.{name}") if name in current.columns else F.lit(None)
         new = F.col(f"_new.{name}")
         differs = ~new.eqNullSafe(old)
-        return new.isNotNull() & differs if merge_fields else differs
+        return (new.isNotNull() | emptied(name)) & differs if merge_fields else differs
 
-    columns = current.columns + [c for c in batch.columns if c not in current.columns]
+    columns = current.columns + [c for c in fields if c not in current.columns]
     skipped = set(ignore)
-    unchanged = ~reduce(or_, [changed(c) for c in batch.columns if c not in skipped], F.lit(False))
+    unchanged = ~reduce(or_, [changed(c) for c in fields if c not in skipped], F.lit(False))
     status = (
         F.when(F.col("_old").isNull(), INSERTED)
         .when(F.col("_new").isNull(), KEPT)
@@ -75,9 +84,11 @@ def reconcile(
     return joined.select(*[value(c).alias(c) for c in columns], status.alias(STATUS), *were)
 
 
-def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], merge_fields: bool = False) -> DataFrame:
+def upsert(
+    current: DataFrame, batch: DataFrame, keys: Sequence[str], merge_fields: bool = False, nulls: str | None = None
+) -> DataFrame:
     """K1/K2 without the status."""
-    return reconcile(current, batch, keys, merge_fields).drop(STATUS)
+    return reconcile(current, batch, keys, merge_fields, nulls=nulls).drop(STATUS)
 
 
 def outcome_counts() -> list[Column]:

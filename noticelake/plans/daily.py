@@ -34,6 +34,8 @@ class Lake:
     root: str
     #: Storage partitions of Bronze and Silver, see functions.dates.GRAIN.
     grain: str = "day"
+    #: Count distinct buyers by sketches of this size (rollup.sketch_cells) instead of exactly.
+    sketch_lg_k: int | None = None
 
     @property
     def bronze(self) -> KeyedTable:
@@ -54,7 +56,10 @@ class Lake:
     def cells_path(self) -> str:
         """Pre-aggregate of Silver by storage partition and day, from which all Gold tables are made. It can be
         removed: the next run builds it anew, and every stored period from it."""
-        return f"{self.root}/_celulas_dia"
+        return f"{self.root}/_celulas_dia" + (f"_hll{self.sketch_lg_k}" if self.sketch_lg_k else "")
+
+    def day_cells(self, silver_rows: DataFrame) -> DataFrame:
+        return periods.day_cells(silver_rows, lg_k=self.sketch_lg_k)
 
     def gold_path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -78,8 +83,10 @@ class Lake:
 
 
 def bronze_batch(notices: DataFrame, grain: str = "day") -> DataFrame:
-    """A landed batch with one row per key: per field the last value in page order."""
-    collapsed = latest.merge_last(notices, [v.BRONZE_KEY], schemas.ORIGIN.names)
+    """A landed batch with one row per key: per field the last value in page order; an explicit null is one where
+    the pages were read so."""
+    nulls = schemas.NULLS if schemas.NULLS in notices.columns else None
+    collapsed = latest.merge_last(notices, [v.BRONZE_KEY], schemas.ORIGIN.names, nulls)
     return silver.add_partition(collapsed, "dataPublicacaoPncp", grain)
 
 
@@ -126,7 +133,7 @@ def aggregate(
     first = not path_exists(lake.spark, lake.cells_path)
     everything = lake.silver.read()
     with scratch(lake.spark, "day-cells") as fresh_path:
-        periods.day_cells(everything if first else everything.filter(in_parts(parts))).write.partitionBy(schemas.PARTITION).parquet(fresh_path)
+        lake.day_cells(everything if first else everything.filter(in_parts(parts))).write.partitionBy(schemas.PARTITION).parquet(fresh_path)
         fresh = _cells_at(lake, fresh_path)
         stored = _cells_at(lake, lake.cells_path)
         other = [p for p in lake.stored_periods() if p != (start, end)]
@@ -155,7 +162,7 @@ def aggregate(
 
 
 def _cells_at(lake: Lake, path: str) -> DataFrame:
-    schema = periods.day_cells(lake.silver.read()).schema
+    schema = lake.day_cells(lake.silver.read()).schema
     if not path_exists(lake.spark, path):
         return lake.spark.createDataFrame([], schema)
     return lake.spark.read.schema(schema).parquet(path).select(*schema.names)
@@ -183,7 +190,7 @@ def _replace_periods(lake: Lake, cells: DataFrame, everything: DataFrame, wanted
     rows = [periods.cells_in(cells, regular)] if (regular := [p for p in wanted if _by_days(p)]) else []
     for start, end in wanted:
         if not _by_days((start, end)):
-            rows.append(periods.day_cells(silver_slice(everything, start, end)).withColumns({"periodo_inicio": F.lit(start), "periodo_fim": F.lit(end)}))
+            rows.append(lake.day_cells(silver_slice(everything, start, end)).withColumns({"periodo_inicio": F.lit(start), "periodo_fim": F.lit(end)}))
     table = reduce(DataFrame.unionByName, rows).persist()
     try:
         found = table.select(*PERIOD, "mes").distinct().collect()

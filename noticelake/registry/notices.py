@@ -112,11 +112,12 @@ def nest(flat: DataFrame) -> DataFrame:
 
 def write_pages(
     nested: DataFrame, path: str, one_page_per_file: bool = True, mode: str = "errorifexists",
-    lost: Column | None = None, text_totals: bool = False,
+    lost: Column | None = None, text_totals: bool = False, keep_nulls: bool = False,
 ) -> str:
     """Land nested records as page bodies below ``path``, in key order within a page.
 
-    ``lost``: pages that never arrive; ``text_totals``: the envelope's totals come as text.
+    ``lost``: pages that never arrive; ``text_totals``: the envelope's totals come as text; ``keep_nulls``: a
+    null field is written as null, else it is left out.
     """
     record = F.struct(v.BRONZE_KEY, *[c for c in nested.columns if c not in (v.BRONZE_KEY, "lote", "pagina")])
     bodies = nested.groupBy("lote", "pagina").agg(F.array_sort(F.collect_list(record)).alias("data"))
@@ -128,12 +129,13 @@ def write_pages(
         landed = landed.filter(~lost)
     if text_totals:
         landed = landed.withColumns({c: F.col(c).cast("string") for c in ("totalPaginas", "totalRegistros")})
+    nulls = {"ignoreNullFields": str(not keep_nulls).lower()}
     if one_page_per_file:
-        landed.write.mode(mode).partitionBy("lote", "pagina").json(path)
+        landed.write.mode(mode).options(**nulls).partitionBy("lote", "pagina").json(path)
     else:
         (
             landed.withColumnRenamed("pagina", "numeroPagina").hint("rebalance", "lote")
-            .write.mode(mode).partitionBy("lote").json(path)
+            .write.mode(mode).options(**nulls).partitionBy("lote").json(path)
         )
     return path
 

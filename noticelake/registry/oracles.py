@@ -240,6 +240,17 @@ ORACLES: dict[str, str] = {
  uf, situacao_nome, {COUNT}, {SUM} from silver group by uf, situacao_nome""",
     "daily_run_mes": f"with {CLOSED} {GOLD_MONTH}",
     "daily_run_mes_by_month": f"with {CLOSED} {GOLD_MONTH}",
+    "gold_estado_approx": f"with {SILVER} select uf, {COUNT}, {SUM}, {BUYERS} from silver group by uf",
+    "stream_estado_approx": f"with {SILVER} select uf, {COUNT}, {SUM}, {BUYERS} from silver group by uf",
+    "gold_por_mes_approx": f"with {SILVER} {GOLD_MONTH}",
+    "daily_run_approx": f"""with {SILVER}, periodos(periodo_inicio, periodo_fim) as (values {", ".join(str(x) for x in q.OVERLAPPING[:2])})
+ select periodo_inicio, periodo_fim, uf, {COUNT}, {SUM}, {BUYERS} from silver join periodos
+  on strftime(cast(data_coleta as date), '%Y%m%d') between periodo_inicio and periodo_fim group by all""",
+    "upsert_field_merge_explicit_null": f"""with {PV}, p as (select *, situacao_id = 'P' and cast(numero_controle_pncp as bigint) % 2 = 0 vazia from pv)
+ select * exclude vazia replace (case when vazia then null else cnpj_orgao end as cnpj_orgao,
+  case when vazia then null else razao_social end as razao_social,
+  case when vazia and cast(numero_controle_pncp as bigint) % 3 <> 0 then null else objeto_compra end as objeto_compra,
+  case when vazia then null else valor_total_estimado end as valor_total_estimado) from p""",
     "daily_run_overlapping": f"""with {SILVER}, fechadas as (select * replace (case when situacao_id = 'P' and {between('1996-02-16', '1996-02-17')}
   then 'Encerrada' else situacao_nome end as situacao_nome) from silver),
  periodos(periodo_inicio, periodo_fim) as (values {", ".join(str(x) for x in q.OVERLAPPING)})
@@ -360,3 +371,4 @@ ORACLES: dict[str, str] = {
  select * replace (case situacao_nome when 'Suspensa' then 'Encerrada' else situacao_nome end as situacao_nome)
  from silver)""",
 }
+ORACLES["stream_sliding_update"] = ORACLES["stream_sliding"]

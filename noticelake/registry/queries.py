@@ -348,6 +348,28 @@ def table_upsert_fields(spark, sf):
     return silver.flatten(stored.read())
 
 
+@query
+def upsert_field_merge_explicit_null(spark, sf):
+    """K1 W1 on landed pages: pending notices come again, the even ones with text, value and buyer as null, which
+    empties them, the others without these fields, which leaves them; every third one has its text after all, on a
+    later page."""
+    stored = KeyedTable(spark, fresh_dir(spark, "bronze"), schemas.BRONZE, (v.BRONZE_KEY,), merge_fields=True)
+    rows = nest(notices(spark, sf))
+    number = F.col(v.BRONZE_KEY).cast("long")
+    empty = {c: F.lit(None).cast(schemas.NOTICE[c].dataType) for c in ("objetoCompra", "valorTotalEstimado", "orgaoEntidade")}
+    with scratch(spark, "pages") as path:
+        write_pages(rows, path, one_page_per_file=False)
+        stored.upsert(daily.bronze_batch(pages.records(pages.read_pages(spark, path, False, explicit_nulls=True)), "year"))
+    pending = rows.filter("situacaoCompraId = 'P'").withColumns(empty)
+    with scratch(spark, "pages") as path:
+        write_pages(pending.filter(number % 2 == 0).withColumn("lote", F.lit("a")), path, False, keep_nulls=True)
+        write_pages(pending.filter(number % 2 == 1).withColumn("lote", F.lit("a2")), path, False, mode="append")
+        later = rows.filter("situacaoCompraId = 'P'").filter(number % 3 == 0).select(v.BRONZE_KEY, "dataPublicacaoPncp", "objetoCompra", F.lit("b").alias("lote"), "pagina")
+        write_pages(later, path, False, mode="append")
+        stored.upsert(daily.bronze_batch(pages.records(pages.read_pages(spark, path, False, explicit_nulls=True)), "year"))
+    return silver.flatten(stored.read())
+
+
 # --- Gold ------------------------------------------------------------------
 
 
@@ -393,6 +415,29 @@ def gold_from_cells(spark, sf):
     return rollup.from_cells(rollup.cells(silver_rows(spark, sf)), rollup.MONTH)
 
 
+@query
+def gold_estado_approx(spark, sf):
+    """A2 with buyers sketched in cells; below some thousand buyers a group the counts are exact."""
+    return rollup.from_cells(rollup.sketch_cells(silver_rows(spark, sf)), rollup.STATE)
+
+
+@query
+def gold_por_mes_approx(spark, sf):
+    """A5 from day cells with sketches: those of a month's days are merged."""
+    rows = silver.add_partition(silver_rows(spark, sf), "data_publicacao_pncp", "month")
+    return rollup.from_cells(periods.day_cells(rows, lg_k=rollup.SKETCH_LG_K), rollup.MONTH)
+
+
+@query
+def daily_run_approx(spark, sf):
+    """K3 A2: a stored lake that keeps sketches; two periods, one made from the other's day cells."""
+    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="year", sketch_lg_k=rollup.SKETCH_LG_K)
+    lake.silver.upsert(_as_silver(notices(spark, sf)))
+    for period in OVERLAPPING[:2]:
+        daily.aggregate(lake, *period)
+    return lake.gold(v.GOLD_STATE).drop("data_atualizacao")
+
+
 def _two_runs(spark: SparkSession, sf: str, grain: str = "year") -> daily.Lake:
     """All notices landed and run; then every pending one republished as closed and run again."""
     lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain=grain)
@@ -718,6 +763,40 @@ def stream_sliding(spark, sf):
     return spark.read.schema(totals.schema).parquet(path)
 
 
+@query
+def stream_sliding_update(spark, sf):
+    """X1 as a stream with bounded state: update output into a partition a period. Three arrivals, one event in ten
+    a day late, and a restart before the last."""
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    arrives = F.when(F.col("event_id") % 10 == 0, F.col("ts") + F.expr("interval 1 day")).otherwise(F.col("ts"))
+    turns = [F.dayofmonth(arrives).between(*days) & (F.month(arrives) == 1) for days in ((1, 9), (10, 19), (20, 31))]
+    turns[-1] = turns[-1] | (F.month(arrives) != 1)
+    measures = [F.count("*").alias("total"), values.money_sum(F.col("value")).alias("valor_total")]
+    with scratch(spark, "events") as landing, scratch(spark, "checkpoint") as checkpoint:
+        stored = None
+        for number, turn in enumerate(turns):
+            events.filter(turn).coalesce(1).write.mode("append").parquet(landing)
+            if number == 0:
+                continue  # the first two arrive before the stream begins, one a batch
+            stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+            totals = sliding.sliding_periods(stream, "ts", ["event_type"], measures, delay="2 days")
+            stored = stored or streams.period_table(totals, fresh_dir(spark, "periods"), ["event_type"])
+            streams.finish(streams.period_stream(totals, stored, checkpoint))
+    return stored.read().drop(schemas.PARTITION)
+
+
+@query
+def stream_estado_approx(spark, sf):
+    """A2 on a stream: every micro-batch leaves cells with sketches, which are merged when they are read."""
+    path = fresh_dir(spark, "cells")
+    rows = silver_rows(spark, sf)
+    with scratch(spark, "silver") as landing, scratch(spark, "checkpoint") as checkpoint:
+        rows.repartitionByRange(4, "numero_controle_pncp").write.parquet(landing)
+        arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        streams.finish(streams.cell_stream(arriving, rollup.sketch_cells, path, checkpoint))
+    return rollup.from_cells(spark.read.schema(rollup.sketch_cells(rows).schema).parquet(path), rollup.STATE)
+
+
 @query
 def stream_upsert(spark, sf):
     """Pages arriving in several micro-batches, the pending notices republished at the end without

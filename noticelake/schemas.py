@@ -49,6 +49,9 @@ ENVELOPE = _struct(
 #: Where a record came from: run, page within the run, place within the page.
 ORIGIN = _struct(lote=StringType(), pagina=IntegerType(), pos=IntegerType())
 
+#: Beside a record or batch row: its top-level fields that were given as null, which is not the same as left out.
+NULLS = "nulos"
+
 #: Storage partition of Bronze and Silver (see functions.dates.publication_part).
 PARTITION = "publication_part"
 

@@ -33,7 +33,7 @@ from noticelake.operators.reconcile import (
     outcome_counts,
     reconcile,
 )
-from noticelake.schemas import PARTITION
+from noticelake.schemas import NULLS, PARTITION
 from noticelake.sinks.key_index import KeyIndex
 from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
 from noticelake.workspace import child_names, drop_path, path_exists
@@ -129,9 +129,12 @@ class KeyedTable:
         return parts.groupBy(PARTITION).agg(F.max("left").alias("left"))
 
     def upsert(self, batch: DataFrame) -> tuple[dict[str, int], Parts]:
-        """Apply ``batch`` (one row per key); counts by outcome, and touched partitions."""
+        """Apply ``batch`` (one row per key); counts by outcome, and touched partitions.
+
+        In a merge the batch may name fields that were given as null (``schemas.NULLS``)."""
         self.recover()
-        batch = batch.select(*self.schema.fieldNames()).persist()
+        nulls = [NULLS] if self.merge_fields and NULLS in batch.columns else []
+        batch = batch.select(*self.schema.fieldNames(), *nulls).persist()
         try:
             buckets = self._unique_buckets(batch)
             # one row per storage partition: bounded by the table's folders, not by its rows
@@ -142,7 +145,7 @@ class KeyedTable:
             if self.log_parts:
                 every.write.parquet(f"{self._log_path}/{uuid.uuid4().hex}")
             current = self.read().filter(in_parts(touched))
-            outcome = reconcile(current, batch, self.keys, self.merge_fields, self.ignore, self._before())
+            outcome = reconcile(current, batch, self.keys, self.merge_fields, self.ignore, self._before(), NULLS)
             if self.partition_of is not None:
                 outcome = outcome.withColumn(PARTITION, self.partition_of())
             # Counted where the rows are written, after the shuffle: a stage that runs again counts once.

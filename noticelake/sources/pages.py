@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from noticelake import vocabulary as v
 from noticelake.functions import predicates as p
 from noticelake.functions import values
-from noticelake.schemas import ENVELOPE, NOTICE, ORIGIN
+from noticelake.schemas import ENVELOPE, NOTICE, NULLS, ORIGIN
 
 _PAGE_IN_PATH = r"pagina[=_-]0*(\d+)"
 _RUN_IN_PATH = r"lote[=_-]([^/]+)"
@@ -30,7 +30,26 @@ def _from_path(pattern: str) -> Column:
     return F.when(found != "", found)
 
 
-def _shape(bodies: DataFrame) -> DataFrame:
+def _given_as_null(notice: Column) -> Column:
+    """Names of a notice's fields that are there and null. Under a schema they look like fields that are not there."""
+    return F.array_compact(
+        F.array(*[F.when(F.is_variant_null(F.variant_get(notice, f"$.{name}", "variant")), name) for name in NOTICE.fieldNames()])
+    )
+
+
+def _with_nulls(landed: Column) -> Column:
+    """Each page with a list of such names per notice, from the same body read as VARIANT."""
+    body = F.try_parse_json("value")
+    whole = F.coalesce(F.try_variant_get(body, "$", "array<variant>"), F.array(body))
+
+    def page(fields: Column, raw: Column) -> Column:
+        nulls = F.transform(F.try_variant_get(raw, "$.data", "array<variant>"), _given_as_null)
+        return F.struct(*[fields[name].alias(name) for name in LANDED.fieldNames()], nulls.alias(NULLS))
+
+    return F.zip_with(landed, whole, page)
+
+
+def _shape(bodies: DataFrame, explicit_nulls: bool = False) -> DataFrame:
     """Pages with run, number and total; bodies that are no page are left out.
 
     A body that cannot be read stands for no page at all, so `missing_pages`
@@ -38,11 +57,12 @@ def _shape(bodies: DataFrame) -> DataFrame:
     what it yields is not moved below it.
     """
     readable = F.col("data").isNotNull() | F.col("totalPaginas").isNotNull() | F.col("totalRegistros").isNotNull()
+    landed = F.from_json("value", ArrayType(LANDED))
     return (
         bodies.select(
             _from_path(_RUN_IN_PATH).alias("lote"),
             _from_path(_PAGE_IN_PATH).cast("int").alias("_pagina"),
-            F.inline_outer(F.from_json("value", ArrayType(LANDED))),
+            F.inline_outer(_with_nulls(landed) if explicit_nulls else landed),
         )
         .filter(readable)
         .select(
@@ -52,6 +72,7 @@ def _shape(bodies: DataFrame) -> DataFrame:
             F.when(F.col("totalPaginas").isNull(), 1).otherwise(values.to_whole(F.col("totalPaginas"))).alias("totalPaginas"),
             F.col("totalRegistros").try_cast("bigint").alias("totalRegistros"),
             "data",
+            *([NULLS] if explicit_nulls else []),
         )
     )
 
@@ -62,26 +83,27 @@ def _shape(bodies: DataFrame) -> DataFrame:
 _BODIES = {"recursiveFileLookup": "true"}
 
 
-def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
-    """Every landed page below ``path``."""
-    return _shape(spark.read.options(**_BODIES).text(path, wholetext=one_page_per_file))
+def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = True, explicit_nulls: bool = False) -> DataFrame:
+    """Every landed page below ``path``. With ``explicit_nulls`` a field that is given as null is told from
+    one that is left out: the first empties a stored field (K1), the second leaves it."""
+    return _shape(spark.read.options(**_BODIES).text(path, wholetext=one_page_per_file), explicit_nulls)
 
 
 def stream_pages(
-    spark: SparkSession, path: str, one_page_per_file: bool = True, files_per_batch: int | None = None
+    spark: SparkSession, path: str, one_page_per_file: bool = True, files_per_batch: int | None = None, explicit_nulls: bool = False
 ) -> DataFrame:
     """S1 as a stream of newly landed files."""
     reader = spark.readStream.options(**_BODIES)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _shape(reader.text(path, wholetext=one_page_per_file))
+    return _shape(reader.text(path, wholetext=one_page_per_file), explicit_nulls)
 
 
 def records(pages: DataFrame) -> DataFrame:
     """The notices of each page with their place in it; a page without data has none."""
-    return pages.select("lote", "pagina", F.posexplode("data").alias("pos", "_notice")).select(
-        "_notice.*", *ORIGIN.fieldNames()
-    )
+    nulls = [F.coalesce(F.get(NULLS, "pos"), F.array().cast("array<string>")).alias(NULLS)] if NULLS in pages.columns else []
+    each = pages.select("lote", "pagina", F.posexplode("data").alias("pos", "_notice"), *([NULLS] if nulls else []))
+    return each.select("_notice.*", *ORIGIN.fieldNames(), *nulls)
 
 
 def read_records(spark: SparkSession, path: str, one_array_per_file: bool = False) -> DataFrame:

@@ -16,6 +16,8 @@ from noticelake.sinks.keyed import KeyedTable
 from noticelake.sources import pages
 from noticelake.streaming import dedup, sliding
 from noticelake.streaming import upsert as streams
+from noticelake.schemas import PARTITION
+from tests.test_key_index import break_files
 from tests.test_pages import land, notice
 
 EVENTS = "id string, ts timestamp, n int"
@@ -87,3 +89,41 @@ def test_pages_arriving_over_time(spark, tmp_path, layer):
     assert rows["same"]["objeto_compra"] == "Obra" and rows["same"]["valor_total_estimado"] == 100.5
     if layer == "lake":
         assert rows["same"]["ramo_mei"] == "Obras"
+
+
+def test_updates_of_periods_with_bounded_state(spark, tmp_path):
+    """Late rows, a restart between arrivals: the table equals the batch, and state of closed periods is gone."""
+    source, check = str(tmp_path / "in"), str(tmp_path / "check")
+    measures = [F.count("*").alias("total"), values.money_sum(F.col("n").cast("double")).alias("soma")]
+    states, stored = [], None
+    for day in range(12):
+        late = [("late", moment(24 * (day - 1) + 1), 7)] if day % 3 == 2 else []
+        write_events(spark, source, [(f"u{i % 3}", moment(24 * day + i), i) for i in range(20)] + late)
+        stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(source)
+        totals = sliding.sliding_periods(stream, "ts", ["id"], measures, delay="2 days")
+        stored = stored or streams.period_table(totals, str(tmp_path / "out"), ["id"])
+        query = streams.period_stream(totals, stored, check)
+        streams.finish(query)
+        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    table = sliding.sliding_periods(spark.read.schema(EVENTS).parquet(source), "ts", ["id"], measures)
+    got = sorted(map(tuple, stored.read().drop(PARTITION).collect()))
+    assert got == sorted(map(tuple, table.collect()))
+    assert any(r[2] == "late" for r in got)
+    # 13 periods and 4 keys went through; periods that the watermark has passed are gone
+    assert max(states) <= 20 and any(b < a for a, b in zip(states, states[1:]))
+
+
+def test_stream_opens_only_the_partitions_of_its_keys(spark, tmp_path):
+    source, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+
+    def arrive():
+        streams.finish(streams.lake_stream(pages.records(pages.stream_pages(spark, str(source))), lake, str(tmp_path / "check")))
+
+    land(source, "20260115_20260116", {1: {"totalPaginas": 1, "data": [notice("a"), notice("b", dataPublicacaoPncp="2026-01-16T08:00:00")]}})
+    arrive()
+    for table in (v.BRONZE, v.SILVER):
+        break_files(tmp_path / "lake" / table / f"{PARTITION}=2026-01-16")
+    land(source, "20260117_20260118", {1: {"totalPaginas": 1, "data": [notice("a", dataPublicacaoPncp="2026-01-17T08:00:00"), notice("c")]}})
+    arrive()
+    rows = lake.silver.read().filter(F.col(PARTITION) != "2026-01-16").collect()
+    assert {(r["numero_controle_pncp"], r[PARTITION]) for r in rows} == {("a", "2026-01-17"), ("c", "2026-01-15")}
