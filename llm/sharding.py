@@ -1,8 +1,8 @@
 """Shards along a Hilbert curve over metadata.
 
-Each dimension is quantised into cells of about equal weight (by ``approx_percentile``; text by its first
-six bytes, which keeps its order), the cells give an index on the Hilbert curve, and rows are range-sorted
-by that index. Runs of the sorted rows are the shards: neighbours on the curve are alike in all dimensions
+Each dimension is quantised into cells of about equal weight: numbers by ``approx_percentile``, texts by the
+share of rows that sort before them (distinct values are counted, range-sorted whole, and their counts summed up range
+by range). The cells give an index on the Hilbert curve, and rows are range-sorted by that index. Runs of the sorted rows are the shards: neighbours on the curve are alike in all dimensions
 at once, so each file covers a small box and a filter on any dimension skips most files.
 
 The law is ``rows``: shard sizes differ by one row at most. Rows with equal texts are a group: they take
@@ -52,19 +52,48 @@ def hilbert_index(cells: list[np.ndarray], bits: int) -> np.ndarray:
 
 
 def as_number(frame: DataFrame, name: str) -> Column:
-    """A dimension as a number in the same order; null below everything."""
+    """A dimension that is no text as a number in the same order; null below everything."""
     kind, value = frame.schema[name].dataType.simpleString(), column(name)
-    if kind == "string":
-        number = F.conv(F.rpad(F.substring(F.hex(value), 1, 12), 12, "0"), 16, 10).cast("double")
-    elif kind in ("date", "timestamp"):
-        number = F.unix_timestamp(value.cast("timestamp")).cast("double")
-    else:
-        number = value.cast("double")
+    number = F.unix_timestamp(value.cast("timestamp")).cast("double") if kind in ("date", "timestamp") else value.cast("double")
     return F.coalesce(number, F.lit(float("-inf")))
 
 
+def text_cells(frame: DataFrame, name: str, parts: int) -> DataFrame:
+    """``key`` (MD5 of the value, empty for null) and ``cell`` of each distinct text: where the middle of its rows
+    lies among all rows in order of the text, null first, in ``parts`` equal parts."""
+    value = column(name)
+    counted = frame.groupBy(F.coalesce(F.md5(value), F.lit("")).alias("key")).agg(F.first(value).alias("value"), F.count("*").alias("n"))
+    ranged = counted.repartitionByRange("value", "key").sortWithinPartitions("value", "key").select("key", "n")
+
+    def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, seen = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            upto = seen + np.cumsum(n)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(upto - n / 2), batch.column("n"), pa.array(np.full(len(n), part, dtype=np.int64))], ["key", "middle", "n", "part"])
+            seen = int(upto[-1]) if len(n) else seen
+
+    summed = Stored(ranged.mapInArrow(add_up, "key string, middle double, n long, part long"), "sharding-values").frame
+    # One row a range.
+    sums = sorted((r["part"], r["n"]) for r in summed.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    begin, total = {}, 0
+    for part, n in sums:
+        begin[part] = total
+        total += n
+
+    def cell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before = np.array([begin[x] for x in batch.column("part").to_pylist()], dtype=np.float64)
+            cells_ = np.floor((before + batch.column("middle").to_numpy()) * parts / max(1, total))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(np.clip(cells_, 0, parts - 1))], ["key", "cell"])
+
+    return summed.mapInArrow(cell, "key string, cell double")
+
+
 def cells(frame: DataFrame, names: list[str], bits: int) -> list[Column]:
-    """Cell of each dimension, by cuts of equal weight over all rows; one row of cuts comes to the driver."""
+    """Cell of each numeric dimension, by cuts of equal weight over all rows; one row of cuts comes to the driver."""
     parts = 1 << bits
     share = ",".join(str(i / parts) for i in range(1, parts))
     row = frame.agg(*[F.expr(f"approx_percentile(`{n}`, array({share}), 1000)").alias(n) for n in names]).first()
@@ -80,15 +109,26 @@ def cells(frame: DataFrame, names: list[str], bits: int) -> list[Column]:
 def shard(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source"), shards: int = 8, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard and curve.
 
-    The text's size is a dimension besides ``dimensions``. Null texts have size 1 and the checksum of
+    The text's size is a dimension besides ``dimensions``; values of a text dimension count whole. Null texts have size 1 and the checksum of
     the empty text; null dimensions come first; repeated rows take a slot each; an empty table gives no
     rows. Texts are not shuffled."""
     text = column(text_col).cast("string")
     names = [f"d{i}" for i in range(len(dimensions))]
+    texts = [docs.schema[c].dataType.simpleString() == "string" for c in dimensions]
+    # A text stands as the key of its value here, and as its cell from the next table on.
+    own = [(F.coalesce(F.md5(column(c)), F.lit("")) if is_text else as_number(docs, c)).alias(n) for c, n, is_text in zip(dimensions, names, texts, strict=True)]
     meta = docs.select(
-        column(id_col).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"), F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"), F.xxhash64(text).alias("hash"), *[as_number(docs, c).alias(n) for c, n in zip(dimensions, names, strict=True)]
+        column(id_col).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"), F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"), F.xxhash64(text).alias("hash"), *own
     )
     meta = Stored(meta, "sharding-meta").frame
+    for c, n, is_text in zip(dimensions, names, texts, strict=True):
+        if is_text:
+            # One value may stand in a third of all rows: they are dealt over SALTS tasks, and its one cell goes to each.
+            values = text_cells(docs, c, 1 << bits).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("key", n)
+            meta = meta.withColumn("salt", F.pmod(F.xxhash64("doc_id", "hash"), F.lit(SALTS)).cast("int")).join(values, [n, "salt"])
+            meta = meta.withColumn(n, F.col("cell")).select("doc_id", "bytes", "text_crc32", "hash", *names)
+    if any(texts):
+        meta = Stored(meta, "sharding-cells").frame
     group = ["hash", "text_crc32", "bytes"]
     least = meta.groupBy(*group).agg(F.count("*").alias("copies"), *[F.min(n).alias(f"g_{n}") for n in names])
     # A group may hold a third of all rows: its rows are dealt over SALTS tasks, and its one row goes to each.
@@ -97,7 +137,9 @@ def shard(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source"), sha
     joined = salted.join(several, [*group, "salt"], "left").select("doc_id", *group, *[F.coalesce(f"g_{n}", n).alias(n) for n in names])
     # Read twice: for the cuts and for the cells.
     grouped = Stored(joined, "sharding-groups").frame
-    coded = grouped.select("doc_id", *group, *[c.alias(f"c{i}") for i, c in enumerate(cells(grouped, [*names, "bytes"], bits))])
+    numeric = [n for n, is_text in zip(names, texts, strict=True) if not is_text] + ["bytes"]
+    cell_of = dict(zip(numeric, cells(grouped, numeric, bits), strict=True))
+    coded = grouped.select("doc_id", *group, *[cell_of.get(n, F.col(n).cast("int")).alias(f"c{i}") for i, n in enumerate([*names, "bytes"])])
     coordinates = [f"c{i}" for i in range(len(names) + 1)]
     kind = meta.schema["doc_id"].dataType.simpleString()
 
@@ -140,7 +182,16 @@ def shard(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source"), sha
     return placed.select("doc_id", "bytes", "text_crc32", "curve", "part", "local").mapInArrow(assign, f"doc_id {kind}, size long, text_crc32 long, law string, shard int, slot long, grown_shard int, curve long")
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """The rows of ``docs`` in one folder a shard, files in curve order; ids must be unique."""
-    place = assigned.select(F.col("doc_id").alias("_id"), "shard", "slot")
-    docs.join(place, column(id_col) == F.col("_id")).drop("_id").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, dimensions: tuple[str, ...] = ("lang", "source"), shards: int = 8, bits: int = 4, text_col: str = "text") -> None:
+    """Every row of ``docs`` once, in one folder a shard, files in curve order.
+
+    Rows are told apart by a number that they get when they are stored on the way, not by their id: ids may be null or
+    repeated, and equal rows are written as often as they occur. An empty table writes no shard."""
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    rows = Stored(docs.withColumn(number, F.monotonically_increasing_id()), "sharding-rows")
+    place = shard(rows.frame, dimensions, shards, bits, id_col=number, text_col=text_col).select(F.col("doc_id").alias(number), F.col("shard").alias("_to"), F.col("slot").alias("_slot"))
+    placed = rows.frame.join(place, number).drop(number).repartitionByRange("_to", "_slot").sortWithinPartitions("_to", "_slot").drop("_slot")
+    placed.withColumnRenamed("_to", "shard").write.partitionBy("shard").parquet(path)
+    rows.drop()

@@ -13,7 +13,7 @@ from tests.llm.fixtures import WORD, awkward, empty, frame, lower_ascii, prose
 from llm.classifier import classify
 from llm.pitman_yor import CONTEXTS, Totals, first_totals, pairs_of, seat, steps
 from llm.pitman_yor import score as lm_score
-from llm.sharding import hilbert_index, shard, write_shards
+from llm.sharding import hilbert_index, shard, text_cells, write_shards
 
 
 def labelled(spark):
@@ -130,5 +130,31 @@ def test_shards(spark, tmp_path):
         assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(n))
     assert shard(empty(spark)).count() == 0
     docs = frame(spark, [(i, prose(i, 20)) for i in range(30)])
-    write_shards(docs, shard(docs, shards=3), str(tmp_path / "out"))
+    write_shards(docs, str(tmp_path / "out"), shards=3)
     assert spark.read.parquet(str(tmp_path / "out")).groupBy("shard").count().where("count = 10").count() == 3
+
+
+def test_written_shards_have_every_row_once(spark, tmp_path):
+    docs = frame(spark, awkward() + [(7, prose(3, 200))] * 5 + [(None, None)] * 3)
+    write_shards(docs, str(tmp_path / "out"), shards=4)
+    written = spark.read.parquet(str(tmp_path / "out"))
+    key = lambda df: sorted(map(str, df.select(*docs.columns).collect()))
+    assert key(written) == key(docs)
+    assert max(r["count"] for r in written.groupBy("shard").count().collect()) <= -(-docs.count() // 4)
+
+
+def test_long_values_of_one_prefix_are_told_apart(spark):
+    """Each shard holds few of the sources, though they begin alike; one of them has a third of all rows."""
+    names = [f"common-crawl-{k % 16 if k % 3 else 0}" for k in range(1600)]
+    docs = spark.createDataFrame([(k, prose(k % 40, 5) + f" {k}", names[k]) for k in range(1600)], "doc_id long, text string, source string")
+    rows = shard(docs, dimensions=("source",), shards=16).join(docs.select("doc_id", "source"), "doc_id").collect()
+    held = [len({r["source"] for r in rows if r["shard"] == s}) for s in range(16)]
+    assert sum(held) / 16 <= 5
+    cut = {r["cell"] for r in text_cells(docs, "source", 16).collect()}
+    assert len(cut) >= 10
+
+
+def test_cells_of_texts(spark):
+    rows = [None] * 4 + ["a" * 60 + "1"] * 4 + ["a" * 60 + "2"] * 4 + ["b"] * 4
+    found = {r["key"]: r["cell"] for r in text_cells(spark.createDataFrame([(x,) for x in rows], "s string"), "s", 4).collect()}
+    assert sorted(found.values()) == [0, 1, 2, 3] and found[""] == 0
