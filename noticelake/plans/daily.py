@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from noticelake import schemas
 from noticelake import vocabulary as v
 from noticelake.functions import dates
-from noticelake.operators import latest, periods, rollup, silver
+from noticelake.operators import latest, periods, rollup, silver, trigrams
 from noticelake.sinks.keyed import KeyedTable, Parts, in_parts, no_changes
 from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
 from noticelake.sources import pages
@@ -36,6 +36,8 @@ class Lake:
     grain: str = "day"
     #: Count distinct buyers by sketches of this size (rollup.sketch_cells) instead of exactly.
     sketch_lg_k: int | None = None
+    #: Keep filters of the object texts by storage partition, for text searches (operators.trigrams).
+    text_index: bool = False
 
     @property
     def bronze(self) -> KeyedTable:
@@ -61,6 +63,21 @@ class Lake:
     def day_cells(self, silver_rows: DataFrame) -> DataFrame:
         return periods.day_cells(silver_rows, lg_k=self.sketch_lg_k)
 
+    @property
+    def filters_path(self) -> str:
+        return f"{self.root}/_trigramas"
+
+    def text_parts(self, pattern: str) -> set[str | None] | None:
+        """Silver's partitions that can hold a text which matches; None if that cannot be told. Partitions that have
+        been touched since the filters were made are among them."""
+        if not self.text_index or not path_exists(self.spark, self.filters_path):
+            return None
+        wanted = trigrams.fixed_places(self.spark, pattern)
+        if wanted is None:
+            return None
+        touched, _ = self.silver.logged_parts()
+        return trigrams.partitions_with(self.spark.read.schema(trigrams.SCHEMA).parquet(self.filters_path), wanted) | touched
+
     def gold_path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -79,7 +96,7 @@ class Lake:
     def tables(self) -> Tables:
         stored = {v.BRONZE: self.bronze.read, v.SILVER: self.silver.read}
         stored.update({name: (lambda name=name: self.gold(name)) for name in v.GOLD_TABLES})
-        return Tables(self.spark, stored)
+        return Tables(self.spark, stored, parts={v.SILVER: self.silver.parts}, text_parts=self.text_parts)
 
 
 def bronze_batch(notices: DataFrame, grain: str = "day") -> DataFrame:
@@ -156,11 +173,19 @@ def aggregate(
         if not first:
             present = {r[0] for r in fresh.select(schemas.PARTITION).distinct().collect()}
             clear_partitions(lake.spark, lake.cells_path, [{schemas.PARTITION: part} for part in parts - present])
+    if lake.text_index:
+        _refresh_filters(lake, everything, parts)
     for entry in entries:
         drop_path(lake.spark, entry)
     return (start, end) in filled
 
 
+def _refresh_filters(lake: Lake, everything: DataFrame, parts: set[str | None]) -> None:
+    """The text filters of these partitions; of all where there are none yet."""
+    rows = everything.filter(in_parts(parts)) if path_exists(lake.spark, lake.filters_path) else everything
+    replace_partitions(spread(trigrams.filters(rows), [schemas.PARTITION]), lake.filters_path, [schemas.PARTITION])
+
+
 def _cells_at(lake: Lake, path: str) -> DataFrame:
     schema = lake.day_cells(lake.silver.read()).schema
     if not path_exists(lake.spark, path):

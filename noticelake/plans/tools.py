@@ -19,7 +19,7 @@ from noticelake.functions import predicates as p
 from noticelake.operators import rollup
 from noticelake.operators.ranking import ordered, top
 from noticelake.operators.silver import as_column
-from noticelake.sources.tables import Tables, published_slice
+from noticelake.sources.tables import Tables, in_parts, published_slice
 
 
 def contar_registros(tables: Tables, colecao: str) -> DataFrame:
@@ -98,10 +98,19 @@ def buscar_contratacoes(
     valor_minimo: float | None = None,
 ) -> DataFrame:
     """T7; ``valor_minimo`` (exclusive) serves the question no tool could answer. An explicit ``limite`` is a
-    top-k by date and key."""
-    rows = tables.read(v.SILVER)
+    top-k by date and key.
+
+    On a stored table with text filters only partitions that can hold the text are opened; with a
+    ``limite``, partitions are opened in order of date until it is reached."""
+    rows, parts = tables.read(v.SILVER), tables.parts(v.SILVER)
     if data_inicial and data_final:
         rows = published_slice(rows, data_inicial, data_final, "data_publicacao_pncp")
+        low, high = dates.bounds(data_inicial, data_final)
+        parts = parts and [part for part in parts if part is None or low[: len(part)] <= part <= high[: len(part)]]
+    possible = tables.text_parts(texto_objeto)
+    if possible is not None:
+        rows = rows.filter(in_parts(possible))
+        parts = parts and [part for part in parts if part in possible]
     rows = rows.filter(
         p.every(
             p.state_is(uf),
@@ -110,9 +119,25 @@ def buscar_contratacoes(
             None if valor_minimo is None else F.col("valor_total_estimado") > valor_minimo,
         )
     )
+    if limite is not None and limite >= 1 and parts:
+        rows = _first_parts(rows, parts, limite)
     return top(rows, ("data_publicacao_pncp", v.SILVER_KEY), limite)
 
 
+def _first_parts(rows: DataFrame, parts: list[str | None], limit: int) -> DataFrame:
+    """The rows of the first partitions that hold ``limit`` of them together, so that the first rows by date are
+    among these. Partitions are named by the leading characters of the date; what has no such date is in
+    the null partition and may come anywhere, so that one is always read. Twice as many are tried each time."""
+    unnamed, named = [part for part in parts if part is None], [part for part in parts if part is not None]
+    take = 1
+    while take < len(named):
+        # the null partition's rows do not count: they may come after those of partitions not yet opened
+        if rows.filter(in_parts(named[:take])).limit(limit).count() >= limit:
+            return rows.filter(in_parts([*unnamed, *named[:take]]))
+        take *= 2
+    return rows
+
+
 def top_orgaos_contratantes(tables: Tables, uf: str | None = None, limite: int = 10) -> DataFrame:
     """Absent parts of the group are shown as N/A."""
     grouped = (

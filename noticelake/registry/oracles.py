@@ -372,3 +372,5 @@ ORACLES: dict[str, str] = {
  from silver)""",
 }
 ORACLES["stream_sliding_update"] = ORACLES["stream_sliding"]
+ORACLES["tool_buscar_indexed"] = ORACLES["tool_buscar"]
+ORACLES["tool_buscar_first"] = ORACLES["tool_buscar_sem_filtro"]

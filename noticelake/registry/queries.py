@@ -465,7 +465,7 @@ def _stored_lake(spark: SparkSession, sf: str) -> daily.Lake:
     """A lake with two stored periods, all days and `A_PERIOD`; made once a session, then only read."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _stored:
-        lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="month")
+        lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain="month", text_index=True)
         with _landing(spark, bronze_rows(spark, sf)) as landed:
             daily.ingest(lake, landed)
         refined = daily.refine(lake, FIRST_DAY, LAST_DAY, F.to_timestamp("data_publicacao_pncp"))
@@ -606,6 +606,22 @@ QUERIES.update(
 )
 
 
+def _found_in_lake(spark: SparkSession, sf: str, **arguments) -> DataFrame:
+    return tools.buscar_contratacoes(_stored_lake(spark, sf).tables(), **arguments).drop("data_coleta", schemas.PARTITION)
+
+
+@query
+def tool_buscar_indexed(spark, sf):
+    """A text search that opens the partitions whose filters have the words' trigrams."""
+    return _found_in_lake(spark, sf, uf=A_STATE, data_inicial="19960101", data_final="19961231", texto_objeto="reforma|LICENÇA", limite=100)
+
+
+@query
+def tool_buscar_first(spark, sf):
+    """T7 O8 with a limit alone: partitions are opened in order of date until it is reached."""
+    return _found_in_lake(spark, sf, limite=10)
+
+
 @query
 def tool_estatisticas_lake(spark, sf):
     """T9 where counts come from stored tables."""

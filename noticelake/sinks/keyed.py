@@ -35,7 +35,8 @@ from noticelake.operators.reconcile import (
 )
 from noticelake.schemas import NULLS, PARTITION
 from noticelake.sinks.key_index import KeyIndex
-from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
+from noticelake.sinks.partitions import NULL_PARTITION, clear_partitions, replace_partitions, spread
+from noticelake.sources.tables import in_parts
 from noticelake.workspace import child_names, drop_path, path_exists
 
 _PART_SCHEMA = StructType([StructField(PARTITION, StringType())])
@@ -112,6 +113,11 @@ class KeyedTable:
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
+    def parts(self) -> list[str | None]:
+        """Stored partitions by name, the null partition first: a list of folders, no file is opened."""
+        names = [n.removeprefix(f"{PARTITION}=") for n in child_names(self.spark, self.path) if n.startswith(f"{PARTITION}=")]
+        return sorted((None if n == NULL_PARTITION else n for n in names), key=lambda part: part or "")
+
     def read(self) -> DataFrame:
         if not self.exists():
             return self.spark.createDataFrame([], self.schema)
@@ -213,10 +219,5 @@ def _new_place() -> Column:
     return (F.col(STATUS) == INSERTED) | moved
 
 
-def in_parts(parts: Iterable[str | None]) -> Column:
-    named = F.col(PARTITION).isin([part for part in parts if part is not None])
-    return named | F.col(PARTITION).isNull() if None in parts else named
-
-
 def no_changes() -> dict[str, int]:
     return dict.fromkeys(COUNTS.values(), 0)

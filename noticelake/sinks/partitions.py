@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from noticelake.workspace import drop_path
 
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def spread(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -39,5 +39,5 @@ def clear_partitions(spark: SparkSession, path: str, emptied: Iterable[Mapping[s
     A dynamic overwrite does not touch a partition it has no row for.
     """
     for partition in emptied:
-        folder = "/".join(f"{c}={_NULL_PARTITION if x is None else x}" for c, x in partition.items())
+        folder = "/".join(f"{c}={NULL_PARTITION if x is None else x}" for c, x in partition.items())
         drop_path(spark, f"{path}/{folder}")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticelake.functions import dates
@@ -20,9 +20,14 @@ class Tables:
         spark: SparkSession,
         frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
         by_period: Mapping[str, Callable[[str, str], DataFrame]] | None = None,
+        parts: Mapping[str, Callable[[], list[str | None]]] | None = None,
+        text_parts: Callable[[str], set[str | None] | None] | None = None,
     ):
-        """``by_period``: how to make one period's rows of a table that is a view."""
+        """``by_period``: how to make one period's rows of a table that is a view. ``parts``: the storage partitions
+        of a table, in order. ``text_parts``: those of Silver that can hold a text which matches a pattern."""
         self.spark = spark
+        self._parts = dict(parts or {})
+        self._text_parts = text_parts
         self._frames = dict(frames)
         self._by_period = dict(by_period or {})
 
@@ -31,6 +36,13 @@ class Tables:
         frame = self._frames[name]
         return frame() if callable(frame) else frame
 
+    def parts(self, name: str) -> list[str | None] | None:
+        """Storage partitions in order, null first; None where the table is not stored in partitions."""
+        return self._parts[name]() if name in self._parts else None
+
+    def text_parts(self, pattern: str | None) -> set[str | None] | None:
+        return self._text_parts(pattern) if pattern and self._text_parts else None
+
     def in_period(self, name: str, period: str | None) -> DataFrame:
         """the rows of one period (all without one). A stored table prunes its partitions by the filter;
         a view is made from the rows of those days alone."""
@@ -47,6 +59,13 @@ class Tables:
         return self.read(name).agg(F.lit(name).alias("colecao"), F.count("*").alias("total"))
 
 
+def in_parts(parts: Iterable[str | None]) -> Column:
+    """Rows of these storage partitions."""
+    parts = list(parts)
+    named = F.col(PARTITION).isin([part for part in parts if part is not None])
+    return named | F.col(PARTITION).isNull() if None in parts else named
+
+
 def published_slice(
     table: DataFrame, start: str, end: str, column: str, uf_column: str | None = None, uf: str | None = None
 ) -> DataFrame:
