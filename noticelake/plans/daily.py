@@ -78,6 +78,16 @@ class Lake:
         touched, _ = self.silver.logged_parts()
         return trigrams.partitions_with(self.spark.read.schema(trigrams.SCHEMA).parquet(self.filters_path), wanted) | touched
 
+    @property
+    def rejected_path(self) -> str:
+        return f"{self.root}/{v.BRONZE}.rejeitados"
+
+    def rejected(self) -> DataFrame:
+        """Rejected content of all runs; the files are opened only if there is any."""
+        if not path_exists(self.spark, self.rejected_path):
+            return self.spark.createDataFrame([], schemas.REJECTED)
+        return self.spark.read.schema(schemas.REJECTED).parquet(self.rejected_path).select(*schemas.REJECTED.names)
+
     def gold_path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -122,6 +132,19 @@ def ingest(lake: Lake, landed: DataFrame) -> dict[str, int]:
     return counts
 
 
+def keep_rejected(lake: Lake, rejected: DataFrame) -> dict[str | None, int]:
+    """What a landing held that is no page or no record (`pages.rejected`), beside Bronze by run; how many of each
+    run. A run that is landed again replaces its own."""
+    with scratch(lake.spark, "rejected") as path:
+        rejected.write.parquet(path)
+        rows = lake.spark.read.schema(rejected.schema).parquet(path)
+        # one row a run
+        counts = {r["lote"]: r["n"] for r in rows.groupBy("lote").agg(F.count("*").alias("n")).collect()}
+        if counts:
+            replace_partitions(spread(rows, ["lote"]), lake.rejected_path, ["lote"])
+    return counts
+
+
 def refine(lake: Lake, start: str, end: str, as_of: datetime | Column | None = None) -> dict[str, object]:
     """A range of Bronze into Silver (K2, K8); also names the partitions it changed."""
     bronze = bronze_slice(lake.bronze.read(), start, end)
@@ -253,9 +276,12 @@ def _replace_months(lake: Lake, cells: DataFrame, months: set[int | None], as_of
         table.unpersist()
 
 
-def run(lake: Lake, landed: DataFrame, start: str, end: str, as_of: datetime | Column | None = None) -> dict:
-    """All three stages of one interval."""
+def run(
+    lake: Lake, landed: DataFrame, start: str, end: str, as_of: datetime | Column | None = None, rejected: DataFrame | None = None
+) -> dict:
+    """All three stages of one interval; what was ``rejected`` is kept as well."""
+    refused = {} if rejected is None else {"rejeitados": keep_rejected(lake, rejected)}
     ingested = ingest(lake, landed)
     refined = refine(lake, start, end, as_of)
     gold = aggregate(lake, start, end, as_of, refined["partes"])
-    return {"bronze": ingested, "silver": refined, "gold": gold}
+    return {"bronze": ingested, "silver": refined, "gold": gold, **refused}

@@ -374,3 +374,12 @@ ORACLES: dict[str, str] = {
 ORACLES["stream_sliding_update"] = ORACLES["stream_sliding"]
 ORACLES["tool_buscar_indexed"] = ORACLES["tool_buscar"]
 ORACLES["tool_buscar_first"] = ORACLES["tool_buscar_sem_filtro"]
+
+_LANDED = f"""{PV}, landed as (select substr(data_publicacao_pncp, 1, 4) lote, cast(k // 5000 + 1 as integer) pagina, k,
+  cast(row_number() over (partition by substr(data_publicacao_pncp, 1, 4), k // 5000 order by k) - 1 as integer) posicao
+ from (select *, cast(numero_controle_pncp as bigint) k from pv))"""
+ORACLES["rejected_records"] = f"""with {_LANDED}
+ select lote, pagina, posicao, 'registro não é objeto' motivo, cast(k as varchar) conteudo from landed where pagina % 11 <> 0 and k % 7 = 0
+ union all select distinct lote, pagina, cast(null as integer), 'corpo ilegível', cast(null as varchar) from landed where pagina % 11 = 0"""
+ORACLES["records_beside_rejected"] = f"""with {_LANDED} select lote, pagina, posicao pos, cast(k as varchar) numero_controle_pncp
+ from landed where pagina % 11 <> 0 and k % 7 <> 0"""

@@ -215,6 +215,33 @@ def silver_period(spark, sf):
     return silver_slice(silver_rows(spark, sf), "19960115", "19960310").select(*v.SILVER_COLUMNS, "ramo_mei")
 
 
+def _spoilt_pages(spark: SparkSession, sf: str) -> str:
+    """Landed pages where every 7th order is a bare number and every 11th page is cut off in the middle."""
+    path, key = fresh_dir(spark, "pages"), F.col(v.BRONZE_KEY).cast("long")
+    rows = bronze_rows(spark, sf)
+    record = F.to_json(F.struct(*[c for c in rows.columns if c not in ("lote", "pagina")]))
+    each = rows.select("lote", "pagina", F.struct(key.alias("k"), F.when(key % 7 == 0, key.cast("string")).otherwise(record).alias("r")).alias("own"))
+    bodies = each.groupBy("lote", "pagina").agg(F.array_sort(F.collect_list("own")).alias("all"))
+    body = F.concat(F.lit('{"totalPaginas":1,"data":['), F.array_join(F.transform("all", lambda x: x["r"]), ","), F.lit("]}"))
+    cut = F.when(F.col("pagina") % 11 == 0, F.substring(body, F.lit(1), F.length(body) - 5)).otherwise(body)
+    bodies.select("lote", "pagina", cut.alias("value")).write.partitionBy("lote", "pagina").text(path)
+    return path
+
+
+@query
+def rejected_records(spark, sf):
+    """Content that is no page or no record, kept beside Bronze."""
+    lake = daily.Lake(spark, fresh_dir(spark, "lake"))
+    daily.keep_rejected(lake, pages.rejected(spark, _spoilt_pages(spark, sf)))
+    return lake.rejected().drop("arquivo")
+
+
+@query
+def records_beside_rejected(spark, sf):
+    """The records of the same pages; one that is no record costs no other."""
+    return pages.records(pages.read_pages(spark, _spoilt_pages(spark, sf))).select("lote", "pagina", "pos", F.col(v.BRONZE_KEY).alias("numero_controle_pncp"))
+
+
 # --- one row per key, upsert -----------------------------------------------
 
 

@@ -49,6 +49,11 @@ ENVELOPE = _struct(
 #: Where a record came from: run, page within the run, place within the page.
 ORIGIN = _struct(lote=StringType(), pagina=IntegerType(), pos=IntegerType())
 
+#: Landed content that is no page or no record.
+REJECTED = _struct(
+    lote=StringType(), pagina=IntegerType(), arquivo=StringType(), posicao=IntegerType(), motivo=StringType(), conteudo=StringType()
+)
+
 #: Beside a record or batch row: its top-level fields that were given as null, which is not the same as left out.
 NULLS = "nulos"
 

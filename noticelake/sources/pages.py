@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from noticelake import vocabulary as v
 from noticelake.functions import predicates as p
@@ -18,11 +18,14 @@ from noticelake.schemas import ENVELOPE, NOTICE, NULLS, ORIGIN
 
 _PAGE_IN_PATH = r"pagina[=_-]0*(\d+)"
 _RUN_IN_PATH = r"lote[=_-]([^/]+)"
+#: Reasons of rejected content.
+BAD_BODY, NO_LIST, NO_RECORD = "corpo ilegível", "dados não são lista", "registro não é objeto"
 #: Pages a missing-pages check lists at once.
 _BLOCK = 10_000
 
 #: A line of a compacted landing also carries its own page number.
 LANDED = StructType(ENVELOPE.fields + [StructField("numeroPagina", IntegerType())])
+_DATA_TEXTS = StructType([StructField("data", ArrayType(StringType()))])
 
 
 def _from_path(pattern: str) -> Column:
@@ -30,6 +33,23 @@ def _from_path(pattern: str) -> Column:
     return F.when(found != "", found)
 
 
+def _readable(page: Column) -> Column:
+    return page["data"].isNotNull() | page["totalPaginas"].isNotNull() | page["totalRegistros"].isNotNull()
+
+
+def _pages(bodies: Column) -> Column:
+    """Pages of a body. One record that is no object empties its page's whole list in the parser; such pages are
+    read again record by record, and that record alone is null."""
+    landed = F.from_json(bodies, ArrayType(LANDED))
+    texts = F.from_json(bodies, ArrayType(_DATA_TEXTS))
+
+    def page(fields: Column, raw: Column) -> Column:
+        data = F.coalesce(fields["data"], F.transform(raw["data"], lambda record: F.when(F.ltrim(record).startswith("{"), F.from_json(record, NOTICE))))
+        return F.struct(*[(data if name == "data" else fields[name]).alias(name) for name in LANDED.fieldNames()])
+
+    return F.when(F.exists(landed, lambda p: p["data"].isNull()), F.zip_with(landed, texts, page)).otherwise(landed)
+
+
 def _given_as_null(notice: Column) -> Column:
     """Names of a notice's fields that are there and null. Under a schema they look like fields that are not there."""
     return F.array_compact(
@@ -56,15 +76,14 @@ def _shape(bodies: DataFrame, explicit_nulls: bool = False) -> DataFrame:
     reports it (defect D7). ``inline_outer`` parses each body once: a filter on
     what it yields is not moved below it.
     """
-    readable = F.col("data").isNotNull() | F.col("totalPaginas").isNotNull() | F.col("totalRegistros").isNotNull()
-    landed = F.from_json("value", ArrayType(LANDED))
+    landed = _pages(F.col("value"))
     return (
         bodies.select(
             _from_path(_RUN_IN_PATH).alias("lote"),
             _from_path(_PAGE_IN_PATH).cast("int").alias("_pagina"),
             F.inline_outer(_with_nulls(landed) if explicit_nulls else landed),
         )
-        .filter(readable)
+        .filter(F.col("data").isNotNull() | F.col("totalPaginas").isNotNull() | F.col("totalRegistros").isNotNull())
         .select(
             "lote",
             F.coalesce("_pagina", "numeroPagina").alias("pagina"),
@@ -100,10 +119,37 @@ def stream_pages(
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """The notices of each page with their place in it; a page without data has none."""
+    """The notices of each page with their place in it; a page without data has none. What is no object is
+    left out (see `rejected`)."""
     nulls = [F.coalesce(F.get(NULLS, "pos"), F.array().cast("array<string>")).alias(NULLS)] if NULLS in pages.columns else []
     each = pages.select("lote", "pagina", F.posexplode("data").alias("pos", "_notice"), *([NULLS] if nulls else []))
-    return each.select("_notice.*", *ORIGIN.fieldNames(), *nulls)
+    return each.filter(F.col("_notice").isNotNull()).select("_notice.*", *ORIGIN.fieldNames(), *nulls)
+
+
+def rejected(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
+    """What below ``path`` is no page or no record, with file, place, reason and, for a record, its text.
+
+    A place is that of the record in its page; a body that is no page, or whose data is no list, has none."""
+    bodies = spark.read.options(**_BODIES).text(path, wholetext=one_page_per_file)
+    body = F.try_parse_json("value")
+    whole = F.coalesce(F.try_variant_get(body, "$", "array<variant>"), F.array(body))
+    # the rule by which pages are read, so that a body counts as one or the other
+    unread = ~F.coalesce(F.exists(F.from_json("value", ArrayType(LANDED)), _readable), F.lit(False))
+    each = bodies.select(
+        _from_path(_RUN_IN_PATH).alias("lote"), _from_path(_PAGE_IN_PATH).cast("int").alias("_pagina"),
+        F.col("_metadata.file_path").alias("arquivo"), unread.alias("_unread"), F.explode_outer(F.when(~unread, whole)).alias("_page"),
+    )
+    data = F.variant_get("_page", "$.data", "variant")
+    records_ = F.try_variant_get("_page", "$.data", "array<variant>")
+    no_list = data.isNotNull() & ~F.is_variant_null(data) & records_.isNull()
+    odd = F.filter(F.transform(records_, lambda record, place: F.struct(place.alias("posicao"), record.alias("_record"))), lambda r: ~F.coalesce(F.schema_of_variant(r["_record"]).startswith("OBJECT"), F.lit(False)))
+    reasons = (
+        F.when(F.col("_unread"), F.array(F.struct(F.lit(None).cast("int").alias("posicao"), F.lit(BAD_BODY).alias("motivo"), F.lit(None).cast("string").alias("conteudo"))))
+        .when(no_list, F.array(F.struct(F.lit(None).cast("int").alias("posicao"), F.lit(NO_LIST).alias("motivo"), F.to_json(data).alias("conteudo"))))
+        .otherwise(F.transform(odd, lambda r: F.struct(r["posicao"].alias("posicao"), F.lit(NO_RECORD).alias("motivo"), F.to_json(r["_record"]).alias("conteudo"))))
+    )
+    page = F.coalesce("_pagina", F.try_variant_get("_page", "$.numeroPagina", "int")).alias("pagina")
+    return each.select("lote", page, "arquivo", F.inline(reasons))
 
 
 def read_records(spark: SparkSession, path: str, one_array_per_file: bool = False) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from noticelake import vocabulary as v
 from noticelake.operators import silver
+from noticelake.plans import daily
+from noticelake.plans.daily import Lake
 from noticelake.sources import pages
 
 
@@ -103,3 +105,37 @@ def test_bare_records(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps([notice("a"), {"numeroControlePNCP": "b"}]))
     rows = silver.flatten(pages.read_records(spark, str(tmp_path / "r.json")))
     assert sorted((r["numero_controle_pncp"], r["uf"]) for r in rows.collect()) == [("a", "PE"), ("b", None)]
+
+
+SPOILT = {
+    1: '{"totalPaginas":9,"data":[1,{"numeroControlePNCP":"a"},"x",null,[2],{"numeroControlePNCP":"b","orgaoEntidade":5}]}',
+    2: '{"totalPaginas":9,"data":{"numeroControlePNCP":"c"}}', 3: '{"totalPaginas":9,"data":[{"numeroControlePNCP":"d"', 4: "[1, 2]", 5: '"s"', 6: "",
+    7: '{"totalPaginas":9}', 8: '{"totalPaginas":9,"data":null}', 9: '{"totalPaginas":9,"data":[]}',
+}
+
+
+def test_rejected_content(spark, tmp_path):
+    land(tmp_path, "r", SPOILT)
+    records = pages.records(pages.read_pages(spark, str(tmp_path))).select(v.BRONZE_KEY, "pagina", "pos")
+    assert sorted(map(tuple, records.collect())) == [("a", 1, 1), ("b", 1, 5)]
+    found = pages.rejected(spark, str(tmp_path))
+    got = {(r["pagina"], r["posicao"], r["motivo"], r["conteudo"]) for r in found.collect()}
+    assert got == {
+        (1, 0, pages.NO_RECORD, "1"), (1, 2, pages.NO_RECORD, '"x"'), (1, 3, pages.NO_RECORD, "null"), (1, 4, pages.NO_RECORD, "[2]"),
+        (2, None, pages.NO_LIST, '{"numeroControlePNCP":"c"}'), (3, None, pages.BAD_BODY, None), (4, None, pages.BAD_BODY, None), (5, None, pages.BAD_BODY, None),
+    }
+    assert found.count() == len(got) and {r["arquivo"].rsplit("/", 2)[1] for r in found.collect()} == {f"pagina={n}" for n in (1, 2, 3, 4, 5)}
+    # the empty file is no page that was landed: it is missing, as are the bodies that cannot be read
+    assert {r["pagina"] for r in pages.missing_pages(pages.read_pages(spark, str(tmp_path))).collect()} == {3, 4, 5, 6}
+
+
+def test_rejected_content_is_kept_by_run(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    assert lake.rejected().count() == 0
+    for run, bodies in (("r1", SPOILT), ("r2", {1: SPOILT[3]}), ("r1", {10: SPOILT[4]})):
+        folder = tmp_path / f"{run}-{len(bodies)}"
+        land(folder, run, bodies)
+        counts = daily.run(lake, pages.read_pages(spark, str(folder)), "20260115", "20260116", rejected=pages.rejected(spark, str(folder)))["rejeitados"]
+        assert counts == {run: 8 if len(bodies) > 1 else 1}
+    assert sorted((r["lote"], r["pagina"]) for r in lake.rejected().collect()) == [("r1", 10), ("r2", 1)]
+    assert daily.keep_rejected(lake, pages.rejected(spark, str(folder)).limit(0)) == {}
