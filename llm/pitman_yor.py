@@ -1,14 +1,18 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-A token's context is the nearest word of at most three bytes to its left (function words, mostly), hashed to one
-of 255 restaurants; before the first such word a text is in restaurant 0. All context restaurants share one parent,
-the unigram restaurant, over a uniform base of the vocabulary and one unknown word. A customer who opens
-a table in a context restaurant is a customer of the parent.
-
-Seats are sampled by Gibbs rounds in bulk-synchronous form. All restaurants' customers of one word lie
-together, so a word's tables are seated, handed to the parent and seated there within a task; what
-words share are totals: customers and tables of each restaurant, 256 numbers of each kind, summed up after
-a round. Draws are hashes of (word, restaurant, round, step): a task that runs again seats the same. The predictive
+A token's context is the word before it, hashed to one of 16383 restaurants; the first token of a text is in restaurant
+0. All context restaurants share one parent, the unigram restaurant, over a uniform base of the vocabulary and one
+unknown word. A customer who opens a table in a context restaurant is a customer of the parent.
+
+Seats are sampled by Gibbs rounds. The seating starts with one table a dish and restaurant, and is carried from round to
+round. In a round a dish's customers in a restaurant leave it together and are seated anew given everybody else:
+their number of tables t has the conditional probability a^t S(c, t), where c is their number, a the weight of a new
+table, and S a generalised Stirling number, and is drawn from it exactly up to 256 customers; larger parties are seated
+an eighth at a time. Then the dish's tables are customers of the parent, and are seated there in the same way. All
+restaurants' customers of one word lie together, so this takes place within a task; what words share are totals:
+customers and tables of each restaurant, summed up after a round. Within a round the totals stand still (the usual form
+of a distributed sampler). Draws are hashes of (word, restaurant, round): a task derives the seating of a round again
+from the totals of the rounds before, so none is stored and a task that runs again seats the same. The predictive
 probabilities of the last rounds are averaged.
 
 Data flow. Texts are encoded in blocks of about 16 MB. A block's distinct words, with their (context, count) pairs, are
@@ -20,9 +24,10 @@ text, so a shard's size does not; no vocabulary is ever broadcast or collected.
 
 from __future__ import annotations
 
+import functools
 import zlib
-from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +38,9 @@ from pyspark.sql import functions as F
 from llm.classifier import split_words
 from llm.common import Stored, column, per_row, sizes_of, texts_of
 
-CONTEXTS = 256
-SHORT = 3
+CONTEXTS = 1 << 14
+#: Up to so many customers of a dish their tables are drawn exactly.
+EXACT = 256
 BLOCK_BYTES = 16 << 20
 #: Bytes of text for each shard of the vocabulary.
 SHARD_BYTES = 8 << 20
@@ -52,15 +58,6 @@ def _times(number: np.uint64, n: int) -> np.uint64:
 # Encoding
 
 
-def context_numbers(words: pa.Array) -> np.ndarray:
-    """Restaurant that a word opens to its right; 0 for a word that is too long to be a context."""
-    out = np.zeros(len(words), dtype=np.uint8)
-    size = pc.binary_length(words).to_numpy(zero_copy_only=False)
-    short = np.flatnonzero((size > 0) & (size <= SHORT))
-    out[short] = [1 + zlib.crc32(w.encode()) % (CONTEXTS - 1) for w in words.take(pa.array(short)).to_pylist()]
-    return out
-
-
 def packed(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     """A binary column: the bytes of consecutive runs of ``values``."""
     offsets = np.concatenate(([0], np.cumsum(lengths))) * values.itemsize
@@ -118,14 +115,11 @@ def encode(texts: pa.Array, held_out: np.ndarray, shards: int) -> Block:
     ids = np.insert(number[coded.indices.to_numpy()], np.cumsum(counts), number[-1])
     counts = counts + 1
     del coded, order, number
-    opens = context_numbers(words)[ids]
-    # The last opening position before each token, if it is in the same text.
-    context = np.where(opens > 0, np.arange(len(ids), dtype=np.int32), np.int32(-1))
-    np.maximum.accumulate(context, out=context)
-    context = np.concatenate((np.full(min(1, len(ids)), -1, dtype=np.int32), context[:-1]))
-    begin = np.repeat((np.cumsum(counts) - counts).astype(np.int32), counts)
-    context = np.where(context >= begin, opens[context], np.uint8(0))
-    del opens, begin
+    opens = 1 + hashes % (CONTEXTS - 1)
+    # Restaurant of the word before, if that is in the same text.
+    context = np.concatenate((np.zeros(min(1, len(ids)), dtype=np.int64), opens[ids[:-1]]))
+    context[np.cumsum(counts) - counts] = 0
+    del opens
     key = ids * CONTEXTS + context
     del ids, context
     order = key * 2
@@ -137,7 +131,7 @@ def encode(texts: pa.Array, held_out: np.ndarray, shards: int) -> Block:
     del pair
     seen = np.add.reduceat(order & 1, first) if len(first) else np.zeros(0, dtype=np.int64)
     del order
-    return Block(words, hashes, hashes % shards, (distinct % CONTEXTS).astype(np.uint8), seen.astype("<u4"), np.searchsorted(distinct, key).astype("<i4"), np.bincount(distinct // CONTEXTS, minlength=len(words)).astype(np.int64), counts)
+    return Block(words, hashes, hashes % shards, (distinct % CONTEXTS).astype("<u2"), seen.astype("<u4"), np.searchsorted(distinct, key).astype("<i4"), np.bincount(distinct // CONTEXTS, minlength=len(words)).astype(np.int64), counts)
 
 
 def steps(pairs: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +210,7 @@ def merged(table: pa.Table) -> pa.Table:
     ids = coded.indices.to_numpy().astype(np.int64)
     hashes = np.zeros(len(coded.dictionary), dtype=np.int64)
     hashes[ids] = whole["h"].to_numpy()
-    contexts, many = unpacked(whole["contexts"], "<u1")
+    contexts, many = unpacked(whole["contexts"], "<u2")
     counts, _ = unpacked(whole["counts"], "<u4")
     key = np.repeat(ids, many) * CONTEXTS + contexts
     order = np.argsort(key, kind="stable")
@@ -225,7 +219,7 @@ def merged(table: pa.Table) -> pa.Table:
     total, key = np.add.reduceat(counts, first), key[first]
     key, total = key[total > 0], total[total > 0]
     per_word = np.bincount(key // CONTEXTS, minlength=len(hashes))
-    seats = to_bytes({"h": hashes, "contexts": packed((key % CONTEXTS).astype("<u1"), per_word), "counts": packed(total.astype("<i8"), per_word)})
+    seats = to_bytes({"h": hashes, "contexts": packed((key % CONTEXTS).astype("<u2"), per_word), "counts": packed(total.astype("<i8"), per_word)})
     sums = per_row(many, np.array(sizes))
     asks = to_bytes({"block": table["block"].combine_chunks(), "ids": packed(ids.astype("<i4"), np.array(sizes)), "many": packed(many.astype("<u2"), np.array(sizes)), "contexts": packed(contexts, sums)})
     return pa.table({"shard": table["shard"].slice(0, 1), "seats": pa.array([seats], pa.binary()), "asks": pa.array([asks], pa.binary())})
@@ -285,22 +279,60 @@ def seat(customers: np.ndarray, opening: np.ndarray, discount: float, key: np.nd
     return tables
 
 
-def gibbs(hashes: np.ndarray, contexts: np.ndarray, counts: np.ndarray, many: np.ndarray, totals: Totals, round_: int, sweeps: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tables of each (word, context), tables of each word in the parent, and the parent's customers."""
+@functools.lru_cache(maxsize=4)
+def log_stirling(discount: float) -> np.ndarray:
+    """``[c, t]``: logarithms of the generalised Stirling numbers up to EXACT customers."""
+    out = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    out[0, 0] = 0.0
+    t = np.arange(1, EXACT + 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for c in range(EXACT):
+            stay = np.where(t <= c, np.log(np.maximum(c - discount * t, 1e-300)) + out[c, 1:], -np.inf)
+            out[c + 1, 1:] = np.logaddexp(out[c, :-1], stay)
+    return out
+
+
+def seat_anew(customers: np.ndarray, opening: np.ndarray, discount: float, key: np.ndarray) -> np.ndarray:
+    """Tables of each dish's customers, drawn given everybody else; ``opening`` is the weight of a new table."""
+    tables = (customers > 0).astype(np.float64)
+    large = np.flatnonzero(customers > EXACT)
+    tables[large] = seat(customers[large], opening[large], discount, key[large])
+    some = np.flatnonzero((customers > 1) & (customers <= EXACT))
+    some = some[np.argsort(customers[some], kind="stable")]
+    log_opening, u, stirling = np.log(opening[some]), draw(key[some], 1), log_stirling(discount)
+    sizes, first, times = np.unique(customers[some], return_index=True, return_counts=True)
+    for c, i, j in zip(sizes.astype(int).tolist(), first.tolist(), (first + times).tolist(), strict=True):
+        for k in range(i, j, max(1, (1 << 20) // c)):
+            here = slice(k, min(j, k + max(1, (1 << 20) // c)))
+            logs = log_opening[here, None] * np.arange(1, c + 1) + stirling[c, 1 : c + 1]
+            share = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
+            tables[some[here]] = 1 + (share < (u[here] * share[:, -1])[:, None]).sum(axis=1)
+    return tables
+
+
+def first_seating(counts: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One table a dish and restaurant."""
+    return (counts > 0).astype(np.float64), (many > 0).astype(np.float64), many.astype(np.float64)
+
+
+def gibbs(hashes: np.ndarray, contexts: np.ndarray, counts: np.ndarray, many: np.ndarray, history: Sequence[Totals]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tables of each (word, context), tables of each word in the parent, and the parent's customers, after a round
+    for each of the totals in ``history``."""
+    tables, above, parent = first_seating(counts, many)
     row = np.repeat(np.arange(len(many)), many)
-    salt = _times(_C, round_)
-    key = (hashes.astype(np.uint64)[row] * _A ^ (contexts.astype(np.uint64) * _B)) + salt
-    weight = (totals.strength + totals.discount * totals.tables)[contexts]
-    base = (totals.parent_strength + totals.parent_discount * totals.parent_tables) / (totals.vocabulary + 1)
-    whole = totals.parent_strength + totals.tables.sum()
-    parent = many.astype(np.float64)
-    tables_above = np.minimum(parent, 1.0)
-    for sweep in range(sweeps):
-        p = (parent - totals.parent_discount * tables_above + base) / whole
-        tables = seat(counts, weight * p[row], totals.discount, key + _times(_A, 1000 * sweep))
+    words = hashes.astype(np.uint64)
+    for round_, totals in enumerate(history, 1):
+        salt = _times(_C, round_)
+        # A dish's customers leave a restaurant, and with them the customers that its tables are to the parent.
+        others = np.maximum(parent[row] - tables, 0.0)
+        base = (totals.parent_strength + totals.parent_discount * np.maximum(totals.parent_tables - (others <= 0), 0.0)) / (totals.vocabulary + 1)
+        p = (np.maximum(others - totals.parent_discount * np.minimum(above[row], others), 0.0) + base) / (totals.parent_strength + np.maximum(totals.tables.sum() - tables, 0.0))
+        weight = totals.strength + totals.discount * np.maximum(totals.tables[contexts] - tables, 0.0)
+        tables = seat_anew(counts, weight * p, totals.discount, (words[row] * _A ^ (contexts.astype(np.uint64) * _B)) + salt)
         parent = np.bincount(row, tables, minlength=len(many))
-        tables_above = seat(parent, np.full(len(many), base), totals.parent_discount, hashes.astype(np.uint64) * _A + salt + _times(_B, sweep))
-    return tables, tables_above, parent
+        free = np.maximum(totals.parent_tables - above, 0.0)
+        above = seat_anew(parent, (totals.parent_strength + totals.parent_discount * free) / (totals.vocabulary + 1), totals.parent_discount, words * _A + salt)
+    return tables, above, parent
 
 
 Seats = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -309,7 +341,7 @@ Seats = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 def seats_of(value: bytes) -> Seats:
     """Hashes, contexts, counts of a shard's words, and how many contexts each word has."""
     table = from_bytes(value)
-    contexts, many = unpacked(table["contexts"], "<u1")
+    contexts, many = unpacked(table["contexts"], "<u2")
     return table["h"].to_numpy(), contexts, unpacked(table["counts"], "<i8")[0], many
 
 
@@ -334,50 +366,48 @@ def first_totals(words: DataFrame) -> tuple[Totals, int]:
     def count(seats: Seats) -> np.ndarray:
         _, contexts, counts, many = seats
         rest = [(counts == 1).sum(), (counts == 2).sum(), (many == 1).sum(), (many == 2).sum(), (many > 0).sum(), counts.sum()]
-        return np.concatenate((np.bincount(contexts, counts, minlength=CONTEXTS), rest))
+        return np.concatenate((np.bincount(contexts, counts, minlength=CONTEXTS), np.bincount(contexts, minlength=CONTEXTS), rest))
 
-    n = summed(words, CONTEXTS + 6, count)
-    customers, (one, two, alone, pair, vocabulary, tokens) = n[:CONTEXTS], n[CONTEXTS:].tolist()
+    n = summed(words, 2 * CONTEXTS + 6, count)
+    customers, dishes, (one, two, alone, pair, vocabulary, tokens) = n[:CONTEXTS], n[CONTEXTS : 2 * CONTEXTS], n[2 * CONTEXTS :].tolist()
     share = lambda a, b: min(0.95, max(0.1, a / max(1, a + 2 * b)))
-    return Totals(customers, customers**0.8, vocabulary, int(vocabulary), share(one, two), share(alone, pair)), int(tokens)
+    return Totals(customers, dishes, vocabulary, int(vocabulary), share(one, two), share(alone, pair)), int(tokens)
 
 
-def next_totals(words: DataFrame, totals: Totals, round_: int) -> Totals:
-    """One Gibbs round over all words."""
+def next_totals(words: DataFrame, history: Sequence[Totals]) -> Totals:
+    """The totals after a Gibbs round more over all words."""
 
     def run(seats: Seats) -> np.ndarray:
-        tables, above, _ = gibbs(*seats, totals, round_)
+        tables, above, _ = gibbs(*seats, history)
         return np.append(np.bincount(seats[1], tables, minlength=CONTEXTS), above.sum())
 
     n = summed(words, CONTEXTS + 1, run)
-    return Totals(totals.customers, n[:CONTEXTS], n[CONTEXTS], totals.vocabulary, totals.discount, totals.parent_discount, totals.strength, totals.parent_strength)
-
-
-Sample = tuple[int, Totals, Totals]
+    return replace(history[-1], tables=n[:CONTEXTS], parent_tables=n[CONTEXTS])
 
 
-def predictive(seats: Seats, samples: list[Sample]) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's parent probability in each sample, and the averaged probability of each seated (word, context).
-    ``samples``: round, totals before it, totals after it."""
+def predictive(seats: Seats, history: Sequence[Totals], samples: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's parent probability in each of the last ``samples`` states, and the averaged probability of each
+    seated (word, context). ``history``: the totals at first and after each round."""
     _, contexts, counts, many = seats
     row = np.repeat(np.arange(len(many)), many)
-    mean, parents = np.zeros(len(counts)), np.zeros((len(many), len(samples)))
-    for i, (round_, before, after) in enumerate(samples):
-        tables, above, parent = gibbs(*seats, before, round_)
+    mean, parents = np.zeros(len(counts)), np.zeros((len(many), samples))
+    for i, last in enumerate(range(len(history) - samples, len(history))):
+        after = history[last]
+        tables, above, parent = gibbs(*seats, history[:last])
         base = (after.parent_strength + after.parent_discount * after.parent_tables) / (after.vocabulary + 1)
         parents[:, i] = (parent - after.parent_discount * above + base) / (after.parent_strength + after.tables.sum())
         own = (counts - after.discount * tables) / (after.strength + after.customers)[contexts]
-        mean += (own + after.back_off[contexts] * parents[row, i]) / len(samples)
+        mean += (own + after.back_off[contexts] * parents[row, i]) / samples
     return parents, mean
 
 
 # Scores
 
 
-def answers(words: DataFrame, samples: list[Sample]) -> DataFrame:
+def answers(words: DataFrame, history: Sequence[Totals], samples: int) -> DataFrame:
     """A row per block and shard: training tokens of each word asked for, how many contexts it was asked in, and the
     log10 probabilities there."""
-    back_off = np.array([after.back_off for _, _, after in samples])
+    back_off = np.array([after.back_off for after in history[-samples:]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -385,12 +415,12 @@ def answers(words: DataFrame, samples: list[Sample]) -> DataFrame:
                 yield from answer(shard, seats_of(value), from_bytes(asked))
 
     def answer(shard: int, seats: Seats, asks: pa.Table) -> Iterator[pa.RecordBatch]:
-        parents, mean = predictive(seats, samples)
+        parents, mean = predictive(seats, history, samples)
         _, contexts, counts, has = seats
         n = per_row(counts, has)
         keys = np.repeat(np.arange(len(has)), has) * CONTEXTS + contexts
         for block, ids, many, asked in zip(*(asks[c].to_pylist() for c in ("block", "ids", "many", "contexts")), strict=True):
-            ids, many, asked = (np.frombuffer(x, dtype=t) for x, t in ((ids, "<i4"), (many, "<u2"), (asked, "<u1")))
+            ids, many, asked = (np.frombuffer(x, dtype=t) for x, t in ((ids, "<i4"), (many, "<u2"), (asked, "<u2")))
             row = np.repeat(ids.astype(np.int64), many)
             p = (back_off[:, asked] * parents[row].T).mean(axis=0)
             key = row * CONTEXTS + asked
@@ -416,13 +446,10 @@ def score(docs: DataFrame, parts: int = 10, part: int = 0, rounds: int = 3, samp
     coded = Stored(encoded(chosen, max(1, -(-text_bytes // SHARD_BYTES))), "lm-blocks").frame
     words = Stored(coded.where("shard is not null").select("block", "shard", "words").groupBy("shard").applyInArrow(merged, "shard int, seats binary, asks binary"), "lm-shards").frame
     totals, tokens = first_totals(words)
-    kept: list[Sample] = []
-    for round_ in range(1, rounds + 1):
-        after = next_totals(words, totals, round_)
-        kept.append((round_, totals, after))
-        totals = after
-    kept = kept[-samples:]
-    told = answers(words, kept)
+    history = [totals]
+    for _ in range(rounds):
+        history.append(next_totals(words, history))
+    told = answers(words, history, samples)
     vocabulary = totals.vocabulary
     texts = coded.where("shard is null").select("block", "doc_id", "held_out", "low", "high")
     kind = chosen.schema["doc_id"].dataType.simpleString()

@@ -11,7 +11,7 @@ import numpy as np
 from tests.llm.fixtures import WORD, awkward, empty, frame, lower_ascii, prose
 
 from llm.classifier import classify
-from llm.pitman_yor import CONTEXTS, Totals, first_totals, pairs_of, seat, steps
+from llm.pitman_yor import CONTEXTS, Totals, first_totals, pairs_of, seat, seat_anew, steps
 from llm.pitman_yor import score as lm_score
 from llm.sharding import hilbert_index, shard, text_cells, write_shards
 
@@ -67,13 +67,15 @@ def test_predictive_probabilities_sum_to_one(spark):
     docs = frame(spark, [(i, prose(i, 50)) for i in range(1, 9)]).select("doc_id", F.lit(False).alias("held_out"), "text")
     words = encoded(docs, 5).where("shard is not null").groupBy("shard").applyInArrow(merged, "shard int, seats binary, asks binary").cache()
     before, tokens = first_totals(words)
-    after = next_totals(words, before, 1)
+    history = [before, next_totals(words, [before])]
+    history.append(next_totals(words, history))
+    after = history[-1]
     assert tokens == 8 * 51 == before.customers.sum()
     shards = [seats_of(r["seats"]) for r in words.collect()]
     assert len(shards) > 1
-    made = [predictive(s, [(1, before, after)]) for s in shards]
+    made = [predictive(s, history, 1) for s in shards]
     assert abs(sum(parents.sum() for parents, _ in made) + after.unknown - 1) < 1e-9
-    for u in range(CONTEXTS):
+    for u in np.flatnonzero(after.customers).tolist():
         if after.customers[u]:
             total = after.back_off[u]
             for (_, contexts, _, many), (parents, mean) in zip(shards, made):
@@ -82,6 +84,42 @@ def test_predictive_probabilities_sum_to_one(spark):
             assert abs(total - 1) < 1e-9
 
 
+def test_drawn_tables_have_their_conditional_distribution():
+    """Against all seatings of a few customers, each weighted by the restaurant's rule."""
+    for c, a, d in ((2, 0.3, 0.5), (5, 0.7, 0.3), (6, 0.05, 0.8)):
+        weight = {(): 1.0}
+        for _ in range(c):
+            grown: dict[tuple, float] = {}
+            for sizes, w in weight.items():
+                grown[(*sizes, 1)] = grown.get((*sizes, 1), 0) + w * a
+                for k, n in enumerate(sizes):
+                    more = (*sizes[:k], n + 1, *sizes[k + 1 :])
+                    grown[more] = grown.get(more, 0) + w * (n - d)
+            weight = grown
+        whole = sum(weight.values())
+        exact = [sum(w for s, w in weight.items() if len(s) == t) / whole for t in range(1, c + 1)]
+        key = np.arange(60_000, dtype=np.uint64) * np.uint64(7919)
+        drawn = seat_anew(np.full(60_000, c), np.full(60_000, a), d, key)
+        assert np.abs(np.bincount(drawn.astype(int), minlength=c + 1)[1:] / 60_000 - exact).max() < 0.01
+    few = seat_anew(np.array([0, 1, 300, 256]), np.full(4, 0.2), 0.5, np.arange(4, dtype=np.uint64))
+    assert few[0] == 0 and few[1] == 1 and 1 <= few[2] <= 300 and 1 <= few[3] <= 256
+
+
+def test_word_order_counts(spark):
+    """A held-out text in the order of the training texts scores far better than its words shuffled."""
+    import random
+
+    r = random.Random(1)
+    words = [f"word{k}longer" for k in range(150)]
+    held = next(i for i in range(10_000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    mixed = r.sample(words, 150)
+    texts = [(i, " ".join(words[i % 50 : i % 50 + 100])) for i in range(20_000, 20_600)]
+    docs = spark.createDataFrame([*texts, (held, " ".join(words[:100])), (held, " ".join(w for w in mixed if w in words[:100]))], "doc_id long, text string")
+    straight, shuffled = sorted((x["score"] for x in lm_score(docs).where(f"doc_id = {held}").collect()), reverse=True)
+    base = lm_score(docs).where(f"doc_id = {held}").first()["base_score"]
+    assert straight > -60 and shuffled < base + 30 and straight - shuffled > 120
+
+
 def test_steps_and_back():
     r = np.random.default_rng(1)
     lengths = np.array([1, 5, 300, 1])
