@@ -383,3 +383,7 @@ ORACLES["rejected_records"] = f"""with {_LANDED}
  union all select distinct lote, pagina, cast(null as integer), 'corpo ilegível', cast(null as varchar) from landed where pagina % 11 = 0"""
 ORACLES["records_beside_rejected"] = f"""with {_LANDED} select lote, pagina, posicao pos, cast(k as varchar) numero_controle_pncp
  from landed where pagina % 11 <> 0 and k % 7 <> 0"""
+ORACLES["stream_missing_pages"] = f"""with {_LANDED}, lotes as (select lote, max(pagina) ultima from landed
+  group by lote having count(*) filter (pagina % 3 <> 1 or pagina % 2 = 0) > 0)
+ select lote, cast(p as integer) pagina from lotes, unnest(range(1, ultima + 1)) t(p)
+ where (lote, p) not in (select lote, pagina from landed where pagina % 3 <> 1 or pagina % 2 = 0)"""

@@ -27,7 +27,7 @@ from noticelake.sinks import json_rows
 from noticelake.sinks.keyed import KeyedTable
 from noticelake.sources import pages
 from noticelake.sources.tables import Tables, bronze_slice, silver_slice
-from noticelake.streaming import dedup, sliding
+from noticelake.streaming import dedup, missing, sliding
 from noticelake.streaming import upsert as streams
 from noticelake.workspace import fresh_dir, scratch
 
@@ -828,6 +828,20 @@ def stream_sliding_update(spark, sf):
     return stored.read().drop(schemas.PARTITION)
 
 
+@query
+def stream_missing_pages(spark, sf):
+    """S3 as a stream: every third page is late and reported; half of these land afterwards and are taken back."""
+    path, lost = fresh_dir(spark, "late"), F.col("pagina") % 3 == 1
+    with scratch(spark, "pages") as landing, scratch(spark, "checkpoint") as checkpoint:
+        write_pages(bronze_rows(spark, sf), landing, one_page_per_file=False, lost=lost)
+        for late in (None, lost & (F.col("pagina") % 2 == 0)):
+            if late is not None:
+                write_pages(bronze_rows(spark, sf), landing, one_page_per_file=False, mode="append", lost=~late)
+            arriving = pages.stream_pages(spark, landing, one_page_per_file=False, landed_at=True)
+            streams.finish(missing.late_page_stream(arriving, path, checkpoint, "0 seconds"))
+    return missing.still_missing(spark.read.schema(missing.EVENTS).parquet(path))
+
+
 @query
 def stream_estado_approx(spark, sf):
     """A2 on a stream: every micro-batch leaves cells with sketches, which are merged when they are read."""

@@ -69,7 +69,7 @@ def _with_nulls(landed: Column) -> Column:
     return F.zip_with(landed, whole, page)
 
 
-def _shape(bodies: DataFrame, explicit_nulls: bool = False) -> DataFrame:
+def _shape(bodies: DataFrame, explicit_nulls: bool = False, landed_at: bool = False) -> DataFrame:
     """Pages with run, number and total; bodies that are no page are left out.
 
     A body that cannot be read stands for no page at all, so `missing_pages`
@@ -81,6 +81,7 @@ def _shape(bodies: DataFrame, explicit_nulls: bool = False) -> DataFrame:
         bodies.select(
             _from_path(_RUN_IN_PATH).alias("lote"),
             _from_path(_PAGE_IN_PATH).cast("int").alias("_pagina"),
+            *([F.col("_metadata.file_modification_time").alias("chegada")] if landed_at else []),
             F.inline_outer(_with_nulls(landed) if explicit_nulls else landed),
         )
         .filter(F.col("data").isNotNull() | F.col("totalPaginas").isNotNull() | F.col("totalRegistros").isNotNull())
@@ -92,6 +93,7 @@ def _shape(bodies: DataFrame, explicit_nulls: bool = False) -> DataFrame:
             F.col("totalRegistros").try_cast("bigint").alias("totalRegistros"),
             "data",
             *([NULLS] if explicit_nulls else []),
+            *(["chegada"] if landed_at else []),
         )
     )
 
@@ -109,13 +111,14 @@ def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = True, e
 
 
 def stream_pages(
-    spark: SparkSession, path: str, one_page_per_file: bool = True, files_per_batch: int | None = None, explicit_nulls: bool = False
+    spark: SparkSession, path: str, one_page_per_file: bool = True, files_per_batch: int | None = None, explicit_nulls: bool = False,
+    landed_at: bool = False,
 ) -> DataFrame:
-    """S1 as a stream of newly landed files."""
+    """S1 as a stream of newly landed files; with ``landed_at`` also when each one landed."""
     reader = spark.readStream.options(**_BODIES)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _shape(reader.text(path, wholetext=one_page_per_file), explicit_nulls)
+    return _shape(reader.text(path, wholetext=one_page_per_file), explicit_nulls, landed_at)
 
 
 def records(pages: DataFrame) -> DataFrame:

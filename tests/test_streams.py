@@ -14,7 +14,7 @@ from noticelake.operators import silver
 from noticelake.plans.daily import Lake
 from noticelake.sinks.keyed import KeyedTable
 from noticelake.sources import pages
-from noticelake.streaming import dedup, sliding
+from noticelake.streaming import dedup, missing, sliding
 from noticelake.streaming import upsert as streams
 from noticelake.schemas import PARTITION
 from tests.test_key_index import break_files
@@ -127,3 +127,31 @@ def test_stream_opens_only_the_partitions_of_its_keys(spark, tmp_path):
     arrive()
     rows = lake.silver.read().filter(F.col(PARTITION) != "2026-01-16").collect()
     assert {(r["numero_controle_pncp"], r[PARTITION]) for r in rows} == {("a", "2026-01-17"), ("c", "2026-01-15")}
+
+
+def test_late_pages_are_reported_and_taken_back(spark, tmp_path):
+    """Two runs, a patience of an hour, totals that grow, repeats, a restart at every step."""
+    source, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    schema, landed, told = "lote string, pagina int, totalPaginas int, chegada timestamp", [], []
+
+    def arrive(*rows):
+        landed.extend(rows)
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(source)
+        streams.finish(missing.late_page_stream(spark.readStream.schema(schema).parquet(source), out, check, "1 hour"))
+        events = spark.read.schema(missing.EVENTS).parquet(out)
+        new = sorted(set(map(tuple, events.collect())) - set(told), key=str)
+        told.extend(new)
+        return new, sorted(tuple(r) for r in missing.still_missing(events).collect())
+
+    assert arrive(("a", 1, 4, moment(0)), ("a", 3, None, moment(0)), ("b", 2, 2, moment(0)))[0] == []
+    # an hour has passed for both, as another run lands
+    new, now = arrive(("c", 1, 1, moment(2)))
+    assert now == [("a", 2), ("a", 4), ("b", 1)] and {e[2] for e in new} == {missing.LATE}
+    new, now = arrive(("a", 2, 4, moment(2.5)), ("b", 1, 2, moment(2.5)), ("b", 1, 2, moment(2.5)))
+    assert new == [("a", 2, missing.LANDED), ("b", 1, missing.LANDED)] and now == [("a", 4)]
+    # more pages are announced, far apart
+    new, now = arrive(("a", 20_000, 20_001, moment(3)), ("c", 1, 1, moment(5)))
+    assert now == sorted([("a", 4)] + [("a", n) for n in range(5, 20_000)] + [("a", 20_001)])
+    batch = pages.missing_pages(spark.createDataFrame(landed, schema))
+    assert sorted(map(tuple, batch.collect())) == now
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", "HDFS").find("RocksDB") < 0
