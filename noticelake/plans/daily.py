@@ -19,6 +19,7 @@ from noticelake.functions import dates
 from noticelake.operators import latest, periods, rollup, silver, trigrams
 from noticelake.sinks.keyed import KeyedTable, Parts, in_parts, no_changes
 from noticelake.sinks.partitions import clear_partitions, replace_partitions, spread
+from noticelake.sinks.versioned import VersionedTable
 from noticelake.sources import pages
 from noticelake.sources.tables import Tables, bronze_slice, silver_slice
 from noticelake.workspace import drop_path, path_exists, scratch
@@ -36,12 +37,18 @@ class Lake:
     grain: str = "day"
     #: Count distinct buyers by sketches of this size (rollup.sketch_cells) instead of exactly.
     sketch_lg_k: int | None = None
+    #: Bronze and Silver as tables whose readers switch to a new version at once (sinks.versioned).
+    versions: bool = False
     #: Keep filters of the object texts by storage partition, for text searches (operators.trigrams).
     text_index: bool = False
 
+    @property
+    def _table(self) -> type[KeyedTable]:
+        return VersionedTable if self.versions else KeyedTable
+
     @property
     def bronze(self) -> KeyedTable:
-        return KeyedTable(
+        return self._table(
             self.spark, f"{self.root}/{v.BRONZE}", schemas.BRONZE, (v.BRONZE_KEY,), merge_fields=True,
             ignore=schemas.ORIGIN.names,
             partition_of=lambda: dates.publication_part(F.col("dataPublicacaoPncp"), self.grain),
@@ -49,7 +56,7 @@ class Lake:
 
     @property
     def silver(self) -> KeyedTable:
-        return KeyedTable(
+        return self._table(
             self.spark, f"{self.root}/{v.SILVER}", schemas.SILVER, (v.SILVER_KEY,), ignore=("data_coleta",),
             date="data_publicacao_pncp", log_parts=True,
         )

@@ -387,3 +387,5 @@ ORACLES["stream_missing_pages"] = f"""with {_LANDED}, lotes as (select lote, max
   group by lote having count(*) filter (pagina % 3 <> 1 or pagina % 2 = 0) > 0)
  select lote, cast(p as integer) pagina from lotes, unnest(range(1, ultima + 1)) t(p)
  where (lote, p) not in (select lote, pagina from landed where pagina % 3 <> 1 or pagina % 2 = 0)"""
+ORACLES["table_upsert_versions"] = ORACLES["table_upsert_rows"]
+ORACLES["daily_run_versions"] = ORACLES["daily_run_situacao"]

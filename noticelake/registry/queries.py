@@ -25,6 +25,7 @@ from noticelake.registry.notices import (
 )
 from noticelake.sinks import json_rows
 from noticelake.sinks.keyed import KeyedTable
+from noticelake.sinks.versioned import VersionedTable
 from noticelake.sources import pages
 from noticelake.sources.tables import Tables, bronze_slice, silver_slice
 from noticelake.streaming import dedup, missing, sliding
@@ -345,7 +346,16 @@ def _as_silver(flat: DataFrame) -> DataFrame:
 @query
 def table_upsert_rows(spark, sf):
     """K2 K5 on a stored table: new rows, changed rows, rows that move to another partition."""
-    stored = KeyedTable(spark, fresh_dir(spark, "silver"), schemas.SILVER, (v.SILVER_KEY,))
+    return _changed_and_moved(spark, sf, KeyedTable(spark, fresh_dir(spark, "silver"), schemas.SILVER, (v.SILVER_KEY,)))
+
+
+@query
+def table_upsert_versions(spark, sf):
+    """K2 K5, the same on a table whose readers switch to a version at once."""
+    return _changed_and_moved(spark, sf, VersionedTable(spark, fresh_dir(spark, "silver"), schemas.SILVER, (v.SILVER_KEY,)))
+
+
+def _changed_and_moved(spark: SparkSession, sf: str, stored: KeyedTable) -> DataFrame:
     flat = notices(spark, sf)
     stored.upsert(_as_silver(flat.filter("situacao_id <> 'O'")))
     moved = F.concat(F.lit("2002-05-01"), F.substring("data_publicacao_pncp", 11, 9))
@@ -465,9 +475,9 @@ def daily_run_approx(spark, sf):
     return lake.gold(v.GOLD_STATE).drop("data_atualizacao")
 
 
-def _two_runs(spark: SparkSession, sf: str, grain: str = "year") -> daily.Lake:
+def _two_runs(spark: SparkSession, sf: str, grain: str = "year", **options) -> daily.Lake:
     """All notices landed and run; then every pending one republished as closed and run again."""
-    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain=grain)
+    lake = daily.Lake(spark, fresh_dir(spark, "lake"), grain=grain, **options)
     as_of = F.to_timestamp(F.lit("2002-01-01 00:00:00"))
     with _landing(spark, bronze_rows(spark, sf)) as landed:
         daily.run(lake, landed, FIRST_DAY, LAST_DAY, as_of)
@@ -509,6 +519,12 @@ def daily_run_situacao(spark, sf):
     return _two_runs(spark, sf).gold(v.GOLD_STATUS).drop("data_atualizacao")
 
 
+@query
+def daily_run_versions(spark, sf):
+    """K1 K2 K3 K7 over two runs where Bronze and Silver are published version by version."""
+    return _two_runs(spark, sf, versions=True).gold(v.GOLD_STATUS).drop("data_atualizacao")
+
+
 @query
 def daily_run_mes(spark, sf):
     """K3 on the monthly table, whole months from all of Silver."""

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ class KeyIndex:
     path: str
     keys: tuple[StructField, ...]
     buckets: int = 64
+    #: The rounds that count, in order, where another than the index itself keeps them.
+    folders: tuple[str, ...] | None = None
 
     @property
     def names(self) -> list[str]:
@@ -47,17 +50,22 @@ class KeyIndex:
         return sorted(int(m[1]) for m in found if "_SUCCESS" in child_names(self.spark, f"{self.path}/{m[0]}"))
 
     def exists(self) -> bool:
-        return bool(self.rounds())
+        return bool(self.rounds() if self.folders is None else self.folders)
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.names), F.lit(self.buckets)).cast("int").alias(BUCKET)
 
     def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
         """Keys with the partition that each is stored in, of some buckets or all."""
-        folders = [f"{self.path}/{ROUND}={n}" for n in self.rounds()]
-        if not folders:
+        if not self.exists():
             return self.spark.createDataFrame([], StructType([*self.keys, StructField(PARTITION, StringType())]))
-        rows = self.spark.read.schema(self._schema).option("basePath", self.path).parquet(*folders)
+        if self.folders is None:
+            folders = [f"{self.path}/{ROUND}={n}" for n in self.rounds()]
+            rows = self.spark.read.schema(self._schema).option("basePath", self.path).parquet(*folders)
+        else:
+            schema = StructType([f for f in self._schema.fields if f.name != ROUND])
+            each = [self.spark.read.schema(schema).parquet(f).withColumn(ROUND, F.lit(n)) for n, f in enumerate(self.folders)]
+            rows = reduce(DataFrame.unionByName, each)
         if buckets is not None:
             rows = rows.filter(F.col(BUCKET).isin(list(buckets)))
         return latest.keep_last(rows, self.names, [ROUND]).select(*self.names, PARTITION)
@@ -71,13 +79,13 @@ class KeyIndex:
         """Rows (keys, partition) that are new or have moved."""
         rounds = self.rounds()
         number = max(rounds, default=-1) + 1
-        self._write(rows, number)
+        self.write_round(rows, f"{self.path}/{ROUND}={number}")
         if len(rounds) >= ROUNDS:
-            self._write(self.read(), number + 1)
+            self.write_round(self.read(), f"{self.path}/{ROUND}={number + 1}")
             for old in [*rounds, number]:
                 drop_path(self.spark, f"{self.path}/{ROUND}={old}")
 
-    def _write(self, rows: DataFrame, number: int) -> None:
+    def write_round(self, rows: DataFrame, folder: str) -> None:
         table = rows.select(*self.names, PARTITION, self.bucket()).hint("rebalance", BUCKET)
         # what a lost run left of a round is no round
-        table.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/{ROUND}={number}")
+        table.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)

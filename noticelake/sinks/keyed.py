@@ -123,13 +123,14 @@ class KeyedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def touched_parts(self, batch: DataFrame, buckets: Iterable[int]) -> DataFrame:
+    def touched_parts(self, batch: DataFrame, buckets: Iterable[int], index: KeyIndex | None = None) -> DataFrame:
         """Partitions the batch writes to, or takes a key away from (``left``)."""
         parts = batch.select(PARTITION, F.lit(False).alias("left"))
+        index = index or self.index
         if self.keys_may_move and self.exists():
-            if not self.index.exists():
-                self.index.add(self.read().select(*self.keys, PARTITION))
-            stored = self.index.stored_parts(batch.select(*self.keys, PARTITION), buckets)
+            if not index.exists():
+                index.add(self.read().select(*self.keys, PARTITION))
+            stored = index.stored_parts(batch.select(*self.keys, PARTITION), buckets)
             moved = stored.filter(~F.col(PARTITION).eqNullSafe(F.col("_part")))
             parts = parts.union(moved.select("_part", F.lit(True)))
         return parts.groupBy(PARTITION).agg(F.max("left").alias("left"))
@@ -145,11 +146,10 @@ class KeyedTable:
             buckets = self._unique_buckets(batch)
             # one row per storage partition: bounded by the table's folders, not by its rows
             touched = {r[PARTITION]: r["left"] for r in self.touched_parts(batch, buckets).collect()}
-            every = self.spark.createDataFrame([(part,) for part in touched], _PART_SCHEMA).coalesce(1)
             if any(touched.values()):
-                every.write.parquet(self._vacated_path)
+                _as_rows(self.spark, touched).write.parquet(self._vacated_path)
             if self.log_parts:
-                every.write.parquet(f"{self._log_path}/{uuid.uuid4().hex}")
+                log_parts(self.spark, touched, self._log_path)
             current = self.read().filter(in_parts(touched))
             outcome = reconcile(current, batch, self.keys, self.merge_fields, self.ignore, self._before(), NULLS)
             if self.partition_of is not None:
@@ -172,7 +172,7 @@ class KeyedTable:
         changed = F.col(STATUS).isin(INSERTED, UPDATED)
         day, was = (F.substring(F.col(c) if self.date else F.lit(None).cast("string"), 1, 10) for c in (self.date or "", _DATE_WAS))
         return [
-            F.count_if(_new_place()).alias("_places"),
+            F.count_if(new_place()).alias("_places"),
             F.collect_set(F.when(changed, day)).alias("_days"),
             F.collect_set(F.when((F.col(STATUS) == UPDATED) & ~day.eqNullSafe(was), was)).alias("_left"),
         ]
@@ -205,15 +205,25 @@ class KeyedTable:
             filled = {r[0] for r in rows.select(PARTITION).filter(in_parts(left)).distinct().collect()}
             clear_partitions(self.spark, self.path, [{PARTITION: part} for part in left - filled])
         if self.keys_may_move and new_places:
-            self.index.add(staged.filter(_new_place()).select(*self.keys, PARTITION))
+            self.index.add(staged.filter(new_place()).select(*self.keys, PARTITION))
         drop_path(self.spark, self._stage)
 
     def _staged_rows(self) -> DataFrame:
-        schema = StructType(self.schema.fields + [StructField(c, StringType()) for c in (STATUS, *self._before().values())])
-        return self.spark.read.schema(schema).parquet(self._staged_rows_path)
+        return self.spark.read.schema(self._staged_schema()).parquet(self._staged_rows_path)
 
+    def _staged_schema(self) -> StructType:
+        return StructType(self.schema.fields + [StructField(c, StringType()) for c in (STATUS, *self._before().values())])
 
-def _new_place() -> Column:
+
+def _as_rows(spark: SparkSession, parts: Iterable[str | None]) -> DataFrame:
+    return spark.createDataFrame([(part,) for part in parts], _PART_SCHEMA).coalesce(1)
+
+
+def log_parts(spark: SparkSession, parts: Iterable[str | None], path: str) -> None:
+    _as_rows(spark, parts).write.parquet(f"{path}/{uuid.uuid4().hex}")
+
+
+def new_place() -> Column:
     """Whether the index does not have a staged row's key in this partition."""
     moved = F.col(STATUS).isin(UPDATED, UNCHANGED) & ~F.col(PARTITION).eqNullSafe(F.col(_PART_WAS))
     return (F.col(STATUS) == INSERTED) | moved

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
@@ -47,6 +48,33 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in system.listStatus(hadoop_path)] if system.exists(hadoop_path) else []
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def create_exclusively(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that nobody else has; False if it is there already. It appears whole: it is written under
+    another name and renamed, which does not replace a file."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, draft = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex}"))
+    system = target.getFileSystem(conf)
+    out = system.create(draft, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf).rename(draft, target, plain)
+    except Py4JJavaError as failure:
+        system.delete(draft, False)
+        if failure.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder a job has written for itself."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
