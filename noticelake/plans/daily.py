@@ -180,7 +180,7 @@ def aggregate(
     first = not path_exists(lake.spark, lake.cells_path)
     everything = lake.silver.read()
     with scratch(lake.spark, "day-cells") as fresh_path:
-        lake.day_cells(everything if first else everything.filter(in_parts(parts))).write.partitionBy(schemas.PARTITION).parquet(fresh_path)
+        lake.day_cells(everything if first else everything.filter(in_parts(parts))).write.parquet(fresh_path)
         fresh = _cells_at(lake, fresh_path)
         stored = _cells_at(lake, lake.cells_path)
         other = [p for p in lake.stored_periods() if p != (start, end)]
