@@ -21,8 +21,10 @@ length class; only a bounded histogram of p-values comes to the driver.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -87,10 +89,16 @@ def written(spans: list[tuple[int, int, str]]) -> str:
 
 def candidates(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     """Runs of an encoding's characters, whole and in parts, that no base span touches; they may overlap."""
+    starts = sorted(a for a, _, _ in taken)
+    # How far the spans reach that begin before a place.
+    reach = list(itertools.accumulate((b for _, b, _ in sorted(taken)), max))
     found = set()
     for m in _RANDOM.finditer(text):
-        parts = {p.span() for part in _PARTS for p in part.finditer(text, m.start(), m.end())}
-        found |= {(start, end) for start, end in parts if not any(a < end and start < b for a, b, _ in taken)}
+        for part in _PARTS:
+            for p in part.finditer(text, m.start(), m.end()):
+                before = bisect_left(starts, p.end())
+                if not before or reach[before - 1] <= p.start():
+                    found.add(p.span())
     return sorted(found)
 
 
@@ -170,9 +178,11 @@ class Detector:
         judged = [(p, b - a, a, b) for a, b in spans if (p := self.judge(text[a:b])) is not None]
         chosen: list[tuple[int, int]] = []
         for _, _, a, b in sorted(judged, key=lambda j: (-j[0], -j[1], j[2])):
-            if not any(a < d and c < b for c, d in chosen):
-                chosen.append((a, b))
-        return sorted(chosen)
+            # The chosen ones are apart, so only the two next to a place can touch it.
+            at = bisect_left(chosen, (a, b))
+            if not (at and chosen[at - 1][1] > a) and not (at < len(chosen) and chosen[at][0] < b):
+                chosen.insert(at, (a, b))
+        return chosen
 
 
 def length_class(n: int) -> int:

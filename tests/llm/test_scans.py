@@ -118,3 +118,27 @@ def test_redaction(spark):
     assert texts[8] == ("ein", 3)
     assert masked("abcdef", [(1, 3), (2, 4), (5, 6)], "*") == "a*e*"
     assert redact(empty(spark)).count() == 0
+
+
+def test_spans_apart_are_found_as_by_comparing_all(monkeypatch):
+    """Candidates beside base spans, and the strongest of overlapping ones, against every pair compared."""
+    import random
+
+    from llm import secrets as s
+
+    r = random.Random(5)
+    key = lambda n: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_") for _ in range(n))
+    for _ in range(30):
+        text = " ".join(key(r.randrange(5, 60)) for _ in range(40))
+        taken = sorted((a, a + r.randrange(1, 30), "hex") for a in (r.randrange(len(text)) for _ in range(r.randrange(6))))
+        every = s.candidates(text, [])
+        assert s.candidates(text, taken) == [(a, b) for a, b in every if not any(c < b and a < d for c, d, _ in taken)]
+        strength = {span: r.choice((None, 1.0, 2.0, r.random())) for span in every}
+        detector = s.Detector.__new__(s.Detector)
+        monkeypatch.setattr(s.Detector, "judge", lambda self, run, by={text[a:b]: p for (a, b), p in strength.items()}: by[run])
+        by_text = {text[a:b]: p for (a, b), p in strength.items()}
+        chosen = []
+        for _, _, a, b in sorted(((p, b - a, a, b) for a, b in every if (p := by_text[text[a:b]]) is not None), key=lambda j: (-j[0], -j[1], j[2])):
+            if not any(a < d and c < b for c, d in chosen):
+                chosen.append((a, b))
+        assert detector.finds(text, every) == sorted(chosen)
