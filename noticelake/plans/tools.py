@@ -124,6 +124,11 @@ def buscar_contratacoes(
     return top(rows, ("data_publicacao_pncp", v.SILVER_KEY), limite)
 
 
+def total_linhas(answer: DataFrame) -> DataFrame:
+    """The ``total_*`` that stands beside a tool's rows: how many there are."""
+    return answer.agg(F.count("*").alias("total_linhas"))
+
+
 def _first_parts(rows: DataFrame, parts: list[str | None], limit: int) -> DataFrame:
     """The rows of the first partitions that hold ``limit`` of them together, so that the first rows by date are
     among these. Partitions are named by the leading characters of the date; what has no such date is in

@@ -389,3 +389,8 @@ ORACLES["stream_missing_pages"] = f"""with {_LANDED}, lotes as (select lote, max
  where (lote, p) not in (select lote, pagina from landed where pagina % 3 <> 1 or pagina % 2 = 0)"""
 ORACLES["table_upsert_versions"] = ORACLES["table_upsert_rows"]
 ORACLES["daily_run_versions"] = ORACLES["daily_run_situacao"]
+ORACLES["json_written"] = ORACLES["to_json_gold"]
+ORACLES["stream_upsert_bronze"] = ORACLES["stream_upsert"]
+ORACLES["tool_total_linhas"] = f"""with {ALL_GOLD} select 'resumo_por_estado' ferramenta, count(*) total_linhas from gold_estado where uf = '{STATE}'
+ union all select 'evolucao_mensal', count(*) from gold_por_mes where ano = 1997
+ union all select 'buscar_contratacoes', least(5, count(*)) from silver where uf = '{STATE}' and regexp_matches(objeto_compra, 'reforma', 'i')"""

@@ -723,6 +723,25 @@ def _statistics(row: DataFrame) -> DataFrame:
     )
 
 
+@query
+def tool_total_linhas(spark, sf):
+    """The totals beside the rows of three tools."""
+    tables, asked = all_tables(spark, sf), {
+        "resumo_por_estado": {"uf": A_STATE}, "evolucao_mensal": {"ano": 1997}, "buscar_contratacoes": {"uf": A_STATE, "texto_objeto": "reforma", "limite": 5},
+    }
+    each = [tools.total_linhas(tools.call(tables, name, **arguments)).select(F.lit(name).alias("ferramenta"), "total_linhas") for name, arguments in asked.items()]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
+@query
+def json_written(spark, sf):
+    """K6: rows written as JSON lines and read again as text."""
+    path = f"{fresh_dir(spark, 'json')}/rows"
+    rows = rollup.rollup(silver_rows(spark, sf), rollup.STATUS)
+    json_rows.write_json(rows.select("uf", "situacao_nome", "total_contratacoes"), path)
+    return spark.read.text(path).withColumnRenamed("value", "documento")
+
+
 @query
 def to_json_rows(spark, sf):
     """K6 over all Silver columns, moments and nulls included."""
@@ -870,6 +889,20 @@ def stream_estado_approx(spark, sf):
     return rollup.from_cells(spark.read.schema(rollup.sketch_cells(rows).schema).parquet(path), rollup.STATE)
 
 
+@query
+def stream_upsert_bronze(spark, sf):
+    """X2 K1 into a versioned Bronze alone: pages in several micro-batches, pending notices again as closed."""
+    rows = nest(notices(spark, sf))
+    closed = rows.filter("situacaoCompraId = 'P'").withColumns({"situacaoCompraNome": F.lit("Encerrada"), "objetoCompra": F.lit(None).cast("string"), "lote": F.lit("republicadas")})
+    table_ = VersionedTable(spark, fresh_dir(spark, "bronze"), schemas.BRONZE, (v.BRONZE_KEY,), merge_fields=True)
+    with scratch(spark, "pages") as landing, scratch(spark, "checkpoint") as checkpoint:
+        write_pages(rows, landing, one_page_per_file=False)
+        write_pages(closed, landing, one_page_per_file=False, mode="append")
+        arriving = pages.records(pages.stream_pages(spark, landing, one_page_per_file=False, files_per_batch=4))
+        streams.finish(streams.upsert_stream(arriving, table_, streams.to_bronze_rows("year"), checkpoint))
+    return silver.classify(silver.flatten(table_.read()))
+
+
 @query
 def stream_upsert(spark, sf):
     """Pages arriving in several micro-batches, the pending notices republished at the end without
