@@ -394,3 +394,5 @@ ORACLES["stream_upsert_bronze"] = ORACLES["stream_upsert"]
 ORACLES["tool_total_linhas"] = f"""with {ALL_GOLD} select 'resumo_por_estado' ferramenta, count(*) total_linhas from gold_estado where uf = '{STATE}'
  union all select 'evolucao_mensal', count(*) from gold_por_mes where ano = 1997
  union all select 'buscar_contratacoes', least(5, count(*)) from silver where uf = '{STATE}' and regexp_matches(objeto_compra, 'reforma', 'i')"""
+ORACLES["source_pages_pushed"] = f"""with {PV} select numero_controle_pncp, data_publicacao_pncp as "dataPublicacaoPncp" from pv
+ where {between('1997-01-10', '1997-02-15')} and uf = '{STATE}'"""

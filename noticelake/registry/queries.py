@@ -180,6 +180,16 @@ def source_request(spark, sf):
     return rows.select(F.col(v.BRONZE_KEY).alias("numero_controle_pncp"), "dataPublicacaoPncp")
 
 
+@query
+def source_pages_pushed(spark, sf):
+    """A request answered from the pages of the runs that meet its range; a run a month is landed."""
+    path, date = fresh_dir(spark, "pages"), F.to_date(F.substring("dataPublicacaoPncp", 1, 10))
+    run = F.concat_ws("_", F.date_format(F.trunc(date, "month"), "yyyyMMdd"), F.date_format(F.last_day(date), "yyyyMMdd"))
+    write_pages(nest(notices(spark, sf)).withColumn("lote", run), path, one_page_per_file=False)
+    rows = pages.read_requested(spark, path, "19970110", "19970215", v.MODALITY, A_STATE, one_page_per_file=False)
+    return rows.select(F.col(v.BRONZE_KEY).alias("numero_controle_pncp"), "dataPublicacaoPncp")
+
+
 @query
 def missing_pages(spark, sf):
     """S3: order priorities as runs, customers with an order in it as landed pages."""

@@ -7,6 +7,8 @@ page. Run and page number come from the path, as in
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -15,6 +17,7 @@ from noticelake import vocabulary as v
 from noticelake.functions import predicates as p
 from noticelake.functions import values
 from noticelake.schemas import ENVELOPE, NOTICE, NULLS, ORIGIN
+from noticelake.workspace import child_names
 
 _PAGE_IN_PATH = r"pagina[=_-]0*(\d+)"
 _RUN_IN_PATH = r"lote[=_-]([^/]+)"
@@ -175,6 +178,28 @@ def requested(
     )
 
 
+def runs_within(spark: SparkSession, path: str, start: str, end: str) -> list[str]:
+    """Run folders below ``path`` that can hold notices of a range: those whose own interval meets it, and those whose
+    name is no interval. A list of names; no page is opened."""
+    kept = []
+    for name in sorted(child_names(spark, path)):
+        interval = re.fullmatch(r"lote[=_-](\d{8})_(\d{8})", name)
+        if name.startswith("lote") and (interval is None or (interval[1] <= end and start <= interval[2])):
+            kept.append(f"{path.rstrip('/')}/{name}")
+    return kept
+
+
+def read_requested(
+    spark: SparkSession, path: str, start: str, end: str, modality: int | None = v.MODALITY, uf: str | None = None,
+    one_page_per_file: bool = True, explicit_nulls: bool = False,
+) -> DataFrame:
+    """The notices of a request, from the pages of the runs that were asked for such days; no other run's pages
+    are opened. Rests on a run holding nothing outside of its interval, which is what it asked for."""
+    folders = runs_within(spark, path, start, end)
+    bodies = spark.read.options(**_BODIES).text(folders, wholetext=one_page_per_file) if folders else spark.read.text([], wholetext=True)
+    return requested(records(_shape(bodies, explicit_nulls)), start, end, modality, uf)
+
+
 def missing_pages(pages: DataFrame) -> DataFrame:
     """S3: pages a run announced but nobody landed.
 

@@ -139,3 +139,17 @@ def test_rejected_content_is_kept_by_run(spark, tmp_path):
         assert counts == {run: 8 if len(bodies) > 1 else 1}
     assert sorted((r["lote"], r["pagina"]) for r in lake.rejected().collect()) == [("r1", 10), ("r2", 1)]
     assert daily.keep_rejected(lake, pages.rejected(spark, str(folder)).limit(0)) == {}
+
+
+def test_runs_outside_of_a_request_are_not_opened(spark, tmp_path):
+    for day in range(10, 16):
+        land(tmp_path, f"202601{day}_202601{day + 1}", {1: {"totalPaginas": 1, "data": [notice(f"k{day}", dataPublicacaoPncp=f"2026-01-{day}T10:00:00")]}})
+    land(tmp_path, "extra", {1: {"totalPaginas": 1, "data": [notice("x", dataPublicacaoPncp="2026-01-12T11:00:00"), notice("y", dataPublicacaoPncp="2026-03-01")]}})
+    frame = pages.read_requested(spark, str(tmp_path), "20260112", "20260112")
+    assert sorted(r[v.BRONZE_KEY] for r in frame.collect()) == ["k12", "x"]
+    opened = {f.split("lote=")[1].split("/")[0] for f in frame.inputFiles()}
+    assert opened == {"20260111_20260112", "20260112_20260113", "extra"}
+    assert {r[v.BRONZE_KEY] for r in pages.read_requested(spark, str(tmp_path), "20260112", "20260113", explicit_nulls=True).collect()} == {"k12", "k13", "x"}
+    assert pages.read_requested(spark, str(tmp_path), "20250101", "20250102").count() == 0
+    assert pages.read_requested(spark, str(tmp_path / "lote=extra"), "20260101", "20260131").count() == 0
+    assert pages.read_requested(spark, str(tmp_path / "nowhere"), "20260101", "20260131").count() == 0
