@@ -5,8 +5,8 @@ before" and "these three words again in this text". Features are hashed to vecto
 averaged, and a softmax over the average gives the label's probability. Vectors and output are
 learnt by stochastic gradient descent in numpy.
 
-Learning takes place in one task on a bounded sample: the ``train_rows`` labelled rows with the smallest hash
-of their id. Each text of the sample is used whole. As the output is linear in the average, a fitted
+Learning takes place in one task on a bounded sample: the ``train_rows`` labelled ids with the smallest hash, as
+far as their texts come to ``train_bytes`` together. Each text of the sample is used whole, and one for each id. As the output is linear in the average, a fitted
 model is one number for each bucket, which is all that scoring needs; its size is fixed by ``buckets``.
 """
 
@@ -17,10 +17,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import column, gather_runs, per_row, sizes_of, sliced, texts_of
+from llm.common import column, gather_runs, per_row, run_sums, sizes_of, sliced, texts_of
 
 #: Lengths of the character n-grams; a word is read as ``<word>``.
 GRAMS = (3, 4, 5)
@@ -94,13 +94,13 @@ def scores(texts: pa.Array, values: np.ndarray, bias: float) -> np.ndarray:
     """Probability of label 1 for each text."""
     coded, counts = split_words(texts)
     found, many = word_features(coded.dictionary, len(values))
-    total = sum(per_row(values[f], c) for f, c in zip(found, many, strict=True))
+    total = sum(run_sums(values[f], c) for f, c in zip(found, many, strict=True))
     number = sum(many)
     ids = coded.indices.to_numpy()
     same, again = marks(coded, counts)
     words = total[ids] + same * values[SAME] + again * values[AGAIN]
     features = number[ids] + same + again
-    logit = per_row(words, counts) / np.maximum(per_row(features, counts), 1) + bias
+    logit = run_sums(words, counts) / np.maximum(per_row(features, counts), 1) + bias
     return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
@@ -140,10 +140,17 @@ def train(texts: pa.Array, labels: np.ndarray, buckets: int, width: int, epochs:
     return (vectors @ (out[1] - out[0])).astype(np.float64), float(bias[1] - bias[0])
 
 
-def fit(docs: DataFrame, labelled: DataFrame, train_rows: int, buckets: int, width: int, epochs: int, rate: float, seed: int, id_col: str, text_col: str) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labelled: DataFrame, train_rows: int, train_bytes: int, buckets: int, width: int, epochs: int, rate: float, seed: int, id_col: str, text_col: str) -> tuple[np.ndarray, float]:
     """``labelled``: doc_id, label (0 or 1), the rows to learn from."""
-    chosen = labelled.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    sample = docs.select(column(id_col).alias("doc_id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text")).join(chosen, "doc_id").orderBy("doc_id").coalesce(1)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = labelled.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(*order).limit(train_rows)
+    texts = docs.select(column(id_col).alias("doc_id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"))
+    # Sizes first: at most train_rows of them are summed up in one task, and no text that is left out travels.
+    sized = texts.select("doc_id", F.octet_length("text").alias("bytes")).join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.max("bytes").alias("bytes"))
+    so_far = F.sum("bytes").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    within = sized.withColumn("so_far", so_far).where(F.col("so_far") <= train_bytes).select("doc_id", "label")
+    # One text an id, however often the id is repeated.
+    sample = texts.join(within, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy("doc_id").coalesce(1)
 
     def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
@@ -162,15 +169,15 @@ def held_out_of(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(False))
 
 
-def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.7, train_rows: int = 6000, buckets: int = BUCKETS, width: int = 16, epochs: int = 10, rate: float = 2.0, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id") -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.7, train_rows: int = 6000, train_bytes: int = 64 << 20, buckets: int = BUCKETS, width: int = 16, epochs: int = 10, rate: float = 2.0, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted.
 
     Rows whose crc32 of the id leaves 2 when divided by 4 are held out of learning. Null and empty texts
     have no features and get the bias's score; a null id isn't held out; labels that are null or neither
     0 nor 1, or without a document, teach nothing; without any label every score is 0.5. Repeated rows
-    give a row each; other columns are not read."""
+    give a row each, with equal scores for equal texts, and an id that is repeated teaches once; other columns are not read."""
     known = labels.select(column(label_id_col).alias("doc_id"), column(label_col).cast("int").alias("label"))
-    values, bias = fit(docs, known.where(~held_out_of(F.col("doc_id"))), train_rows, buckets, width, epochs, rate, seed, id_col, text_col)
+    values, bias = fit(docs, known.where(~held_out_of(F.col("doc_id"))), train_rows, train_bytes, buckets, width, epochs, rate, seed, id_col, text_col)
     model = docs.sparkSession.sparkContext.broadcast((values.astype(np.float32), bias))
     chosen = docs.select(column(id_col).alias("doc_id"), held_out_of(column(id_col)).alias("held_out"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()

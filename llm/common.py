@@ -117,6 +117,15 @@ def per_row(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return sums[ends] - sums[ends - lengths]
 
 
+def run_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``per_row`` with each run summed by itself, so that equal runs have equal sums wherever they lie."""
+    out = np.zeros(len(lengths), dtype=values.dtype)
+    some = lengths > 0
+    if some.any():
+        out[some] = np.add.reduceat(values, (np.cumsum(lengths) - lengths)[some])
+    return out
+
+
 def gather_runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions ``starts[i] .. starts[i] + lengths[i] - 1`` of every i, one after the other."""
     total = int(lengths.sum())

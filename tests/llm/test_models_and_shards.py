@@ -46,6 +46,27 @@ def test_classifier_on_awkward_rows(spark):
     assert {r["score"] for r in classify(frame(spark), labels.limit(0), buckets=1 << 12).collect()} == {0.5}
 
 
+def test_classifier_learns_from_a_bounded_sample(spark):
+    """A repeated id teaches once; a text beyond the bound teaches nothing, as if it had no label."""
+    from pyspark.sql import functions as F
+
+    docs, labels = labelled(spark)
+    once = sorted((r["doc_id"], r["score"]) for r in classify(docs, labels, epochs=1, buckets=1 << 12).collect())
+    again = docs.where("doc_id = 7").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("n")
+    hot = classify(docs.union(again), labels, epochs=1, buckets=1 << 12)
+    assert sorted({(r["doc_id"], r["score"]) for r in hot.collect()}) == once
+    assert {r["score"] for r in classify(docs, labels, train_bytes=10, buckets=1 << 12).collect()} == {0.5}
+
+
+def test_equal_texts_score_alike(spark):
+    docs, labels = labelled(spark)
+    many = docs.union(docs).union(docs).repartition(5)
+    by_text = {}
+    for r in classify(many, labels, epochs=1, buckets=1 << 12).collect():
+        by_text.setdefault(r["doc_id"], set()).add(r["score"])
+    assert all(len(x) == 1 for x in by_text.values())
+
+
 def test_language_model_counts(spark):
     texts = awkward()
     rows = lm_score(frame(spark, texts), rounds=2, samples=1).collect()
