@@ -145,12 +145,13 @@ def fit(docs: DataFrame, labelled: DataFrame, train_rows: int, train_bytes: int,
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = labelled.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(*order).limit(train_rows)
     texts = docs.select(column(id_col).alias("doc_id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"))
-    # Sizes first: at most train_rows of them are summed up in one task, and no text that is left out travels.
-    sized = texts.select("doc_id", F.octet_length("text").alias("bytes")).join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.max("bytes").alias("bytes"))
+    # Sizes first: at most train_rows of them are summed up in one task, and no text that is left out travels. Both
+    # lists of ids have at most train_rows rows, so they are sent to the texts.
+    sized = texts.select("doc_id", F.octet_length("text").alias("bytes")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.max("bytes").alias("bytes"))
     so_far = F.sum("bytes").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     within = sized.withColumn("so_far", so_far).where(F.col("so_far") <= train_bytes).select("doc_id", "label")
     # One text an id, however often the id is repeated.
-    sample = texts.join(within, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy("doc_id").coalesce(1)
+    sample = texts.join(F.broadcast(within), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy("doc_id").coalesce(1)
 
     def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
