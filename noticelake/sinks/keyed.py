@@ -174,7 +174,9 @@ class KeyedTable:
             return outcome.withColumn(PARTITION, self.partition_of()) if self.partition_of is not None else outcome
 
         if batch.count() > SMALL_BATCH:
-            return spread(applied(current, batch), [PARTITION])
+            # the join has shuffled every row once already: sorted where it lies, a task writes one partition at a
+            # time, and no second shuffle moves the whole outcome again
+            return applied(current, batch).sortWithinPartitions(PARTITION)
         keys = F.broadcast(batch.select(*self.keys))
         named = current.join(keys, same_keys(current, keys, self.keys), "left_semi")
         kept = current.join(keys, same_keys(current, keys, self.keys), "left_anti")
