@@ -61,14 +61,17 @@ class KeyIndex:
             return self.spark.createDataFrame([], StructType([*self.keys, StructField(PARTITION, StringType())]))
         if self.folders is None:
             folders = [f"{self.path}/{ROUND}={n}" for n in self.rounds()]
+            last_only = len(folders) == 1
             rows = self.spark.read.schema(self._schema).option("basePath", self.path).parquet(*folders)
         else:
             schema = StructType([f for f in self._schema.fields if f.name != ROUND])
             each = [self.spark.read.schema(schema).parquet(f).withColumn(ROUND, F.lit(n)) for n, f in enumerate(self.folders)]
             rows = reduce(DataFrame.unionByName, each)
+            last_only = len(each) == 1
         if buckets is not None:
             rows = rows.filter(F.col(BUCKET).isin(list(buckets)))
-        return latest.keep_last(rows, self.names, [ROUND]).select(*self.names, PARTITION)
+        # a round has one row per key
+        return (rows if last_only else latest.keep_last(rows, self.names, [ROUND])).select(*self.names, PARTITION)
 
     def stored_parts(self, batch: DataFrame, buckets: Iterable[int]) -> DataFrame:
         """Rows of ``batch`` whose key is stored, with the partition it is stored in as ``_part``."""

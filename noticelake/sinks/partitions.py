@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticelake.workspace import drop_path
+from noticelake.workspace import child_names, drop_path, move_path
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -20,11 +20,20 @@ def spread(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.hint("rebalance", *columns)
 
 
-def replace_partitions(rows: DataFrame, path: str, columns: Sequence[str]) -> None:
+def replace_partitions(rows: DataFrame, path: str, columns: Sequence[str], staged: str | None = None) -> None:
     """Overwrite the partitions ``rows`` has, leave all others as they are.
 
-    ``rows`` must not be read from ``path``.
+    ``rows`` must not be read from ``path``. ``staged``: a folder beside ``path`` that holds just these rows by the one
+    column; its partitions are moved in as they are, and no row is written again. That may be repeated after it
+    was broken off: what has been moved is no longer staged.
     """
+    if staged is not None:
+        spark, (column,) = rows.sparkSession, columns
+        for name in child_names(spark, staged):
+            if name.startswith(f"{column}="):
+                move_path(spark, f"{staged}/{name}", f"{path}/{name}")
+        spark.catalog.refreshByPath(path)
+        return
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

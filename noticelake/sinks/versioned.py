@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 
 from noticelake.operators.reconcile import COUNTS, outcome_counts
-from noticelake.schemas import NULLS, PARTITION
+from noticelake.schemas import PARTITION
 from noticelake.sinks import key_index
 from noticelake.sinks.key_index import KeyIndex
 from noticelake.sinks.keyed import KeyedTable, Parts, log_parts, new_place
@@ -84,22 +85,20 @@ class VersionedTable(KeyedTable):
         """Nothing to finish: an upsert that was not published is no version."""
         return False
 
-    def upsert(self, batch: DataFrame) -> tuple[dict[str, int], Parts]:
-        """Apply ``batch`` (one row per key) and publish the outcome; counts by outcome, and touched partitions."""
+    def upsert(
+        self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame] | None = None, hold: bool = True
+    ) -> tuple[dict[str, int], Parts]:
+        """Apply ``batch`` (see `KeyedTable.upsert`) and publish the outcome; counts by outcome, and touched partitions."""
         now = self.version()
-        nulls = [NULLS] if self.merge_fields and NULLS in batch.columns else []
-        batch = batch.select(*self.schema.fieldNames(), *nulls).persist()
         own = f"_versao={now.number + 1}-{uuid.uuid4().hex[:12]}"
-        try:
-            buckets = self._unique_buckets(batch)
-            touched = {r[PARTITION] for r in self.touched_parts(batch, buckets, self._index_of(now)).collect()}
-            outcome = self._outcome(self._rows(now, touched).filter(in_parts(touched)), batch)
+        with self._checked(batch, merge, hold) as given:
+            touched = set(self._touched(given, self._index_of(now), (None if n == NULL_PARTITION else n for n in now.folders)))
+            current = self._rows(now, touched).filter(in_parts(touched)) if now.folders else None
+            outcome = self._outcome(current, given.rows, given.count)
             if self.log_parts:
                 log_parts(self.spark, touched, self._log_path)
             seen = Observation()
             outcome.observe(seen, *outcome_counts(), *self._changes()).write.partitionBy(PARTITION).parquet(f"{self.path}/{own}")
-        finally:
-            batch.unpersist()
         found = seen.get
         names = [n.removeprefix(f"{PARTITION}=") for n in child_names(self.spark, f"{self.path}/{own}") if n.startswith(f"{PARTITION}=")]
         gone = {NULL_PARTITION if part is None else part for part in touched}
