@@ -65,7 +65,8 @@ def cells_in(day_rows: DataFrame, wanted: Sequence[tuple[str, str]]) -> DataFram
     real = F.coalesce(F.date_format(dates.publication_date(day), "yyyy-MM-dd") == day, F.lit(False))
     days = periods.withColumn(DAY, F.explode(F.sequence(F.to_date("_de"), F.to_date("_ate")))).withColumn(DAY, F.date_format(DAY, "yyyy-MM-dd"))
     rows = day_rows.filter(inside)
-    dated = rows.filter(real).join(days, DAY).filter((day < F.col("_ate")) | ~F.col(LATE))
+    # a day of the periods is a real one
+    dated = rows.join(days, DAY).filter((day < F.col("_ate")) | ~F.col(LATE))
     bounds = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip((a, b, dates.iso_day(a), dates.iso_day(b)), (*PERIOD, "_de", "_ate"), strict=True)]) for a, b in wanted])
     covers = F.filter(bounds, lambda p: (day >= p["_de"]) & ((day < p["_ate"]) | ((day == p["_ate"]) & ~F.col(LATE))))
     other = rows.filter(~real).withColumn("_p", F.explode(covers)).select("*", "_p.*").drop("_p")

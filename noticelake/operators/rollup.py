@@ -136,6 +136,18 @@ def sketch_cells(silver: DataFrame, extra_keys: Iterable[str] = (), lg_k: int =
     )
 
 
+def without_buyers(cell_rows: DataFrame, extra_keys: Iterable[str] = ()) -> DataFrame:
+    """Cells added up over the buyers, for tables that do not count them; cells with sketches have no row per buyer
+    and stay as they are."""
+    if SKETCH in cell_rows.columns:
+        return cell_rows
+    keys = dict.fromkeys((*extra_keys, *[d for d in DIMENSIONS if d not in (BUYER, "ano")]))
+    return cell_rows.groupBy(*keys).agg(
+        F.sum("_linhas").alias("_linhas"), F.sum("_valor").alias("_valor"),
+        F.sum("_valor_fora").alias("_valor_fora"), F.max("_maior").alias("_maior"),
+    )
+
+
 def _over_sketches(measure: str) -> Column:
     if measure == "orgaos_distintos":
         return F.hll_sketch_estimate(F.hll_union_agg(SKETCH)).alias(measure)

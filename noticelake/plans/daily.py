@@ -6,6 +6,9 @@ can be run again by itself.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -120,10 +123,19 @@ def bronze_batch(notices: DataFrame, grain: str = "day") -> DataFrame:
     """A landed batch with one row per key: per field the last value in page order; an explicit null is one where
     the pages were read so."""
     nulls = schemas.NULLS if schemas.NULLS in notices.columns else None
-    collapsed = latest.merge_last(notices, [v.BRONZE_KEY], schemas.ORIGIN.names, nulls)
+    collapsed = latest.merge_last(notices.drop(schemas.PARTITION), [v.BRONZE_KEY], schemas.ORIGIN.names, nulls)
     return silver.add_partition(collapsed, "dataPublicacaoPncp", grain)
 
 
+def upsert_bronze(table: KeyedTable, notices: DataFrame, grain: str = "day", hold: bool = True) -> tuple[dict[str, int], Parts]:
+    """A landed batch into Bronze. Nearly every notice lands once: those are rows as they are, and only
+    repeated ones are merged (`bronze_batch`)."""
+    if schemas.NULLS in notices.columns:
+        return table.upsert(bronze_batch(notices, grain))
+    rows = silver.add_partition(notices, "dataPublicacaoPncp", grain)
+    return table.upsert(rows, merge=lambda repeated: bronze_batch(repeated, grain), hold=hold)
+
+
 def silver_batch(bronze: DataFrame, as_of: datetime | Column | None, grain: str = "day") -> DataFrame:
     """Bronze rows as Silver rows; Bronze keys are unique, so nothing is left to deduplicate."""
     rows = silver.stamp_load(silver.classify(silver.flatten(bronze)), as_of)
@@ -135,7 +147,7 @@ def ingest(lake: Lake, landed: DataFrame) -> dict[str, int]:
     notices = pages.records(landed)
     if notices.isEmpty():
         return no_changes()
-    counts, _ = lake.bronze.upsert(bronze_batch(notices, lake.grain))
+    counts, _ = upsert_bronze(lake.bronze, notices, lake.grain)
     return counts
 
 
@@ -157,7 +169,7 @@ def refine(lake: Lake, start: str, end: str, as_of: datetime | Column | None = N
     bronze = bronze_slice(lake.bronze.read(), start, end)
     if bronze.isEmpty():
         return {**no_changes(), "total": lake.silver.read().count(), "partes": Parts()}
-    counts, touched = lake.silver.upsert(silver_batch(bronze, as_of, lake.grain))
+    counts, touched = lake.silver.upsert(silver_batch(bronze, as_of, lake.grain), hold=False)
     return {**counts, "total": lake.silver.read().count(), "partes": touched}
 
 
@@ -179,8 +191,9 @@ def aggregate(
     parts = logged | set(changed_parts or ())
     first = not path_exists(lake.spark, lake.cells_path)
     everything = lake.silver.read()
-    with scratch(lake.spark, "day-cells") as fresh_path:
-        lake.day_cells(everything if first else everything.filter(in_parts(parts))).write.parquet(fresh_path)
+    with _staged_cells(lake) as fresh_path:
+        made = lake.day_cells(everything if first else everything.filter(in_parts(parts)))
+        spread(made, [schemas.PARTITION]).write.partitionBy(schemas.PARTITION).parquet(fresh_path)
         fresh = _cells_at(lake, fresh_path)
         stored = _cells_at(lake, lake.cells_path)
         other = [p for p in lake.stored_periods() if p != (start, end)]
@@ -189,7 +202,7 @@ def aggregate(
         else:
             touched = F.coalesce(in_parts(parts), F.lit(False))
             cells, replaced = stored.filter(~touched).unionByName(fresh), stored.filter(touched)
-            changed = fresh.exceptAll(replaced).unionByName(replaced.exceptAll(fresh)).persist()
+            changed = _differing(fresh, replaced).persist()
         try:
             wanted = [(start, end), *(other if first else _covering(changed, other))]
             # at most twelve values, and null
@@ -199,9 +212,9 @@ def aggregate(
             changed.unpersist()
         if months:
             _replace_months(lake, cells, months, as_of)
-        replace_partitions(spread(fresh, [schemas.PARTITION]), lake.cells_path, [schemas.PARTITION])
+        present = {r[0] for r in fresh.select(schemas.PARTITION).distinct().collect()}
+        replace_partitions(fresh, lake.cells_path, [schemas.PARTITION], fresh_path)
         if not first:
-            present = {r[0] for r in fresh.select(schemas.PARTITION).distinct().collect()}
             clear_partitions(lake.spark, lake.cells_path, [{schemas.PARTITION: part} for part in parts - present])
     if lake.text_index:
         _refresh_filters(lake, everything, parts)
@@ -210,6 +223,23 @@ def aggregate(
     return (start, end) in filled
 
 
+@contextmanager
+def _staged_cells(lake: Lake) -> Iterator[str]:
+    """A folder beside the day cells for new ones, until they are moved in."""
+    path = f"{lake.cells_path}.{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        drop_path(lake.spark, path)
+
+
+def _differing(fresh: DataFrame, replaced: DataFrame) -> DataFrame:
+    """Partitions, days and months of the cells that one side has and the other has not, or not as often."""
+    sides = fresh.withColumn("_lado", F.lit(1)).unionByName(replaced.withColumn("_lado", F.lit(-1)))
+    differing = sides.groupBy(*fresh.columns).agg(F.sum("_lado").alias("_lado")).filter("_lado <> 0")
+    return differing.select(schemas.PARTITION, periods.DAY, periods.LATE, "mes").distinct()
+
+
 def _refresh_filters(lake: Lake, everything: DataFrame, parts: set[str | None]) -> None:
     """The text filters of these partitions; of all where there are none yet."""
     rows = everything.filter(in_parts(parts)) if path_exists(lake.spark, lake.filters_path) else everything
@@ -246,14 +276,17 @@ def _replace_periods(lake: Lake, cells: DataFrame, everything: DataFrame, wanted
     for start, end in wanted:
         if not _by_days((start, end)):
             rows.append(lake.day_cells(silver_slice(everything, start, end)).withColumns({"periodo_inicio": F.lit(start), "periodo_fim": F.lit(end)}))
-    table = reduce(DataFrame.unionByName, rows).persist()
+    cells_of = reduce(DataFrame.unionByName, rows)
+    # without the buyers there are few rows, whatever the number of notices; cells with sketches are that already
+    table = rollup.without_buyers(cells_of, (*PERIOD, "mes")).persist()
     try:
         found = table.select(*PERIOD, "mes").distinct().collect()
         filled = {(r[0], r[1]) for r in found}
         months |= {r["mes"] for r in found if (r[0], r[1]) == wanted[0]}
         for spec in rollup.ROLLUPS.values():
             if spec.by_period:
-                made = rollup.stamp(rollup.from_cells(table, spec, PERIOD), None, as_of)
+                counts_buyers = "orgaos_distintos" in spec.measures
+                made = rollup.stamp(rollup.from_cells(cells_of if counts_buyers else table, spec, PERIOD), None, as_of)
                 replace_partitions(spread(made, PERIOD), lake.gold_path(spec.table), PERIOD)
                 empty = [dict(zip(PERIOD, period, strict=True)) for period in wanted if period not in filled]
                 clear_partitions(lake.spark, lake.gold_path(spec.table), empty)
