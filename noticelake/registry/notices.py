@@ -124,7 +124,8 @@ def write_pages(
     totals = nested.groupBy("lote").agg(
         F.max("pagina").alias("totalPaginas"), F.count("*").alias("totalRegistros")
     )
-    landed = bodies.join(totals, "lote")
+    # a row a run: the pages are not shuffled to be joined with it
+    landed = bodies.join(F.broadcast(totals), "lote")
     if lost is not None:
         landed = landed.filter(~lost)
     if text_totals:

@@ -40,10 +40,9 @@ def _readable(page: Column) -> Column:
     return page["data"].isNotNull() | page["totalPaginas"].isNotNull() | page["totalRegistros"].isNotNull()
 
 
-def _pages(bodies: Column) -> Column:
-    """Pages of a body. One record that is no object empties its page's whole list in the parser; such pages are
-    read again record by record, and that record alone is null."""
-    landed = F.from_json(bodies, ArrayType(LANDED))
+def _pages(landed: Column, bodies: Column) -> Column:
+    """Pages of a body, of which ``landed`` is what the parser made. One record that is no object empties its page's
+    whole list in the parser; such pages are read again record by record, and that record alone is null."""
     texts = F.from_json(bodies, ArrayType(_DATA_TEXTS))
 
     def page(fields: Column, raw: Column) -> Column:
@@ -79,9 +78,11 @@ def _shape(bodies: DataFrame, explicit_nulls: bool = False, landed_at: bool = Fa
     reports it (defect D7). ``inline_outer`` parses each body once: a filter on
     what it yields is not moved below it.
     """
-    landed = _pages(F.col("value"))
+    landed = _pages(F.col("_landed"), F.col("value"))
+    # parsed in a step of its own: an expression that names it twice would parse twice
+    parsed = bodies.select("value", F.col("_metadata"), F.from_json("value", ArrayType(LANDED)).alias("_landed"))
     return (
-        bodies.select(
+        parsed.select(
             _from_path(_RUN_IN_PATH).alias("lote"),
             _from_path(_PAGE_IN_PATH).cast("int").alias("_pagina"),
             *([F.col("_metadata.file_modification_time").alias("chegada")] if landed_at else []),
